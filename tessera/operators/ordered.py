@@ -2,74 +2,89 @@
 
 A running total over a global order is the one thing a plain window cannot do
 at scale: ``Window.orderBy(x)`` without ``partitionBy`` moves every row to one
-task. Here the order domain is cut into ranges first:
+task. Here the order domain is cut into value ranges first:
 
-1. ``percentile_approx`` gives up to ``buckets - 1`` cut points (one small
-   aggregate; the cut list is a fitted parameter bounded by ``buckets``).
-2. ``Bucketizer`` (binary search, JVM-side) tags each row with its range.
-3. Range totals (at most ``buckets`` rows) are turned into range offsets by a
-   window over that tiny table, then broadcast — a size bound proven by
-   construction.
-4. The running total inside a range is a window partitioned by the range.
+1. one aggregate returns the row count and ``percentile_approx`` cut points;
+   the number of ranges is ``ceil(rows / rows_per_range)`` (capped), so small
+   inputs use a single range and big ones spread over many tasks. The cut
+   list is a fitted parameter whose size is bounded by the cap;
+2. ``Bucketizer`` (binary search, JVM-side) tags each row with its range;
+3. range totals (one row per range) become range offsets through a window
+   over that small table, broadcast back — bounded by construction;
+4. the running total inside a range is a window partitioned by the range.
 
-Equal order values always land in the same range, so tie handling is exact.
-Callers should pre-aggregate by the order value first (``groupBy(v)``), which
-collapses a value that holds a third of all rows into one row.
+Equal order values always land in the same range, so ties are exact.
+Callers pre-aggregate by the order value (``groupBy(v)``), which collapses a
+value that holds a third of all rows into one row before any of this.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 1024
 APPROX_ACCURACY = 10000
 
 
-def range_cuts(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
-    """Approximate equi-depth cut points of ``col`` (strictly increasing, finite)."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, APPROX_ACCURACY).alias("q")).first()
-    cuts = row["q"] or []
-    out: list[float] = []
-    for c in cuts:
-        if c is not None and (not out or c > out[-1]):
-            out.append(float(c))
+def plan_ranges(df: DataFrame, cols: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
+                max_ranges: int = MAX_RANGES) -> list[list[float]]:
+    """Per column, the cut points of ``ceil(n / rows_per_range)`` equi-depth ranges.
+
+    A count comes first; only inputs that need more than one range pay for the
+    ``percentile_approx`` grid (one more aggregate, all columns together). An
+    empty cut list means a single range.
+    """
+    n = df.count()
+    ranges = max(1, min(max_ranges, math.ceil(n / rows_per_range)))
+    if ranges == 1:
+        return [[] for _ in cols]
+    grid = [i / ranges for i in range(1, ranges)]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), grid, APPROX_ACCURACY).alias(f"_g{j}")
+                   for j, c in enumerate(cols)]).first()
+    out = []
+    for j in range(len(cols)):
+        cuts: list[float] = []
+        for x in row[f"_g{j}"] or []:
+            if x is not None and (not cuts or x > cuts[-1]):
+                cuts.append(float(x))
+        out.append(cuts)
     return out
 
 
-def with_range_bucket(df: DataFrame, col: str, out_col: str = "_range",
-                      buckets: int = DEFAULT_BUCKETS, cuts: Sequence[float] | None = None) -> DataFrame:
-    """Tag rows with the index of the value range ``col`` falls in."""
-    if cuts is None:
-        cuts = range_cuts(df, col, buckets)
-    splits = [float("-inf"), *cuts, float("inf")]
-    tmp = f"{out_col}__v"
-    tagged = df.withColumn(tmp, F.col(col).cast("double"))
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep")
-    return b.transform(tagged).drop(tmp).withColumn(out_col, F.col(out_col).cast("int"))
+def range_column(col: str, cuts: Sequence[float], out_col: str):
+    """Expression-free range tagging plan: returns a function df -> df with ``out_col``."""
+    def apply(df: DataFrame) -> DataFrame:
+        if not cuts:
+            return df.withColumn(out_col, F.lit(0))
+        tmp = f"{out_col}__v"
+        b = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol=tmp, outputCol=out_col,
+                       handleInvalid="keep")
+        return (b.transform(df.withColumn(tmp, F.col(col).cast("double")))
+                .drop(tmp).withColumn(out_col, F.col(out_col).cast("int")))
+    return apply
 
 
 def ordered_prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str,
-                       out_col: str = "cum_before", buckets: int = DEFAULT_BUCKETS,
-                       partition_cols: Sequence[str] = ()) -> DataFrame:
+                       out_col: str = "cum_before", partition_cols: Sequence[str] = (),
+                       rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``out_col`` = sum of ``value_col`` over all rows strictly earlier in
     the order ``order_cols`` (first column numeric; the rest break ties),
-    separately per ``partition_cols`` group.
-
-    Exact; no step holds more than one value range of one group in a task.
+    separately per ``partition_cols`` group. Exact; no task holds more than
+    one value range of one group.
     """
     first = order_cols[0]
     parts = list(partition_cols)
-    tagged = with_range_bucket(df, first, "_range", buckets)
+    cuts = plan_ranges(df, [first], rows_per_range)[0]
+    tagged = range_column(first, cuts, "_range")(df)
     totals = tagged.groupBy(*parts, "_range").agg(F.sum(value_col).alias("_range_total"))
-    # One row per (group, range). Without groups it is at most `buckets` rows,
-    # so the keyless window and the broadcast are bounded by construction;
-    # with groups the join is left to AQE's size-checked broadcast.
+    # One row per (group, range): without groups at most MAX_RANGES rows, so the
+    # keyless window and the broadcast are bounded; with groups the join is left
+    # to AQE's size-checked broadcast.
     w = (Window.partitionBy(*parts) if parts else Window).orderBy("_range")
     offsets = totals.select(
         *parts, "_range",

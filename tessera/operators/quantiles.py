@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import APPROX_ACCURACY, DEFAULT_BUCKETS, with_range_bucket
+from tessera.operators.ordered import APPROX_ACCURACY, ROWS_PER_RANGE, plan_ranges, range_column
 
 
 def _edge_names(prefix: str, k: int) -> list[str]:
@@ -26,36 +26,34 @@ def _edge_names(prefix: str, k: int) -> list[str]:
 
 
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float], str]],
-                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One-row frame of exact linear quantiles for several columns at once.
 
     ``spec`` maps a column to ``(probs, prefix)``; the output has columns
     ``{prefix}0..`` per column. NULLs are ignored; an all-NULL column gives NULLs.
+    Plan: range tagging per column -> one (column, range, value) count
+    aggregate with map-side combine -> offsets of the ranges (small, broadcast)
+    -> running count inside each range -> the <= 2 rows per probability that
+    hold the needed ranks -> one-row interpolation.
     """
     cols = list(spec)
-    grid = [i / buckets for i in range(1, buckets)]
-    cut_row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), grid, APPROX_ACCURACY).alias(f"_c{j}")
-                       for j, c in enumerate(cols)]).first()
-    parts = None
-    for j, c in enumerate(cols):
-        cuts: list[float] = []
-        for x in (cut_row[f"_c{j}"] or []):
-            if x is not None and (not cuts or x > cuts[-1]):
-                cuts.append(float(x))
-        counts = (df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-                  .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-        tagged = with_range_bucket(counts, "v", "_range", cuts=cuts).withColumn("_k", F.lit(j))
-        parts = tagged if parts is None else parts.unionByName(tagged)
-
-    totals = parts.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
-    # <= len(cols) * buckets rows: bounded by construction, safe to broadcast.
+    vals = df.select(*[F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(cols)])
+    cuts = plan_ranges(vals, [f"_v{j}" for j in range(len(cols))], rows_per_range)
+    for j in range(len(cols)):
+        vals = range_column(f"_v{j}", cuts[j], f"_r{j}")(vals)
+    long = (vals.select(F.explode(F.array(*[
+        F.struct(F.lit(j).alias("_k"), F.col(f"_r{j}").alias("_range"), F.col(f"_v{j}").alias("v"))
+        for j in range(len(cols))])).alias("_e")).select("_e.*").where(F.col("v").isNotNull()))
+    counts = long.groupBy("_k", "_range", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    totals = counts.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
+    # <= len(cols) * MAX_RANGES rows: bounded by construction, safe to broadcast.
     offsets = totals.select(
         "_k", "_range",
         F.coalesce(F.sum("_tot").over(Window.partitionBy("_k").orderBy("_range")
                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_tot").over(Window.partitionBy("_k")).alias("n"))
     within = Window.partitionBy("_k", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (parts.join(F.broadcast(offsets), ["_k", "_range"])
+    ranked = (counts.join(F.broadcast(offsets), ["_k", "_range"])
               .withColumn("before", F.col("_off") + F.coalesce(F.sum("cnt").over(within), F.lit(0))))
 
     hits, aggs = F.lit(False), []
