@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import title_case
-from tessera.operators.quantiles import quantiles
+from tessera.operators.quantiles import quantiles_multi
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -86,13 +86,15 @@ def fk_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 
 def with_anomaly_flags(df: DataFrame, spec: dict[str, float], method: str = "exact") -> DataFrame:
-    """Attach ``{col}_threshold`` (quantile at p) and ``{col}_anomaly`` (strictly above)."""
-    out = df
-    for col, p in spec.items():
-        q = quantiles(df, col, [p], method, prefix=f"_{col}_t").withColumnRenamed(
-            f"_{col}_t0", f"{col}_threshold")
-        out = out.crossJoin(F.broadcast(q)).withColumn(
-            f"{col}_anomaly", F.coalesce(F.col(col) > F.col(f"{col}_threshold"), F.lit(False)))
+    """Attach ``{col}_threshold`` (quantile at p) and ``{col}_anomaly`` (strictly above).
+
+    All thresholds come from one multi-column quantile pass (one row, broadcast).
+    """
+    q = quantiles_multi(df, {col: ([p], f"_{col}_t") for col, p in spec.items()}, method)
+    out = df.crossJoin(F.broadcast(q))
+    for col in spec:
+        out = (out.withColumnRenamed(f"_{col}_t0", f"{col}_threshold")
+               .withColumn(f"{col}_anomaly", F.coalesce(F.col(col) > F.col(f"{col}_threshold"), F.lit(False))))
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_half_up, safe_ratio0, try_ratio
 from tessera.operators.ordered import ordered_prefix_sum
+from tessera.session import materialize
 
 
 def _counts(scored: DataFrame, label: str, pred: str, group: Sequence[str]) -> DataFrame:
@@ -57,8 +58,8 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
     no global sort runs in one task. NULL when a class is absent.
     """
     g = list(group)
-    per_score = scored.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
+    per_score = materialize(scored.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")))
     ranked = ordered_prefix_sum(per_score, ["_s"], "_n", "_neg_below", partition_cols=g)
     out = ranked.groupBy(*g).agg(
         F.sum(F.col("_p") * (F.col("_neg_below") + F.col("_n") / F.lit(2.0))).alias("_num"),

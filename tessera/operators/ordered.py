@@ -32,22 +32,30 @@ APPROX_ACCURACY = 10000
 
 
 def plan_ranges(df: DataFrame, cols: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
-                max_ranges: int = MAX_RANGES) -> list[list[float]]:
-    """Per column, the cut points of ``ceil(n / rows_per_range)`` equi-depth ranges.
+                max_ranges: int = MAX_RANGES, by: str | None = None, groups: int = 1) -> list[list[float]]:
+    """Cut points of ``ceil(rows / rows_per_range)`` equi-depth ranges.
 
-    A count comes first; only inputs that need more than one range pay for the
-    ``percentile_approx`` grid (one more aggregate, all columns together). An
+    Without ``by``: one cut list per column of ``cols``. With ``by`` (an int
+    column 0..groups-1): one cut list per group value, for the single column
+    ``cols[0]``. A count comes first; only inputs that need more than one
+    range pay for the ``percentile_approx`` grid (one more aggregate). An
     empty cut list means a single range.
     """
-    n = df.count()
+    if by is None:
+        n = df.count()
+        exprs = [F.col(c).cast("double") for c in cols]
+    else:
+        per = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+        n = max(per.values(), default=0)
+        exprs = [F.when(F.col(by) == g, F.col(cols[0]).cast("double")) for g in range(groups)]
     ranges = max(1, min(max_ranges, math.ceil(n / rows_per_range)))
     if ranges == 1:
-        return [[] for _ in cols]
+        return [[] for _ in exprs]
     grid = [i / ranges for i in range(1, ranges)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), grid, APPROX_ACCURACY).alias(f"_g{j}")
-                   for j, c in enumerate(cols)]).first()
+    row = df.agg(*[F.percentile_approx(e, grid, APPROX_ACCURACY).alias(f"_g{j}")
+                   for j, e in enumerate(exprs)]).first()
     out = []
-    for j in range(len(cols)):
+    for j in range(len(exprs)):
         cuts: list[float] = []
         for x in row[f"_g{j}"] or []:
             if x is not None and (not cuts or x > cuts[-1]):

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ordered import APPROX_ACCURACY, ROWS_PER_RANGE, plan_ranges, range_column
+from tessera.session import materialize
 
 
 def _edge_names(prefix: str, k: int) -> list[str]:
@@ -31,20 +32,25 @@ def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float],
 
     ``spec`` maps a column to ``(probs, prefix)``; the output has columns
     ``{prefix}0..`` per column. NULLs are ignored; an all-NULL column gives NULLs.
-    Plan: range tagging per column -> one (column, range, value) count
-    aggregate with map-side combine -> offsets of the ranges (small, broadcast)
-    -> running count inside each range -> the <= 2 rows per probability that
-    hold the needed ranks -> one-row interpolation.
+    Plan: one (column, value) count aggregate with map-side combine, written
+    once -> value ranges sized by the number of distinct values -> offsets of
+    the ranges (small, broadcast) -> running count inside each range -> the
+    <= 2 rows per probability that hold the needed ranks -> one-row
+    interpolation.
     """
     cols = list(spec)
-    vals = df.select(*[F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(cols)])
-    cuts = plan_ranges(vals, [f"_v{j}" for j in range(len(cols))], rows_per_range)
+    long = (df.select(F.explode(F.array(*[
+        F.struct(F.lit(j).alias("_k"), F.col(c).cast("double").alias("v")) for j, c in enumerate(cols)]))
+        .alias("_e")).select("_e.*").where(F.col("v").isNotNull()))
+    # Distinct values per column with their multiplicity: the table every later
+    # step reads (range sizing, ranking). Written once; small next to the input.
+    distinct = materialize(long.groupBy("_k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    cuts = plan_ranges(distinct, ["v"], rows_per_range, by="_k", groups=len(cols))
+    counts = distinct.withColumn("_range", F.lit(0))
     for j in range(len(cols)):
-        vals = range_column(f"_v{j}", cuts[j], f"_r{j}")(vals)
-    long = (vals.select(F.explode(F.array(*[
-        F.struct(F.lit(j).alias("_k"), F.col(f"_r{j}").alias("_range"), F.col(f"_v{j}").alias("v"))
-        for j in range(len(cols))])).alias("_e")).select("_e.*").where(F.col("v").isNotNull()))
-    counts = long.groupBy("_k", "_range", "v").agg(F.count(F.lit(1)).alias("cnt"))
+        if cuts[j]:
+            counts = range_column("v", cuts[j], f"_r{j}")(counts).withColumn(
+                "_range", F.when(F.col("_k") == j, F.col(f"_r{j}")).otherwise(F.col("_range"))).drop(f"_r{j}")
     totals = counts.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
     # <= len(cols) * MAX_RANGES rows: bounded by construction, safe to broadcast.
     offsets = totals.select(

@@ -4,13 +4,14 @@ A plain ``lag(ts) over (partition by user order by ts)`` sorts all events of
 a user in a single task; a user with a third of all events would stall the
 job. Here each user's time line is cut into buckets of ``bucket_seconds``:
 
-* the gap test runs in windows partitioned by ``(user, bucket)``;
-* the first event of a bucket gets its predecessor from the previous
-  non-empty bucket's latest timestamp, carried over a per-``(user, bucket)``
-  aggregate (one row per bucket, not per event);
+* the gap test between neighbours of one bucket runs in a window
+  partitioned by ``(user, bucket)``;
+* whether a bucket's first event starts a session, and the latest start
+  before a bucket, come from a per-``(user, bucket)`` aggregate (one row per
+  bucket, not per event) and a window over those rows;
 * the session an event belongs to is identified by the ``(ts, event_id)`` of
-  its starting event: a running max inside the bucket, else carried the same
-  way from earlier buckets.
+  its starting event: the latest start inside the bucket, else the bucket's
+  first event if it starts one, else the start carried from earlier buckets.
 
 A session is "new" when there is no earlier event of the user or the event is
 more than ``gap_seconds`` after the previous one (ties ordered by id).
@@ -30,35 +31,45 @@ def _micros(ts: str):
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
                gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
     """Add ``session_start_us`` / ``session_start_id`` (the key of the session's
-    first event) and ``new_session`` to every event."""
+    first event) to every event.
+
+    One window pass over the events, partitioned by ``(user, bucket)``, finds
+    the starts that are visible inside a bucket (gap to the previous event of
+    the same bucket). A per-``(user, bucket)`` aggregate over that same
+    partitioning (no extra shuffle of events) keeps the bucket's first event,
+    last event and last inner start; a window over those per-bucket rows
+    decides whether each bucket's first event starts a session and carries
+    the latest start forward. One join brings the carry back.
+    """
     bucket_us = int((bucket_seconds or gap_seconds) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
     ev = (events.withColumn("_us", _micros(ts))
           .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)).cast("long")))
-
-    per_bucket = ev.groupBy(user, "_b").agg(F.max("_us").alias("_b_max_us"))
-    carry_w = Window.partitionBy(user).orderBy("_b")
-    prev_bucket = per_bucket.select(
-        user, "_b", F.lag("_b_max_us").over(carry_w).alias("_prev_bucket_us"))
-
+    key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     in_bucket = Window.partitionBy(user, "_b").orderBy("_us", tie)
-    flagged = (ev.join(prev_bucket, [user, "_b"], "left")
-               .withColumn("_prev_us", F.coalesce(F.lag("_us").over(in_bucket), F.col("_prev_bucket_us")))
-               .withColumn("new_session", F.col("_prev_us").isNull()
-                           | (F.col("_us") - F.col("_prev_us") > F.lit(gap_us)))
-               .drop("_prev_bucket_us", "_prev_us"))
-
-    start_key = F.when(F.col("new_session"), F.struct(F.col("_us").alias("us"), F.col(tie).alias("id")))
-    bucket_starts = flagged.groupBy(user, "_b").agg(F.max(start_key).alias("_last_start"))
-    carried = bucket_starts.select(
-        user, "_b", F.max("_last_start").over(
-            carry_w.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_start"))
     running = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = (flagged.join(carried, [user, "_b"], "left")
-           .withColumn("_start", F.coalesce(F.max(start_key).over(running), F.col("_carry_start"))))
+    prev = F.lag("_us").over(in_bucket)
+    inner = ev.withColumn("_inner_start", F.when(prev.isNotNull() & (F.col("_us") - prev > F.lit(gap_us)), key))
+    inner = inner.withColumn("_inner_last", F.max("_inner_start").over(running))
+
+    per_bucket = inner.groupBy(user, "_b").agg(
+        F.min(key).alias("_first"), F.max("_us").alias("_last_us"), F.max("_inner_start").alias("_inner_max"))
+    carry_w = Window.partitionBy(user).orderBy("_b")
+    prev_last = F.lag("_last_us").over(carry_w)
+    first_new = prev_last.isNull() | (F.col("_first.us") - prev_last > F.lit(gap_us))
+    buckets = (per_bucket
+               .withColumn("_first_start", F.when(first_new, F.col("_first")))
+               .withColumn("_bucket_last_start", F.coalesce("_inner_max", "_first_start")))
+    buckets = buckets.select(
+        user, "_b", "_first_start",
+        F.max("_bucket_last_start").over(carry_w.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+
+    out = inner.join(buckets, [user, "_b"], "left").withColumn(
+        "_start", F.coalesce("_inner_last", "_first_start", "_carry"))
     return (out.withColumn("session_start_us", F.col("_start.us"))
             .withColumn("session_start_id", F.col("_start.id"))
-            .drop("_start", "_carry_start", "_b", "_us"))
+            .withColumn("new_session", (F.col("_start.us") == F.col("_us")) & (F.col("_start.id") == F.col(tie)))
+            .drop("_start", "_carry", "_first_start", "_inner_start", "_inner_last", "_b", "_us"))
 
 
 def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",

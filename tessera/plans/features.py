@@ -8,6 +8,7 @@ from tessera.functions import columns as C
 from tessera.operators.quantiles import quantile_scores
 from tessera.operators.stats import (apply_standard_scaler, fit_standard_scaler, label_encode,
                                      one_hot, value_counts)
+from tessera.session import materialize
 
 
 def _as_of(as_of: str):
@@ -49,7 +50,7 @@ def rfm_scores(rfm: DataFrame, on_tie: str = "collapse", method: str = "exact")
 
 def rfm_features(tx: DataFrame, as_of: str, on_tie: str = "collapse", method: str = "exact") -> DataFrame:
     """RFM aggregate + scores + combined score + segment."""
-    scored = rfm_scores(rfm_aggregate(tx, as_of), on_tie, method)
+    scored = rfm_scores(materialize(rfm_aggregate(tx, as_of)), on_tie, method)
     return (scored.withColumn("rfm_score", C.rfm_mean("recency_score", "frequency_score", "monetary_score"))
             .withColumn("customer_segment", C.rfm_segment("rfm_score")))
 
@@ -61,8 +62,8 @@ def segment_distribution(rfm: DataFrame) -> DataFrame:
 # --- customers ----------------------------------------------------------------
 def customer_features(customers: DataFrame, as_of: str) -> DataFrame:
     """Tenure days, age band, gender / city codes, loyalty = tenure / max tenure."""
-    out = customers.withColumn("days_since_registration", days_since("registration_date", as_of))
-    out = out.withColumn("age_group", C.age_group("age"))
+    out = materialize(customers.withColumn("days_since_registration", days_since("registration_date", as_of))
+                      .withColumn("age_group", C.age_group("age")))
     out, _ = label_encode(out, "gender", "gender_encoded")
     out, _ = label_encode(out, "city", "city_encoded")
     max_days = out.agg(F.max("days_since_registration").alias("_max_days"))
@@ -115,7 +116,7 @@ def ml_dataset(cust_feat: DataFrame, rfm: DataFrame, beh_feat: DataFrame,
     joined = with_churn_label(join_features(cust_feat, rfm, beh_feat))
     num = [c for c in NUMERICAL_FEATURES
            if not (drop_leaky and c in ("churn_risk_score", "recency_days", "rfm_score"))]
-    sel = joined.select(*num, *CATEGORICAL_FEATURES, "target_churn", "customer_id")
+    sel = materialize(joined.select(*num, *CATEGORICAL_FEATURES, "target_churn", "customer_id"))
     filled = sel.fillna(0.0, subset=[c for c in num if dict(sel.dtypes)[c] == "double"]) \
                 .fillna(0, subset=[c for c in num if dict(sel.dtypes)[c] != "double"])
     stats = fit_standard_scaler(filled, num)

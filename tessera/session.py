@@ -65,3 +65,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the reliable checkpoint folder (stream state, sinks)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tessera", *parts)
+
+
+def materialize(df):
+    """Write ``df`` once to the reliable checkpoint folder and continue from it.
+
+    Used for small derived tables (one row per customer) that several later
+    steps read — the count that sizes value ranges, the quantile branch, the
+    scoring branch, the scaler fit and apply. Without it each consumer would
+    re-run the full scan and shuffle of the raw tables; with it the raw
+    tables are read once and lineage is cut (an executor loss re-reads the
+    checkpoint instead of recomputing the pipeline).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
