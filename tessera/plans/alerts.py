@@ -112,3 +112,9 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
 def filter_alerts(alerts: DataFrame, severity: str | None = None) -> DataFrame:
     """Case-sensitive severity filter; no severity -> all alerts."""
     return alerts if not severity else alerts.where(F.col("severity") == severity)
+
+
+def append_history(history: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Append new alerts (or prediction records) to a history; columns missing on
+    either side become NULL."""
+    return new if history is None else history.unionByName(new, allowMissingColumns=True)

@@ -454,7 +454,35 @@ def q_log_families(c: Ctx):
     return runlog.log_families(S.run_log_from_events(c.t.events))
 
 
+@_q
+def q_run_log_tail(c: Ctx):
+    return runlog.tail(S.run_log_from_events(c.t.events), 5).select("timestamp", "step", "status")
+
+
+def q_run_log_io(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the run log as JSON (sink), read it back (source), compute the success rate."""
+    import uuid
+
+    from tessera.session import scratch_path
+    from tessera.sources.runlog_io import read_run_log, write_run_log
+    path = scratch_path(spark, "runlog", uuid.uuid4().hex[:8])
+    write_run_log(S.run_log_from_events(Ctx(spark, sf_dir).t.events), path)
+    return runlog.success_rate(read_run_log(spark, path))
+
+
+@_q
+def q_drift_recommendations(c: Ctx):
+    return monitor.drift_recommendations(monitor.drift(c.log(), DRIFT_WINDOW))
+
+
+@_q
+def q_roi_recommendations(c: Ctx):
+    return roi.roi_recommendations(roi.roi_summary(*_cb(c), period_days=90))
+
+
 QUERIES = {
+    "run_log_tail": q_run_log_tail, "run_log_io": q_run_log_io,
+    "drift_recommendations": q_drift_recommendations, "roi_recommendations": q_roi_recommendations,
     "rfm_features": q_rfm_features, "rfm_aggregate": q_rfm_aggregate, "rfm_scores": q_rfm_scores,
     "rfm_segments": q_rfm_segments, "segment_distribution": q_segment_distribution,
     "clean_dedupe": q_clean_dedupe, "clean_transactions": q_clean_transactions,

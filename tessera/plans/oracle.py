@@ -575,4 +575,34 @@ SELECT CASE WHEN contains(event_type, 'data_collection') THEN 'data_collection'
             ELSE 'other' END AS family,
        count(*) AS steps, count_if(event_type <> 'error') AS successes
 FROM events GROUP BY 1""",
+    "run_log_tail": """
+SELECT ts AS timestamp, event_type AS step, CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status
+FROM events ORDER BY ts DESC LIMIT 5""",
+    "run_log_io": """
+SELECT count(*) AS total_steps, count_if(event_type <> 'error') AS successful_steps,
+       coalesce(count_if(event_type <> 'error')::DOUBLE / nullif(count(*), 0)::DOUBLE * 100, 0.0) AS success_rate
+FROM events""",
+    "drift_recommendations": _w(LOG) + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, prediction_id DESC) AS rn FROM plog),
+d AS (
+  SELECT model_name, count(*) AS n,
+         avg(CASE WHEN rn <= 100 THEN prediction END) AS rp, avg(CASE WHEN rn <= 100 THEN confidence END) AS rc,
+         avg(CASE WHEN rn > 100 THEN prediction END) AS hp, avg(CASE WHEN rn > 100 THEN confidence END) AS hc
+  FROM r GROUP BY model_name),
+f AS (SELECT model_name, n >= 100 AND coalesce(abs(rp - hp) > 0.1 OR abs(rc - hc) > 0.1, false) AS det,
+             CASE WHEN n >= 100 THEN rc END AS rc FROM d)
+SELECT model_name, 'Model drift detected - consider retraining' AS recommendation FROM f WHERE det
+UNION ALL SELECT model_name, 'Investigate data quality changes' FROM f WHERE det
+UNION ALL SELECT model_name, 'Review feature distribution shifts' FROM f WHERE det
+UNION ALL SELECT model_name, 'Low confidence scores - consider model ensemble' FROM f WHERE rc < 0.7""",
+    "roi_recommendations": _w(ROI) + """
+, s AS (SELECT floor((B - C) / C * 100 * 1e2 + 0.5) / 1e2 AS roi FROM roi_t)
+SELECT recommendation FROM s, (VALUES
+  (1, 'Excellent ROI - recommend scaling the initiative'), (1, 'Consider expanding to additional use cases'),
+  (1, 'Allocate more resources for faster deployment'),
+  (2, 'Positive ROI - continue with current plan'), (2, 'Focus on optimizing high-impact areas'),
+  (2, 'Monitor performance closely'),
+  (3, 'Review cost structure and benefit assumptions'), (3, 'Consider alternative approaches or technologies'),
+  (3, 'Reassess timeline and milestones')) t(band, recommendation)
+WHERE band = CASE WHEN roi > 100 THEN 1 WHEN roi > 50 THEN 2 ELSE 3 END""",
 }
