@@ -6,7 +6,7 @@ Current metrics are computed from real tables as one row, turned into a long
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import alert_id, fmt_percent, round_half_up
@@ -30,10 +30,16 @@ def rules_frame(spark) -> DataFrame:
                                               "threshold double, severity string, title string")
 
 
-def alert_metrics(segment_customers: DataFrame, log: DataFrame, trend: DataFrame) -> DataFrame:
-    """One row: avg_churn_risk, avg_confidence, accuracy_trend, volume_ratio
-    (last day volume / mean of the earlier days), opportunity_customers, plus
-    the impact figures the alerts carry."""
+def alert_metrics(segment_customers: DataFrame, daily: DataFrame, k: int = 7) -> DataFrame:
+    """One row: avg_churn_risk, avg_confidence, accuracy_trend (mean of the last k
+    days minus the first k), volume_ratio (last day volume / mean of the
+    earlier days), opportunity_customers, plus the impact figures the alerts
+    carry.
+
+    ``daily`` is the per-day prediction aggregate (day, daily_volume,
+    daily_confidence_sum, daily_accuracy): the log is read once and every
+    log metric comes from that one-row-per-day table.
+    """
     sc = segment_customers
     churn = sc.agg(
         F.avg("churn_risk").alias("avg_churn_risk"),
@@ -45,14 +51,17 @@ def alert_metrics(segment_customers: DataFrame, log: DataFrame, trend: DataFrame
         F.coalesce(F.sum(F.when((F.col("segment") == OPPORTUNITY_SEGMENT)
                                 & (F.col("interest_diversity") < OPPORTUNITY_DIVERSITY_CEILING),
                                 F.col("monetary_avg"))), F.lit(0.0)).alias("potential_revenue"))
-    conf = log.agg(F.avg("confidence").alias("avg_confidence"))
-    daily = log.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("v"))
-    last = daily.agg(F.max("day").alias("_last_day"))
-    vol = (daily.crossJoin(F.broadcast(last))
-           .agg(F.max(F.when(F.col("day") == F.col("_last_day"), F.col("v"))).alias("_lv"),
-                F.avg(F.when(F.col("day") < F.col("_last_day"), F.col("v"))).alias("_ev"))
-           .select(F.try_divide(F.col("_lv").cast("double"), F.col("_ev")).alias("volume_ratio")))
-    return (churn.crossJoin(conf).crossJoin(trend.select("accuracy_trend")).crossJoin(vol)
+    # One row per day: the keyless windows below are bounded by the number of days.
+    first_k = F.row_number().over(Window.orderBy("day"))
+    last_k = F.row_number().over(Window.orderBy(F.col("day").desc()))
+    d = daily.withColumn("_a", first_k).withColumn("_d", last_k)
+    logm = d.agg(
+        (F.sum("daily_confidence_sum") / F.sum("daily_volume")).alias("avg_confidence"),
+        (F.avg(F.when(F.col("_d") <= k, F.col("daily_accuracy")))
+         - F.avg(F.when(F.col("_a") <= k, F.col("daily_accuracy")))).alias("accuracy_trend"),
+        F.try_divide(F.max(F.when(F.col("_d") == 1, F.col("daily_volume"))).cast("double"),
+                     F.avg(F.when(F.col("_d") > 1, F.col("daily_volume")))).alias("volume_ratio"))
+    return (churn.crossJoin(logm)
             .select(*METRICS, "affected_customers", "estimated_revenue_impact", "potential_revenue"))
 
 

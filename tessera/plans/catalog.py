@@ -408,7 +408,7 @@ def q_performance_recommendations(c: Ctx):
 
 # --- alerts ---------------------------------------------------------------------------------
 def _alerts(c: Ctx):
-    m = alerts.alert_metrics(c.segment_customers(), c.log(), c.overall_trend())
+    m = alerts.alert_metrics(c.segment_customers(), monitor.daily_series(c.log(), None))
     return alerts.evaluate_rules(m, alerts.rules_frame(c.spark))
 
 

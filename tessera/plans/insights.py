@@ -26,7 +26,9 @@ def segment_insights(sc: DataFrame) -> DataFrame:
         F.avg("monetary_total").alias("_mon"), F.avg("frequency").alias("_freq"),
         F.avg("recency_days").alias("_rec"), F.avg("churn_risk").alias("_churn"),
         F.avg("satisfaction_score").alias("_sat"))
-    total = sc.agg(F.count(F.lit(1)).alias("_total"))
+    # The customer total comes from the (at most one row per segment) aggregate,
+    # not from a second pass over the customers.
+    total = agg.agg(F.sum("_n").alias("_total"))
     out = segment_domain(sc.sparkSession).join(agg, "segment", "left").crossJoin(F.broadcast(total))
     n = F.coalesce(F.col("_n"), F.lit(0))
     return out.select(

@@ -72,7 +72,8 @@ def daily_series(log: DataFrame, model: str | None = "model_name") -> DataFrame:
     """Per (model, day): daily_accuracy (mean confidence) and daily_volume."""
     keys = ([model] if model else []) + [F.to_date("ts").alias("day")]
     return log.groupBy(*keys).agg(F.avg("confidence").alias("daily_accuracy"),
-                                  F.count(F.lit(1)).alias("daily_volume"))
+                                  F.count(F.lit(1)).alias("daily_volume"),
+                                  F.sum("confidence").alias("daily_confidence_sum"))
 
 
 def accuracy_trend(daily: DataFrame, k: int = 7, model: str | None = "model_name",
