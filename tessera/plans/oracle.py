@@ -197,7 +197,7 @@ heatmap AS (SELECT day_of_week, hour_group, avg(avg_confidence) AS avg_confidenc
 
 PROFILE = f"""
 profile AS (
-  SELECT hour(hour_ts) AS hour, {R('avg(predictions_count)', 2)} AS predictions_count,
+  SELECT CAST(hour(hour_ts) AS INTEGER) AS hour, {R('avg(predictions_count)', 2)} AS predictions_count,
          {R('avg(positive_rate)', 2)} AS positive_rate, {R('avg(avg_confidence)', 2)} AS avg_confidence
   FROM hourly GROUP BY 1)
 """
@@ -606,3 +606,22 @@ SELECT recommendation FROM s, (VALUES
   (3, 'Reassess timeline and milestones')) t(band, recommendation)
 WHERE band = CASE WHEN roi > 100 THEN 1 WHEN roi > 50 THEN 2 ELSE 3 END""",
 }
+
+
+def _count_filter(sql: str) -> str:
+    """Write ``count_if(cond)`` as ``count(*) FILTER (WHERE cond)`` (BIGINT, like Spark's count_if)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + f"(count(*) FILTER (WHERE {sql[j + len(key):k - 1]}))")
+        i = k
+
+
+ORACLE_SQL = {k: _count_filter(v) for k, v in ORACLE_SQL.items()}
