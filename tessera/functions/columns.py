@@ -183,3 +183,12 @@ def try_ratio(num: Column, den: Column) -> Column:
 def safe_ratio0(num: Column, den: Column) -> Column:
     """Division that yields 0 on an empty denominator (metric convention)."""
     return F.coalesce(try_ratio(num, den), F.lit(0.0))
+
+
+def epoch_micros(df, col: str) -> Column:
+    """Microseconds since 1970-01-01 for a timestamp column, independent of the
+    session time zone for ``timestamp_ntz`` (no cast through local time, so
+    gaps across a daylight-saving change stay exact)."""
+    if dict(df.dtypes)[col] == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{col}`)")
+    return F.unix_micros(F.col(col))

@@ -21,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_GAP_SECONDS = 6 * 3600
-
+from tessera.functions.columns import epoch_micros
 
-def _micros(ts: str):
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+DEFAULT_GAP_SECONDS = 6 * 3600
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
@@ -43,7 +41,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
     """
     bucket_us = int((bucket_seconds or gap_seconds) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
-    ev = (events.withColumn("_us", _micros(ts))
+    ev = (events.withColumn("_us", epoch_micros(events, ts))
           .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)).cast("long")))
     key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     in_bucket = Window.partitionBy(user, "_b").orderBy("_us", tie)
@@ -76,10 +74,11 @@ def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str
              gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
     """One row per session: user, session_start, session_end, n_events, duration_us."""
     tagged = sessionize(events, user, ts, tie, gap_seconds)
+    us = epoch_micros(tagged, ts)
     return (tagged.groupBy(user, "session_start_us", "session_start_id")
             .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
                  F.count(F.lit(1)).alias("n_events"),
-                 (F.max(_micros(ts)) - F.min(_micros(ts))).alias("duration_us"))
+                 (F.max(us) - F.min(us)).alias("duration_us"))
             .drop("session_start_us", "session_start_id"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import round_half_up, try_ratio
+from tessera.functions.columns import epoch_micros, round_half_up, try_ratio
 from tessera.operators.metrics import select_best
 
 # FIXED VALUES: drift thresholds (strict >) and the report baselines.
@@ -157,8 +157,8 @@ def performance_recommendations(report: DataFrame) -> DataFrame:
 def realtime_summary(log: DataFrame, model: str = "model_name") -> DataFrame:
     """Per model: total, span seconds, rate per second (2 dp), positive rate and
     mean confidence (4 dp)."""
-    span_s = (F.max(F.unix_micros(F.col("ts").cast("timestamp")))
-              - F.min(F.unix_micros(F.col("ts").cast("timestamp")))) / F.lit(1e6)
+    us = epoch_micros(log, "ts")
+    span_s = (F.max(us) - F.min(us)) / F.lit(1e6)
     g = log.groupBy(model).agg(F.count(F.lit(1)).alias("total_predictions"), span_s.alias("duration_seconds"),
                                F.avg(F.col("prediction").cast("double")).alias("_pr"),
                                F.avg("confidence").alias("_c"))
