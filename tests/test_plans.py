@@ -68,3 +68,14 @@ def test_results_do_not_depend_on_partitioning(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert out[0] == out[1]
+
+
+def test_per_key_reductions_combine_before_shuffle(no_aqe):
+    """Hot keys: keep-first and RFM reduce inside each task before the shuffle."""
+    from tessera.plans.catalog import QUERIES
+    dd = QUERIES["clean_dedupe"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in dd and dd.index("Exchange") < dd.index("partial_min_by")
+    rfm = QUERIES["rfm_aggregate"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in rfm and rfm.index("Exchange") < rfm.index("partial_count")
+    drift = QUERIES["drift"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in drift and "Partial" in drift
