@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import title_case
@@ -11,17 +11,15 @@ from tessera.operators.quantiles import quantiles_multi
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keep, per key, the row that comes first in ``order_by`` (a total order).
+    """Keep, per key, the row that comes first in ``order_by`` (must be a total order).
 
-    Expressed as ``min_by(struct(row), struct(order))``: an aggregate with a
-    map-side partial step, so a key holding a third of all rows is reduced in
-    every task before the shuffle instead of being sorted in one window task.
+    ``row_number() = 1`` over ``partitionBy(keys).orderBy(order)``: Spark plans
+    a per-task top-1 (``WindowGroupLimit``) before the shuffle, so a key
+    holding a third of all rows leaves every task as one row; measured faster
+    than the ``min_by(struct)`` aggregate, which needs sort-based aggregation.
     """
-    payload = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_by])
-    agg = (df.groupBy(*keys)
-           .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_first")))
-    return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload]).select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_by])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def filter_range(df: DataFrame, col: str, lo, hi) -> DataFrame:

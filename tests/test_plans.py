@@ -74,7 +74,9 @@ def test_per_key_reductions_combine_before_shuffle(no_aqe):
     """Hot keys: keep-first and RFM reduce inside each task before the shuffle."""
     from tessera.plans.catalog import QUERIES
     dd = QUERIES["clean_dedupe"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in dd and dd.index("Exchange") < dd.index("partial_min_by")
+    # top-1 per key on both sides of the shuffle (printed root-first: final, exchange, partial)
+    ex = dd.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in dd[:ex] and "WindowGroupLimit" in dd[ex:]
     rfm = QUERIES["rfm_aggregate"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in rfm and rfm.index("Exchange") < rfm.index("partial_count")
     drift = QUERIES["drift"](no_aqe, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
