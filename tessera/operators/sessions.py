@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import epoch_micros
 
 DEFAULT_GAP_SECONDS = 6 * 3600
+# Bucket width: any width gives the same sessions; narrower buckets spread a hot
+# user's events over more tasks (the per-bucket table grows by one row per
+# non-empty bucket). Default: the gap, capped at one hour.
+DEFAULT_BUCKET_SECONDS = 3600
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
@@ -39,7 +43,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
     decides whether each bucket's first event starts a session and carries
     the latest start forward. One join brings the carry back.
     """
-    bucket_us = int((bucket_seconds or gap_seconds) * 1_000_000)
+    bucket_us = int((bucket_seconds or min(gap_seconds, DEFAULT_BUCKET_SECONDS)) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
     ev = (events.withColumn("_us", epoch_micros(events, ts))
           .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)).cast("long")))
