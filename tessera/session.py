@@ -35,7 +35,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        pass
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         spark.conf.set(k, conf[k])
     ensure_checkpoint_dir(spark)
@@ -50,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder; on a cluster a missing setting is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -66,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the reliable checkpoint folder (stream state, sinks)."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     return os.path.join(base, "tessera", *parts)
 
 
