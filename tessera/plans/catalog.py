@@ -14,6 +14,7 @@ from tessera.functions import columns as C
 from tessera.functions.columns import round_half_up
 from tessera.operators import clean, metrics, sessions, stats
 from tessera.plans import alerts, dashboard, features, insights, monitor, roi, runlog
+from tessera.session import materialize
 from tessera.sources import tables as S
 
 AS_OF_ORDERS = "2001-12-31"
@@ -66,7 +67,8 @@ class Ctx:
     def perf(self):
         seq = F.create_map(*[x for i, n in enumerate(S.DOCUMENT_SCORERS) for x in (F.lit(n), F.lit(i))])
         p = metrics.model_performance(self.scored())
-        return p.withColumn("model_seq", seq[F.col("model_name")])
+        # one row per model, read by several consumers: written once
+        return materialize(p.withColumn("model_seq", seq[F.col("model_name")]))
 
     def overall_trend(self):
         return monitor.accuracy_trend(monitor.daily_series(self.log(), None), model=None)

@@ -43,15 +43,23 @@ def top_insights(si: DataFrame) -> DataFrame:
     """Most valuable segment, worst high-risk segment (if any), lowest-frequency segment.
 
     Compares the *rounded* segment values; ties go to the earlier segment.
+    One aggregate over the segment table (arg-max / arg-min by a struct whose
+    second field breaks ties), so the segment plan is evaluated once.
     """
-    rev = (si.orderBy(F.col("avg_monetary").desc_nulls_last(), "segment_order").limit(1)
-           .select(F.lit("revenue").alias("insight_type"), "segment", F.col("avg_monetary").alias("value")))
-    risk = (si.where(F.col("churn_risk") > TOP_INSIGHT_RISK_FLOOR)
-            .orderBy(F.col("churn_risk").desc(), "segment_order").limit(1)
-            .select(F.lit("risk").alias("insight_type"), "segment", F.col("churn_risk").alias("value")))
-    opp = (si.orderBy(F.col("avg_frequency").asc_nulls_last(), "segment_order").limit(1)
-           .select(F.lit("opportunity").alias("insight_type"), "segment", F.col("avg_frequency").alias("value")))
-    return rev.unionByName(risk).unionByName(opp)
+    order = F.col("segment_order")
+    risky = F.col("churn_risk") > TOP_INSIGHT_RISK_FLOOR
+    picked = si.agg(
+        F.max_by(F.struct("segment", F.col("avg_monetary").alias("value")),
+                 F.struct(F.col("avg_monetary"), -order)).alias("revenue"),
+        F.max_by(F.when(risky, F.struct("segment", F.col("churn_risk").alias("value"))),
+                 F.when(risky, F.struct(F.col("churn_risk"), -order))).alias("risk"),
+        F.min_by(F.struct("segment", F.col("avg_frequency").alias("value")),
+                 F.struct(F.col("avg_frequency").isNull(), F.col("avg_frequency"), order)).alias("opportunity"))
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("insight_type"), F.col(k).alias("pick"))
+                               for k in ("revenue", "risk", "opportunity")])).alias("r")
+    return (picked.select(rows).where(F.col("r.pick").isNotNull())
+            .select(F.col("r.insight_type").alias("insight_type"), F.col("r.pick.segment").alias("segment"),
+                    F.col("r.pick.value").alias("value")))
 
 
 def overall_metrics(sc: DataFrame) -> DataFrame:
