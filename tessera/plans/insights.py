@@ -9,27 +9,29 @@ from tessera.functions.columns import SEGMENTS, round_half_up
 TOP_INSIGHT_RISK_FLOOR = 0.6  # fixed value: a segment is "high risk" above this mean churn risk
 
 
-def segment_domain(spark) -> DataFrame:
-    """The fixed segment list with its order (so empty segments still report)."""
-    return spark.createDataFrame([(i, s) for i, s in enumerate(SEGMENTS)], "segment_order int, segment string")
-
-
 def segment_insights(sc: DataFrame) -> DataFrame:
     """Per segment: count, % of customers, mean rfm / monetary / frequency /
     recency / churn risk / satisfaction (rounded 2,2,2,2,1,3,1).
 
-    One grouped aggregate (the reference scans once per segment) left-joined
-    from the fixed segment list; the customer total is a one-row broadcast.
+    One grouped aggregate (the reference scans once per segment), packed with
+    the customer total into a single row (at most one struct per segment), then
+    expanded over the fixed segment list, so empty segments still report and
+    the customer plan runs once.
     """
     agg = sc.groupBy("segment").agg(
         F.count(F.lit(1)).alias("_n"), F.avg("rfm_score").alias("_rfm"),
         F.avg("monetary_total").alias("_mon"), F.avg("frequency").alias("_freq"),
         F.avg("recency_days").alias("_rec"), F.avg("churn_risk").alias("_churn"),
         F.avg("satisfaction_score").alias("_sat"))
-    # The customer total comes from the (at most one row per segment) aggregate,
-    # not from a second pass over the customers.
-    total = agg.agg(F.sum("_n").alias("_total"))
-    out = segment_domain(sc.sparkSession).join(agg, "segment", "left").crossJoin(F.broadcast(total))
+    packed = agg.agg(F.collect_list(F.struct(*agg.columns)).alias("_segs"), F.sum("_n").alias("_total"))
+    domain = F.array(*[F.struct(F.lit(i).alias("segment_order"), F.lit(name).alias("segment"))
+                       for i, name in enumerate(SEGMENTS)])
+    rows = packed.select(F.explode(domain).alias("_d"), "_segs", "_total")
+    hit = F.try_element_at(F.filter("_segs", lambda x: x["segment"] == F.col("_d.segment")), F.lit(1))
+    out = rows.select(F.col("_d.segment_order").alias("segment_order"), F.col("_d.segment").alias("segment"),
+                      "_total", hit.alias("_s")).select(
+        "segment_order", "segment", "_total",
+        *[F.col(f"_s.{c}").alias(c) for c in ("_n", "_rfm", "_mon", "_freq", "_rec", "_churn", "_sat")])
     n = F.coalesce(F.col("_n"), F.lit(0))
     return out.select(
         "segment_order", "segment", n.alias("count"),
