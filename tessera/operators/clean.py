@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import title_case
-from tessera.operators.quantiles import quantiles_multi
+from tessera.operators.quantiles import exact_quantiles_multi, quantiles_multi, value_counts_multi
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -96,15 +96,23 @@ def with_anomaly_flags(df: DataFrame, spec: dict[str, float], method: str = "exa
     return out
 
 
-def anomaly_counts(df: DataFrame, spec: dict[str, str | float], method: str = "exact") -> DataFrame:
-    """One row: per metric the threshold and the count strictly above it, plus the total.
+def anomaly_counts(df: DataFrame, spec: dict[str, tuple[str, float]]) -> DataFrame:
+    """One row: per metric the exact quantile threshold and the count strictly
+    above it, plus the total.
 
-    ``spec`` maps an output name to ``(column, probability)``.
+    ``spec`` maps an output name to ``(column, probability)``. Thresholds and
+    counts both come from the per-value count table, so the input is scanned
+    once (not once for the quantiles and again for the counts).
     """
-    cols = {name: col for name, (col, _) in spec.items()}
-    flagged = with_anomaly_flags(df, {col: p for col, p in spec.values()}, method)
-    aggs = [F.count(F.lit(1)).alias("total_records")]
-    for name, col in cols.items():
-        aggs += [F.count_if(F.col(f"{col}_anomaly")).alias(f"{name}_count"),
-                 F.max(F.col(f"{col}_threshold")).alias(f"{name}_threshold")]
-    return flagged.agg(*aggs)
+    names = list(spec)
+    cols = [spec[n][0] for n in names]
+    counts = value_counts_multi(df, cols)
+    q = exact_quantiles_multi(df, {c: ([spec[n][1]], f"_t{j}_") for j, (n, c) in enumerate(zip(names, cols))},
+                              counts=counts)
+    j = counts.crossJoin(F.broadcast(q))
+    aggs = [F.sum(F.when(F.col("_k") == 0, F.col("cnt"))).alias("total_records")]
+    for i, n in enumerate(names):
+        t = F.col(f"_t{i}_0")
+        aggs += [F.coalesce(F.sum(F.when((F.col("_k") == i) & (F.col("v") > t), F.col("cnt"))), F.lit(0))
+                 .alias(f"{n}_count"), F.max(t).alias(f"{n}_threshold")]
+    return j.agg(*aggs)

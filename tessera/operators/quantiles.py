@@ -26,25 +26,31 @@ def _edge_names(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
 
+def value_counts_multi(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(_k, v, cnt)``: multiplicity of every value (NULL included) of each column
+    ``cols[_k]``, written once. One scan, one aggregate with map-side combine."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(j).alias("_k"), F.col(c).cast("double").alias("v")) for j, c in enumerate(cols)]))
+        .alias("_e")).select("_e.*")
+    return materialize(long.groupBy("_k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+
+
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float], str]],
-                          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                          rows_per_range: int = ROWS_PER_RANGE, counts: DataFrame | None = None) -> DataFrame:
     """One-row frame of exact linear quantiles for several columns at once.
 
     ``spec`` maps a column to ``(probs, prefix)``; the output has columns
     ``{prefix}0..`` per column. NULLs are ignored; an all-NULL column gives NULLs.
     Plan: one (column, value) count aggregate with map-side combine, written
-    once -> value ranges sized by the number of distinct values -> offsets of
-    the ranges (small, broadcast) -> running count inside each range -> the
-    <= 2 rows per probability that hold the needed ranks -> one-row
-    interpolation.
+    once (``counts`` may pass it in) -> value ranges sized by the number of
+    distinct values -> offsets of the ranges (small, broadcast) -> running
+    count inside each range -> the <= 2 rows per probability that hold the
+    needed ranks -> one-row interpolation.
     """
     cols = list(spec)
-    long = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(j).alias("_k"), F.col(c).cast("double").alias("v")) for j, c in enumerate(cols)]))
-        .alias("_e")).select("_e.*").where(F.col("v").isNotNull()))
-    # Distinct values per column with their multiplicity: the table every later
-    # step reads (range sizing, ranking). Written once; small next to the input.
-    distinct = materialize(long.groupBy("_k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    if counts is None:
+        counts = value_counts_multi(df, cols)
+    distinct = counts.where(F.col("v").isNotNull())
     cuts = plan_ranges(distinct, ["v"], rows_per_range, by="_k", groups=len(cols))
     counts = distinct.withColumn("_range", F.lit(0))
     for j in range(len(cols)):
