@@ -4,10 +4,10 @@ A running total over a global order is the one thing a plain window cannot do
 at scale: ``Window.orderBy(x)`` without ``partitionBy`` moves every row to one
 task. Here the order domain is cut into value ranges first:
 
-1. one aggregate returns the row count and ``percentile_approx`` cut points;
-   the number of ranges is ``ceil(rows / rows_per_range)`` (capped), so small
-   inputs use a single range and big ones spread over many tasks. The cut
-   list is a fitted parameter whose size is bounded by the cap;
+1. a count sizes the number of ranges, ``ceil(rows / rows_per_range)``
+   (capped), so small inputs use a single range and big ones spread over many
+   tasks; only then does one ``percentile_approx`` aggregate return the cut
+   points. The cut list is a fitted parameter whose size is bounded by the cap;
 2. ``Bucketizer`` (binary search, JVM-side) tags each row with its range;
 3. range totals (one row per range) become range offsets through a window
    over that small table, broadcast back — bounded by construction;
@@ -65,7 +65,8 @@ def plan_ranges(df: DataFrame, cols: Sequence[str], rows_per_range: int = ROWS_P
 
 
 def range_column(col: str, cuts: Sequence[float], out_col: str):
-    """Expression-free range tagging plan: returns a function df -> df with ``out_col``."""
+    """Return ``df -> df`` adding ``out_col`` = index of the value range of ``col``
+    (0 when there are no cuts)."""
     def apply(df: DataFrame) -> DataFrame:
         if not cuts:
             return df.withColumn(out_col, F.lit(0))
