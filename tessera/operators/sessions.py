@@ -30,19 +30,10 @@ DEFAULT_GAP_SECONDS = 6 * 3600
 DEFAULT_BUCKET_SECONDS = 3600
 
 
-def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
-               gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
-    """Add ``session_start_us`` / ``session_start_id`` (the key of the session's
-    first event) to every event.
-
-    One window pass over the events, partitioned by ``(user, bucket)``, finds
-    the starts that are visible inside a bucket (gap to the previous event of
-    the same bucket). A per-``(user, bucket)`` aggregate over that same
-    partitioning (no extra shuffle of events) keeps the bucket's first event,
-    last event and last inner start; a window over those per-bucket rows
-    decides whether each bucket's first event starts a session and carries
-    the latest start forward. One join brings the carry back.
-    """
+def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
+              bucket_seconds: int | None) -> tuple[DataFrame, DataFrame]:
+    """(events with in-bucket start info, one row per (user, bucket) with the
+    bucket's own first start if any and the start carried from earlier buckets)."""
     bucket_us = int((bucket_seconds or min(gap_seconds, DEFAULT_BUCKET_SECONDS)) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
     ev = (events.withColumn("_us", epoch_micros(events, ts))
@@ -65,7 +56,23 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
     buckets = buckets.select(
         user, "_b", "_first_start",
         F.max("_bucket_last_start").over(carry_w.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    return inner, buckets
+
+
+def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
+               gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
+    """Add ``session_start_us`` / ``session_start_id`` (the key of the session's
+    first event) and ``new_session`` to every event.
 
+    One window pass over the events, partitioned by ``(user, bucket)``, finds
+    the starts that are visible inside a bucket (gap to the previous event of
+    the same bucket). A per-``(user, bucket)`` aggregate over that same
+    partitioning keeps the bucket's first event, last event and last inner
+    start; a window over those per-bucket rows decides whether each bucket's
+    first event starts a session and carries the latest start forward. One
+    join brings the carry back.
+    """
+    inner, buckets = _bucketed(events, user, ts, tie, gap_seconds, bucket_seconds)
     out = inner.join(buckets, [user, "_b"], "left").withColumn(
         "_start", F.coalesce("_inner_last", "_first_start", "_carry"))
     return (out.withColumn("session_start_us", F.col("_start.us"))
@@ -75,15 +82,23 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
 
 
 def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
-             gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
-    """One row per session: user, session_start, session_end, n_events, duration_us."""
-    tagged = sessionize(events, user, ts, tie, gap_seconds)
-    us = epoch_micros(tagged, ts)
-    return (tagged.groupBy(user, "session_start_us", "session_start_id")
-            .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-                 F.count(F.lit(1)).alias("n_events"),
-                 (F.max(us) - F.min(us)).alias("duration_us"))
-            .drop("session_start_us", "session_start_id"))
+             gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
+    """One row per session: user, session_start, session_end, n_events, duration_us.
+
+    Events are reduced inside the ``(user, bucket)`` partitioning to one row per
+    piece of a session within a bucket; only those pieces are joined with the
+    per-bucket carries and shuffled to be summed per session, never the events.
+    """
+    inner, buckets = _bucketed(events, user, ts, tie, gap_seconds, bucket_seconds)
+    pieces = inner.groupBy(user, "_b", "_inner_last").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min_ts"), F.max(ts).alias("_max_ts"),
+        F.min("_us").alias("_min_us"), F.max("_us").alias("_max_us"))
+    keyed = pieces.join(buckets, [user, "_b"], "left").withColumn(
+        "_start", F.coalesce("_inner_last", "_first_start", "_carry"))
+    return (keyed.groupBy(user, "_start")
+            .agg(F.min("_min_ts").alias("session_start"), F.max("_max_ts").alias("session_end"),
+                 F.sum("_n").alias("n_events"), (F.max("_max_us") - F.min("_min_us")).alias("duration_us"))
+            .drop("_start"))
 
 
 def behavior_from_events(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tessera.operators.quantiles import exact_quantiles_multi
-from tessera.operators.sessions import sessionize
+from tessera.operators.sessions import sessionize, sessions
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -49,3 +49,5 @@ def test_sessions_random(spark, events, gap_min, bucket_min):
             prev, n = ts, n + 1
         exp.append((u, n))
     assert got == sorted(exp)
+    agg = sessions(df, gap_seconds=gap_min * 60, bucket_seconds=bucket_min * 60)
+    assert sorted((r["user_id"], r["n_events"]) for r in agg.collect()) == sorted(exp)
