@@ -158,14 +158,21 @@ def prediction_log_from_events(events: DataFrame) -> DataFrame:
 
 
 # Scorers over documents: (name, score column builder). Prediction = score >= 0.5.
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LETTERS = _UPPER + _UPPER.lower()
+
+
+def _count_chars(text: str, chars: str) -> F.Column:
+    """Occurrences of any of ``chars`` in the whole text (character-map delete, no regex)."""
+    return F.length(F.col(text)) - F.length(F.translate(F.col(text), chars, ""))
+
+
 def _alpha_share(text: str = "text") -> F.Column:
-    letters = F.length(F.regexp_replace(F.col(text), "[^A-Za-z]", ""))
-    return letters / F.greatest(F.length(F.col(text)), F.lit(1))
+    return _count_chars(text, _LETTERS) / F.greatest(F.length(F.col(text)), F.lit(1))
 
 
 def _upper_free_share(text: str = "text") -> F.Column:
-    upper = F.length(F.regexp_replace(F.col(text), "[^A-Z]", ""))
-    return F.lit(1.0) - upper / F.greatest(F.length(F.col(text)), F.lit(1))
+    return F.lit(1.0) - _count_chars(text, _UPPER) / F.greatest(F.length(F.col(text)), F.lit(1))
 
 
 DOCUMENT_SCORERS = {
