@@ -58,6 +58,19 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None,
     return out, model
 
 
+def label_encode_many(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, StringIndexerModel]:
+    """Several label encodings fitted in one pass (``StringIndexer`` with
+    ``inputCols``); ``cols`` maps an input column to its output column."""
+    ins = list(cols)
+    tmp = [f"__{c}_code" for c in ins]
+    model = StringIndexer(inputCols=ins, outputCols=tmp, stringOrderType="alphabetAsc",
+                          handleInvalid="keep").fit(df)
+    out = model.transform(df)
+    for c, t in zip(ins, tmp):
+        out = out.withColumn(cols[c], F.col(t).cast("int")).drop(t)
+    return out, model
+
+
 def label_mapping(model: StringIndexerModel, col: str) -> list[tuple[str, int]]:
     return [(v, i) for i, v in enumerate(model.labels)]
 

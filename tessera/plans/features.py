@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators.quantiles import quantile_scores
-from tessera.operators.stats import (apply_standard_scaler, fit_standard_scaler, label_encode,
+from tessera.operators.stats import (apply_standard_scaler, fit_standard_scaler, label_encode_many,
                                      one_hot, value_counts)
 from tessera.session import materialize
 
@@ -64,8 +64,7 @@ def customer_features(customers: DataFrame, as_of: str) -> DataFrame:
     """Tenure days, age band, gender / city codes, loyalty = tenure / max tenure."""
     out = materialize(customers.withColumn("days_since_registration", days_since("registration_date", as_of))
                       .withColumn("age_group", C.age_group("age")))
-    out, _ = label_encode(out, "gender", "gender_encoded")
-    out, _ = label_encode(out, "city", "city_encoded")
+    out, _ = label_encode_many(out, {"gender": "gender_encoded", "city": "city_encoded"})
     max_days = out.agg(F.max("days_since_registration").alias("_max_days"))
     return (out.crossJoin(F.broadcast(max_days))
             .withColumn("loyalty_score", C.try_ratio(F.col("days_since_registration"), F.col("_max_days")))
