@@ -57,8 +57,8 @@ def q_stream_alerts(spark, sf_dir) -> DataFrame:
 def q_stream_rfm(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "rfm")
     tx = transactions_from_orders(st.read_stream(spark, sf_dir, "orders", "orders.parquet"))
-    st.run_to_completion(st.rfm_stream(tx), sink, ck, mode="complete", foreach_batch=st.snapshot_sink(sink))
-    return spark.read.parquet(sink)
+    st.run_to_completion(st.rfm_stream(tx), sink, ck, mode="update", foreach_batch=st.changes_sink(sink))
+    return st.latest_snapshot(spark, sink)
 
 
 def q_stream_sessions(spark, sf_dir) -> DataFrame:

@@ -113,13 +113,24 @@ def rfm_stream(tx: DataFrame) -> DataFrame:
                                          F.sum("amount").alias("monetary_total"))
 
 
-def snapshot_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer for complete-mode state: each batch replaces the snapshot."""
+def changes_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer for update-mode state: each batch writes only the keys
+    it changed, into its own ``batch_id`` folder (a replayed batch overwrites its
+    folder, so the sink stays idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
+def latest_snapshot(spark: SparkSession, path: str, key: str = "customer_id") -> DataFrame:
+    """Current state from an update-mode change log: the newest batch's row per key
+    (``row_number() = 1``, reduced per task before the shuffle)."""
+    from pyspark.sql import Window
+    changes = spark.read.parquet(path)
+    w = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
+    return changes.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "batch_id")
+
+
 # --- ST6 ----------------------------------------------------------------------------
 def sessions_stream(events: DataFrame, gap: str = "6 hours", delay: str = "6 hours") -> DataFrame:
     """Gap sessions per user with ``session_window``; emitted once closed."""
@@ -150,5 +161,5 @@ def run_to_completion(sdf: DataFrame, sink: str, checkpoint: str, mode: str = "a
 
 
 __all__ = ["read_stream", "with_event_time", "prediction_log_stream", "score_stream", "hourly_rollup_stream",
-           "drift_stream", "rollup_alerts", "alert_sink", "rfm_stream", "snapshot_sink", "sessions_stream",
-           "dedupe_stream", "run_to_completion", "rules_frame"]
+           "drift_stream", "rollup_alerts", "alert_sink", "rfm_stream", "sessions_stream",
+           "dedupe_stream", "run_to_completion", "rules_frame", "changes_sink", "latest_snapshot"]

@@ -35,3 +35,24 @@ def test_late_rows_dropped_on_time_windows_equal_batch(spark):
     assert early and all(got[w] == batch[w] for w in early)
     # every emitted window equals the batch count of the original rows
     assert all(got[w] == batch[w] for w in got)
+
+
+def test_running_rfm_across_two_batches(spark):
+    from tessera.sources.tables import transactions_from_orders
+    base = tempfile.mkdtemp(prefix="rfm-", dir="/tmp")
+    src, sink, ck = (os.path.join(base, x) for x in ("src", "sink", "ck"))
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    cut = dt.datetime(1998, 1, 1)
+    orders.where(F.col("o_orderdate") < F.lit(cut)).coalesce(1).write.parquet(os.path.join(src, "p1"))
+    run = lambda: st.run_to_completion(
+        st.rfm_stream(transactions_from_orders(st.read_stream(spark, src + "/*", "orders"))),
+        sink, ck, mode="update", foreach_batch=st.changes_sink(sink))
+    run()
+    orders.where(F.col("o_orderdate") >= F.lit(cut)).coalesce(1).write.parquet(os.path.join(src, "p2"))
+    run()
+    snap = {r["customer_id"]: (r["frequency"], round(r["monetary_total"], 2))
+            for r in st.latest_snapshot(spark, sink).collect()}
+    batch = {r["o_custkey"]: (r["n"], round(r["s"], 2)) for r in
+             orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("s")).collect()}
+    assert snap == batch
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 2
