@@ -577,7 +577,7 @@ SELECT CASE WHEN contains(event_type, 'data_collection') THEN 'data_collection'
 FROM events GROUP BY 1""",
     "run_log_tail": """
 SELECT ts AS timestamp, event_type AS step, CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status
-FROM events ORDER BY ts DESC LIMIT 5""",
+FROM events ORDER BY ts DESC, event_type, status LIMIT 5""",
     "run_log_io": """
 SELECT count(*) AS total_steps, count_if(event_type <> 'error') AS successful_steps,
        coalesce(count_if(event_type <> 'error')::DOUBLE / nullif(count(*), 0)::DOUBLE * 100, 0.0) AS success_rate

@@ -33,4 +33,5 @@ def log_families(log: DataFrame) -> DataFrame:
 
 
 def tail(log: DataFrame, n: int = 5) -> DataFrame:
-    return log.orderBy(F.col("timestamp").desc()).limit(n)
+    """Last ``n`` steps (newest first; step and status break timestamp ties)."""
+    return log.orderBy(F.col("timestamp").desc(), "step", "status").limit(n)
