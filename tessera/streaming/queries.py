@@ -46,7 +46,10 @@ def q_stream_drift(spark, sf_dir) -> DataFrame:
 def q_stream_alerts(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "alerts")
     rollup = st.hourly_rollup_stream(st.prediction_log_stream(_events(spark, sf_dir)))
-    st.run_to_completion(rollup, sink, ck, foreach_batch=st.alert_sink(rules_frame(spark), sink))
+    # baseline: mean predictions per hour in the history (one number from one aggregate)
+    hist = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    baseline = (hist.groupBy(F.date_trunc("hour", "ts")).count().agg(F.avg("count")).first()[0])
+    st.run_to_completion(rollup, sink, ck, foreach_batch=st.alert_sink(rules_frame(spark), sink, baseline))
     try:
         return spark.read.parquet(sink)
     except Exception:  # noqa: BLE001 - no batch fired an alert: empty result with the alert schema

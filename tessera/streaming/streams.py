@@ -85,23 +85,27 @@ def drift_stream(log: DataFrame, baseline: DataFrame, length: str = "1 day", sli
 
 
 # --- ST4 ----------------------------------------------------------------------------
-def rollup_alerts(batch: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rule table applied to closed hourly windows (confidence and volume rules)."""
+def rollup_alerts(batch: DataFrame, rules: DataFrame, baseline_volume: float | None = None) -> DataFrame:
+    """Rule table applied to closed hourly windows: the confidence rule, and with
+    a baseline mean hourly volume also the volume-spike rule (window volume /
+    baseline)."""
     per_window = batch.groupBy("window_start").agg(
         F.avg("avg_confidence").alias("avg_confidence"), F.sum("predictions_count").alias("volume"))
+    ratio = (F.col("volume") / F.lit(float(baseline_volume))) if baseline_volume else F.lit(None)
+    per_window = per_window.withColumn("volume_ratio", ratio.cast("double"))
     long = per_window.select("window_start", F.expr(
-        "stack(1, 'avg_confidence', CAST(avg_confidence AS DOUBLE)) AS (metric, value)"))
+        "stack(2, 'avg_confidence', CAST(avg_confidence AS DOUBLE), 'volume_ratio', volume_ratio) AS (metric, value)"))
     j = long.join(F.broadcast(rules), "metric")
-    fired = j.where(F.when(F.col("op") == ">", F.col("value") > F.col("threshold"))
-                    .when(F.col("op") == "<", F.col("value") < F.col("threshold")))
+    fired = j.where(F.coalesce(F.when(F.col("op") == ">", F.col("value") > F.col("threshold"))
+                               .when(F.col("op") == "<", F.col("value") < F.col("threshold")), F.lit(False)))
     return fired.select("window_start", "rule_no", "type", "severity", "title", "value", "threshold")
 
 
-def alert_sink(rules: DataFrame, path: str) -> Callable[[DataFrame, int], None]:
+def alert_sink(rules: DataFrame, path: str, baseline_volume: float | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer; each batch overwrites its own folder, so a replayed
     batch does not duplicate alerts (idempotent by batch id)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rollup_alerts(batch, rules).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rollup_alerts(batch, rules, baseline_volume).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
