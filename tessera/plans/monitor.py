@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import epoch_micros, round_half_up, try_ratio
 from tessera.operators.metrics import select_best
 
-# FIXED VALUES: drift thresholds (strict >) and the report baselines.
+# FIXED VALUES: drift thresholds (strict >), report baselines, recommendation texts.
 DRIFT_THRESHOLD = 0.1
 DRIFT_HIGH = 0.2
 DRIFT_LOW_CONFIDENCE = 0.7
 BASELINE_AUC = 0.85
 ENSEMBLE_CONFIDENCE = 0.8
 DEPLOY_GAIN = 10
+DRIFT_RECOMMENDATIONS = ["Model drift detected - consider retraining",
+                         "Investigate data quality changes",
+                         "Review feature distribution shifts"]
+LOW_CONFIDENCE_RECOMMENDATION = "Low confidence scores - consider model ensemble"
+PERFORMANCE_RECOMMENDATIONS = [("high", "model_retraining"), ("medium", "model_ensemble"), ("low", "deployment")]
 
 
 def drift(log: DataFrame, window_size: int = 100, model: str = "model_name", ts: str = "ts",
@@ -60,11 +65,8 @@ def drift(log: DataFrame, window_size: int = 100, model: str = "model_name", ts:
 def drift_recommendations(dr: DataFrame, model: str = "model_name") -> DataFrame:
     """One row per recommendation (table-driven ``when``, exploded)."""
     recs = F.array(
-        F.when(F.col("drift_detected"), F.lit("Model drift detected - consider retraining")),
-        F.when(F.col("drift_detected"), F.lit("Investigate data quality changes")),
-        F.when(F.col("drift_detected"), F.lit("Review feature distribution shifts")),
-        F.when(F.col("recent_avg_confidence") < DRIFT_LOW_CONFIDENCE,
-               F.lit("Low confidence scores - consider model ensemble")))
+        *[F.when(F.col("drift_detected"), F.lit(text)) for text in DRIFT_RECOMMENDATIONS],
+        F.when(F.col("recent_avg_confidence") < DRIFT_LOW_CONFIDENCE, F.lit(LOW_CONFIDENCE_RECOMMENDATION)))
     return dr.select(model, F.explode(F.filter(recs, lambda x: x.isNotNull())).alias("recommendation"))
 
 
@@ -142,9 +144,9 @@ def performance_report(perf: DataFrame, trend: DataFrame, log: DataFrame) -> Dat
 
 def performance_recommendation_flags():
     """(priority, type, condition) — the report's recommendation rules."""
-    return [("high", "model_retraining", F.col("trend_accuracy") == "declining"),
-            ("medium", "model_ensemble", F.col("avg_confidence") < ENSEMBLE_CONFIDENCE),
-            ("low", "deployment", F.col("vs_baseline") > DEPLOY_GAIN)]
+    conditions = [F.col("trend_accuracy") == "declining", F.col("avg_confidence") < ENSEMBLE_CONFIDENCE,
+                  F.col("vs_baseline") > DEPLOY_GAIN]
+    return [(p, t, c) for (p, t), c in zip(PERFORMANCE_RECOMMENDATIONS, conditions)]
 
 
 def performance_recommendations(report: DataFrame) -> DataFrame:

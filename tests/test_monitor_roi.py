@@ -50,3 +50,11 @@ def test_break_even_monotone(spark):
     rows = roi_projection(costs, benefits).orderBy("month").collect()
     flags = [r["break_even"] for r in rows]
     assert flags == sorted(flags) and len(rows) == 12
+
+
+def test_drift_recommendations_when_detected(spark):
+    from tessera.plans.monitor import DRIFT_RECOMMENDATIONS, LOW_CONFIDENCE_RECOMMENDATION, drift_recommendations
+    recs = [r["recommendation"] for r in drift_recommendations(drift(_log(spark, 200, 100, 0.30, 0.55))).collect()]
+    assert recs == DRIFT_RECOMMENDATIONS
+    low = [r["recommendation"] for r in drift_recommendations(drift(_log(spark, 0, 100, 0.3, 0.3, conf=0.6))).collect()]
+    assert low == [LOW_CONFIDENCE_RECOMMENDATION]
