@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import pii, quality_rules
+from tessera.llm import license_scan, pii, quality_rules, source_mix
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,16 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix to target weights takes from every document."""
+    return source_mix.taken_words(table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed rules and n-gram likelihood ratio for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -23,6 +33,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
+    "op3_source_mix": op3_source_mix,
+    "op6_license_scan": op6_license_scan,
     "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLE_SQL: dict[str, str] = {}
