@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, pii, quality_rules, source_mix
+from tessera.llm import license_scan, packing, pii, quality_rules, source_mix, substring_dedup
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,11 +21,21 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces, packed into sequences."""
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start earlier."""
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed rules and n-gram likelihood ratio for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,7 +44,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op3_source_mix": op3_source_mix,
+    "op5_packing": op5_packing,
     "op6_license_scan": op6_license_scan,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLE_SQL: dict[str, str] = {}
