@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, packing, pii, quality_rules, source_mix, substring_dedup
+from tessera.llm import license_scan, packing, permutation_index, pii, quality_rules, source_mix, substring_dedup
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix to target weights takes from every document."""
     return source_mix.taken_words(table(spark, sf_dir, "documents"))
@@ -43,6 +48,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
+    "op2_permutation_index": op2_permutation_index,
     "op3_source_mix": op3_source_mix,
     "op5_packing": op5_packing,
     "op6_license_scan": op6_license_scan,
