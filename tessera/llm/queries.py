@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, packing, permutation_index, pii, quality_rules, source_mix, substring_dedup
+from tessera.llm import license_scan, ngram_join, packing, permutation_index, pii, quality_rules, source_mix, substring_dedup
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group and number of links of every document."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces, packed into sequences."""
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
@@ -50,6 +55,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_permutation_index": op2_permutation_index,
     "op3_source_mix": op3_source_mix,
+    "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
     "op6_license_scan": op6_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
