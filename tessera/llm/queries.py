@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import license_scan, ngram_join, packing, permutation_index, pii, quality_rules, source_mix, substring_dedup
+from tessera.llm import license_scan, line_dedup, ngram_join, packing, permutation_index, pii, quality_classifier, quality_rules, source_mix, substring_dedup
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,11 +47,21 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document: its own evidence and its site's (source, and language within it)."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed rules and n-gram likelihood ratio for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated line runs."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_permutation_index": op2_permutation_index,
@@ -59,6 +70,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_license_scan": op6_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 LLM_ORACLE_SQL: dict[str, str] = {}
