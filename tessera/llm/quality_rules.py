@@ -1,8 +1,9 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Two multinomials over hashed one- and two-word n-grams are counted: one over a
+Two multinomials over hashed n-grams of ``GRAM`` bytes are counted: one over a
 bounded sample of trusted documents, one over every document.  A document's
-score is the mean of log(p_trusted / p_raw) over its n-grams; one threshold
+score is the mean of log(p_trusted / p_raw) over its n-grams, each ratio drawn
+towards 1 by ``SHRINK`` counts so that rare n-grams say little; one threshold
 (trusted mean minus ``Z`` trusted deviations) is applied to every document.
 Fixed rules on length and repetition come first.
 
@@ -19,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
-from tessera.llm.textops import mix64, repeats, cover, text_slices
+from tessera.llm.textops import IS_SPACE, cover, keyed_slices, mix64, repeats, text_slices
 
-BUCKETS = 1 << 17       # hashed n-grams: the weights that are broadcast take 4 bytes each
+GRAM = 4                 # bytes of an n-gram: short enough that a document has many that the corpus knows well
+BUCKET_BITS = 17
+BUCKETS = 1 << BUCKET_BITS  # hashed n-grams: the weights that are broadcast take 4 bytes each
 TRUSTED_SAMPLE = 10_000  # documents the trusted multinomial is fitted on, at most
-SMOOTHING = 0.02        # weight of the raw distribution mixed into the trusted one
+SHRINK = 10.0            # n-grams' worth of belief that a bucket is as common among the trusted as in the corpus
 Z = 4.0                 # deviations below the trusted mean that are still kept
 MIN_WORDS = 50
 
@@ -32,11 +35,18 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
 def _ngrams(s) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of each one- and two-word n-gram of a slice."""
-    words = s.word_hashes()
-    at, two = s.windows(words, 2)
-    doc = np.concatenate([s.word_doc, s.word_doc[at]])
-    return doc, (np.concatenate([mix64(words), two]) % np.uint64(BUCKETS)).astype(np.int64)
+    """(document, bucket) of each ``GRAM``-byte gram of a slice that lies in one document (white space counts as a blank)."""
+    n = len(s.data) - GRAM + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data = np.where(IS_SPACE[s.data], np.uint8(32), s.data)
+    gram = np.zeros(n, np.uint32)
+    for i in range(GRAM):
+        gram = (gram << np.uint32(8)) | data[i:i + n]
+    doc = np.repeat(np.arange(s.n_docs, dtype=np.int32), np.diff(s.offsets))
+    inside = doc[:n] == doc[GRAM - 1:]
+    bucket = (gram[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
+    return doc[:n][inside], bucket.astype(np.int32)
 
 
 def _counter(trusted: list[int]):
@@ -44,9 +54,6 @@ def _counter(trusted: list[int]):
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         wanted = pa.array(trusted, pa.int64())
         for s in text_slices(batches):
-            s.split_words()
-            if not len(s.starts):
-                continue
             doc, bucket = _ngrams(s)
             raw += np.bincount(bucket, minlength=BUCKETS)
             is_good = pc.is_in(s.ids, wanted, skip_nulls=True).to_numpy(zero_copy_only=False)
@@ -57,7 +64,7 @@ def _counter(trusted: list[int]):
     return count
 
 
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, trusted boolean, score double"
+SCHEMA = "doc_id long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, trusted boolean, score double"
 
 
 def rule_counts(s) -> dict[str, np.ndarray]:
@@ -76,7 +83,7 @@ def rule_counts(s) -> dict[str, np.ndarray]:
 def _scorer(weights: np.ndarray, trusted: list[int]):
     def score(batches):
         wanted = pa.array(trusted, pa.int64())
-        for s in text_slices(batches):
+        for key, s in ((key, s) for batch in batches for key, s in keyed_slices(batch)):
             s.split_words()
             c = rule_counts(s)
             doc, bucket = _ngrams(s)
@@ -84,7 +91,7 @@ def _scorer(weights: np.ndarray, trusted: list[int]):
             mean = np.round(total / np.maximum(np.bincount(doc, minlength=s.n_docs), 1), 6)
             failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
             is_good = pc.is_in(s.ids, wanted, skip_nulls=True)
-            yield pa.RecordBatch.from_arrays([s.ids, *(pa.array(c[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(failed), is_good, pa.array(mean)], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "trusted", "score"])
+            yield pa.RecordBatch.from_arrays([s.ids, key, *(pa.array(c[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(failed), is_good, pa.array(mean)], names=["doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "trusted", "score"])
     return score
 
 
@@ -103,22 +110,40 @@ def log_ratios(docs: DataFrame, trusted: list[int]) -> np.ndarray:
     raw[at], good[at] = t["raw"].to_numpy(), t["trusted"].to_numpy()
     out = np.zeros(BUCKETS)
     if good.sum():
-        p = raw[at] / raw.sum()
-        out[at] = np.log((1 - SMOOTHING) * good[at] / good.sum() / p + SMOOTHING)
+        expected = raw[at] * (good.sum() / raw.sum())
+        out[at] = np.log((good[at] + SHRINK) / (expected + SHRINK))
     return out.astype(np.float32)
 
 
+def _judged(texts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(written score table, its one-row threshold) of (doc_id, text, text_key)."""
+    trusted = trusted_sample(labels)
+    weights = log_ratios(texts, trusted)
+    scored = written(texts.mapInArrow(_scorer(weights, trusted), SCHEMA), "quality_rules")
+    of_trusted = F.when(F.col("trusted") & ~F.col("base_failed"), F.col("score"))
+    return scored, scored.agg(F.round(F.avg(of_trusted) - Z * F.stddev_pop(of_trusted), 6).alias("threshold"))
+
+
+_KEPT = ~F.col("base_failed") & F.coalesce(F.col("score") >= F.col("threshold"), F.lit(True))
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the rule counts, the score and ``kept``.
 
     Two scans of the texts, no shuffle of them; the score table (numbers only)
     is written once because the threshold is a statistic of it.
     """
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    trusted = trusted_sample(labels)
-    weights = log_ratios(texts, trusted)
-    scored = written(texts.mapInArrow(_scorer(weights, trusted), SCHEMA), "quality_rules")
-    of_trusted = F.when(F.col("trusted") & ~F.col("base_failed"), F.col("score"))
-    limit = scored.agg(F.round(F.avg(of_trusted) - Z * F.stddev_pop(of_trusted), 6).alias("threshold"))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("score") >= F.col("threshold"), F.lit(True))
-    return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "score", "threshold")
+    scored, limit = _judged(_texts(docs, id_col, text_col), labels)
+    return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", _KEPT.alias("kept"), "score", "threshold")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), F.xxhash64(docs[text_col].cast("string")).alias("text_key"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that are rejected (a verdict depends on the text, so equal rows share theirs)."""
+    scored, limit = _judged(_texts(docs, id_col, text_col), labels)
+    out = scored.crossJoin(F.broadcast(limit)).where(~_KEPT).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct()
+    mine = F.col(id_col).cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__t"))
+    return docs.join(out, mine, "left_anti")

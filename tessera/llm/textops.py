@@ -164,6 +164,14 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
             yield from slices(batch.column(0), batch.column(1), limit)
 
 
+def keyed_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, Slice]]:
+    """Slices of a batch (id, text, key), each with its part of the key column."""
+    at = 0
+    for s in slices(batch.column(0), batch.column(1), limit):
+        yield batch.column(2).slice(at, s.n_docs), s
+        at += s.n_docs
+
+
 def repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key occurs twice or more, key occurred earlier) for each element."""
     n = len(keys)
