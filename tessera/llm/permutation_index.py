@@ -63,7 +63,7 @@ def fit_pivots(index: DataFrame, limit: int = PIVOTS) -> tuple[np.ndarray, float
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     longest = float(index.agg(F.max(F.sqrt(square))).first()[0] or 0.0)
     rows = index.orderBy(F.xxhash64("rep"), "rep").limit(limit).select("v").collect()  # at most PIVOTS rows
-    return _lifted(np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1), longest), longest
+    return _lifted(np.array([r["v"] for r in rows], np.float64), longest), longest
 
 
 def _lifted(x: np.ndarray, longest: float) -> np.ndarray:

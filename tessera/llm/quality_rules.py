@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
@@ -124,7 +124,8 @@ def _judged(texts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     return scored, scored.agg(F.round(F.avg(of_trusted) - Z * F.stddev_pop(of_trusted), 6).alias("threshold"))
 
 
-_KEPT = ~F.col("base_failed") & F.coalesce(F.col("score") >= F.col("threshold"), F.lit(True))
+def _kept() -> Column:
+    return ~F.col("base_failed") & F.coalesce(F.col("score") >= F.col("threshold"), F.lit(True))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,7 +135,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     is written once because the threshold is a statistic of it.
     """
     scored, limit = _judged(_texts(docs, id_col, text_col), labels)
-    return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", _KEPT.alias("kept"), "score", "threshold")
+    return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", _kept().alias("kept"), "score", "threshold")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -144,6 +145,6 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are rejected (a verdict depends on the text, so equal rows share theirs)."""
     scored, limit = _judged(_texts(docs, id_col, text_col), labels)
-    out = scored.crossJoin(F.broadcast(limit)).where(~_KEPT).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct()
+    out = scored.crossJoin(F.broadcast(limit)).where(~_kept()).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct()
     mine = F.col(id_col).cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__t"))
     return docs.join(out, mine, "left_anti")
