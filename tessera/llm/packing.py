@@ -95,7 +95,7 @@ def _encoder(ranks_path: str, pattern: str) -> Encoder:
 
 
 def cut(n: int, size: int = SEQUENCE) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of ``n`` ids: full ones behind a shorter first one."""
+    """(start, end) of the pieces of ``n`` ids: full ones behind a shorter first one."""
     head = n % size
     starts = ([0] if head else []) + list(range(head, n, size))
     return list(zip(starts, [*starts[1:], n], strict=True))

@@ -38,6 +38,8 @@ LOOKALIKES |= {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}  # full-width
 LOOKALIKES |= {chr(first + i): str(i) for first in (0x0660, 0x06F0, 0x0966, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6) for i in range(10)}
 LOOKALIKES |= {"﹫": "@", "․": ".", "。": ".", "﹒": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", " ": " ", " ": " ", " ": " "}
 INVISIBLE = "​‌‍⁠﻿­"
+# FIXED VALUES: words that are no name and no host in front of, or behind, the word at.
+PLAIN_WORDS = frozenset("a all an and any are her here him his home in is it its least me my night noon of on one or our she some that the their them there they this time us was we were what where you your".split())
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
 _STRANGE = re.compile("[" + "".join(map(re.escape, LOOKALIKES)) + INVISIBLE + "]")
@@ -169,6 +171,8 @@ def _convincing(kind: str, piece: str, bare: bool, rewritten_dot: bool) -> bool:
     top = domain.rpartition(".")[2]
     if not (top.isalpha() and 2 <= len(top) <= 24):
         return False
+    if bare and (name.lower() in PLAIN_WORDS or domain.partition(".")[0].lower() in PLAIN_WORDS):
+        return False
     return not bare or rewritten_dot or any(not c.isalpha() for c in name)
 
 

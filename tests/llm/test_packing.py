@@ -27,8 +27,8 @@ def test_ids_equal_the_tokenizer(spark):
 def test_cut():
     assert packing.cut(1) == [(0, 1)]
     assert packing.cut(1024) == [(0, 1024)]
-    assert packing.cut(1025) == [(0, 1), (1, 1024)]
-    assert packing.cut(3000) == [(0, 952), (952, 1024), (1976, 1024)]
+    assert packing.cut(1025) == [(0, 1), (1, 1025)]
+    assert packing.cut(3000) == [(0, 952), (952, 1976), (1976, 3000)]
 
 
 def test_bin_completion_packs_all_and_beats_best_fit():

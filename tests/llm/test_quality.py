@@ -36,7 +36,7 @@ def test_rule_counts_equal_brute_force(spark):
 
 def test_verdicts_agree_with_held_out_labels(spark):
     """The trusted multinomial is fitted on half of the good documents; the others must be judged alike."""
-    docs, labels = sample(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    docs, labels = sample(spark, "/root/testdata/sf0.1"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     half = labels.where("doc_id % 2 = 0")
     got = qr.judge(docs, half).join(labels.where("doc_id % 2 = 1"), "doc_id").where("NOT base_failed")
     good = got.where("quality = 1")
