@@ -45,10 +45,15 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     Written so any engine evaluating the same IEEE expression gets the same
     double (Spark's ``round`` goes through a decimal string, DuckDB's through
     a binary product; the two disagree on values such as 5.005).
+
+    ``floor`` gives a 64-bit integer, so values of 2^53 units or more, which
+    have no such decimals in a double, pass as they are; so do NaN, the
+    infinities and NULL.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    scale = float(10 ** digits)
-    return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    units = c * F.lit(float(10 ** digits))
+    return F.when(F.abs(units) < F.lit(float(1 << 53)),
+                  F.floor(units + F.lit(0.5)) / F.lit(float(10 ** digits))).otherwise(c)
 
 
 def sql_round(expr: str, digits: int) -> str:

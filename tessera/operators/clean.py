@@ -44,6 +44,13 @@ def parse_ts(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     return df.withColumn(col, parsed)
 
 
+def rejected(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
+    """(total_rows, rejected_rows): texts of ``col`` that are no timestamp."""
+    parsed = parse_ts(df.withColumn("_text", F.col(col)), col, fmt)
+    return parsed.agg(F.count(F.lit(1)).alias("total_rows"),
+                      F.count_if(F.col("_text").isNotNull() & F.col(col).isNull()).alias("rejected_rows"))
+
+
 def clean_customers(df: DataFrame, order_by: Sequence[str] = ("registration_date", "customer_id"),
                     age_range=(18, 100)) -> DataFrame:
     """Keep-first by customer_id, age in range, city title-cased."""

@@ -55,10 +55,11 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
 
     Rows are first collapsed per distinct score (partial aggregate), then the
     negatives below each score come from a range-cut ordered prefix sum, so
-    no global sort runs in one task. NULL when a class is absent.
+    no global sort runs in one task. Rows without a score are left out, of
+    positives and negatives alike. NULL when a class is absent.
     """
     g = list(group)
-    per_score = materialize(scored.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
+    per_score = materialize(scored.where(F.col(score).isNotNull()).groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")))
     ranked = ordered_prefix_sum(per_score, ["_s"], "_n", "_neg_below", partition_cols=g)
     out = ranked.groupBy(*g).agg(

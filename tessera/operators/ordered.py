@@ -4,16 +4,18 @@ A running total over a global order is the one thing a plain window cannot do
 at scale: ``Window.orderBy(x)`` without ``partitionBy`` moves every row to one
 task. Here the order domain is cut into value ranges first:
 
-1. a count sizes the number of ranges, ``ceil(rows / rows_per_range)``
-   (capped), so small inputs use a single range and big ones spread over many
-   tasks; only then does one ``percentile_approx`` aggregate return the cut
-   points. The cut list is a fitted parameter whose size is bounded by the cap;
+1. a count sizes the number of ranges, ``ceil(rows / rows_per_range)``, so small
+   inputs use a single range and big ones spread over as many tasks as they
+   need; only then does one ``percentile_approx`` aggregate return the cut
+   points (one number per million rows);
 2. ``Bucketizer`` (binary search, JVM-side) tags each row with its range;
 3. range totals (one row per range) become range offsets through a window
-   over that small table, broadcast back — bounded by construction;
+   over that small table, joined back (AQE decides how, by its size);
 4. the running total inside a range is a window partitioned by the range.
 
-Equal order values always land in the same range, so ties are exact.
+Equal order values always land in the same range, so ties are exact. Rows
+whose order value is NULL have no place in the order and are left out, however
+many ranges there are; NaN comes last, as in Spark's own ordering.
 Callers pre-aggregate by the order value (``groupBy(v)``), which collapses a
 value that holds a third of all rows into one row before any of this.
 """
@@ -27,12 +29,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1024
 APPROX_ACCURACY = 10000
 
 
 def plan_ranges(df: DataFrame, cols: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
-                max_ranges: int = MAX_RANGES, by: str | None = None, groups: int = 1) -> list[list[float]]:
+                by: str | None = None, groups: int = 1) -> list[list[float]]:
     """Cut points of ``ceil(rows / rows_per_range)`` equi-depth ranges.
 
     Without ``by``: one cut list per column of ``cols``. With ``by`` (an int
@@ -48,17 +49,17 @@ def plan_ranges(df: DataFrame, cols: Sequence[str], rows_per_range: int = ROWS_P
         per = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
         n = max(per.values(), default=0)
         exprs = [F.when(F.col(by) == g, F.col(cols[0]).cast("double")) for g in range(groups)]
-    ranges = max(1, min(max_ranges, math.ceil(n / rows_per_range)))
+    ranges = max(1, math.ceil(n / rows_per_range))
     if ranges == 1:
         return [[] for _ in exprs]
     grid = [i / ranges for i in range(1, ranges)]
-    row = df.agg(*[F.percentile_approx(e, grid, APPROX_ACCURACY).alias(f"_g{j}")
+    row = df.agg(*[F.percentile_approx(e, grid, max(APPROX_ACCURACY, 10 * ranges)).alias(f"_g{j}")
                    for j, e in enumerate(exprs)]).first()
     out = []
     for j in range(len(exprs)):
         cuts: list[float] = []
         for x in row[f"_g{j}"] or []:
-            if x is not None and (not cuts or x > cuts[-1]):
+            if x is not None and math.isfinite(x) and (not cuts or x > cuts[-1]):
                 cuts.append(float(x))
         out.append(cuts)
     return out
@@ -88,20 +89,18 @@ def ordered_prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str,
     """
     first = order_cols[0]
     parts = list(partition_cols)
+    df = df.where(F.col(first).isNotNull())
     cuts = plan_ranges(df, [first], rows_per_range)[0]
     tagged = range_column(first, cuts, "_range")(df)
     totals = tagged.groupBy(*parts, "_range").agg(F.sum(value_col).alias("_range_total"))
-    # One row per (group, range): without groups at most MAX_RANGES rows, so the
-    # keyless window and the broadcast are bounded; with groups the join is left
-    # to AQE's size-checked broadcast.
+    # One row per (group, range): without groups one row per rows_per_range rows.
     w = (Window.partitionBy(*parts) if parts else Window).orderBy("_range")
     offsets = totals.select(
         *parts, "_range",
         F.coalesce(F.sum("_range_total").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_range_offset"))
     within = Window.partitionBy(*parts, "_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    side = offsets if parts else F.broadcast(offsets)
-    out = (tagged.join(side, [*parts, "_range"])
+    out = (tagged.join(offsets, [*parts, "_range"])
            .withColumn(out_col, F.col("_range_offset")
                        + F.coalesce(F.sum(value_col).over(within), F.lit(0))))
     return out.drop("_range", "_range_offset")

@@ -58,14 +58,14 @@ def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float],
             counts = range_column("v", cuts[j], f"_r{j}")(counts).withColumn(
                 "_range", F.when(F.col("_k") == j, F.col(f"_r{j}")).otherwise(F.col("_range"))).drop(f"_r{j}")
     totals = counts.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
-    # <= len(cols) * MAX_RANGES rows: bounded by construction, safe to broadcast.
+    # one row per range and column
     offsets = totals.select(
         "_k", "_range",
         F.coalesce(F.sum("_tot").over(Window.partitionBy("_k").orderBy("_range")
                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_tot").over(Window.partitionBy("_k")).alias("n"))
     within = Window.partitionBy("_k", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts.join(F.broadcast(offsets), ["_k", "_range"])
+    ranked = (counts.join(offsets, ["_k", "_range"])
               .withColumn("before", F.col("_off") + F.coalesce(F.sum("cnt").over(within), F.lit(0))))
 
     hits, aggs = F.lit(False), []

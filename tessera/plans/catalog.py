@@ -22,6 +22,8 @@ AS_OF_EVENTS = "2024-01-30"
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 DRIFT_WINDOW = 100
+DRIFT_MEASURES = ["recent_positive_rate", "recent_avg_confidence", "historical_positive_rate",
+                  "historical_avg_confidence", "positive_rate_drift", "confidence_drift"]
 
 
 def r6(c):
@@ -456,6 +458,12 @@ def q_log_families(c: Ctx):
     return runlog.log_families(S.run_log_from_events(c.t.events))
 
 
+@_q
+def q_step_families(c: Ctx):
+    """Step families over a log in which every family occurs."""
+    return runlog.log_families(S.step_log_from_events(c.t.events))
+
+
 @_q
 def q_run_log_tail(c: Ctx):
     return runlog.tail(S.run_log_from_events(c.t.events), 5).select("timestamp", "step", "status")
@@ -477,12 +485,83 @@ def q_drift_recommendations(c: Ctx):
     return monitor.drift_recommendations(monitor.drift(c.log(), DRIFT_WINDOW))
 
 
+@_q
+def q_drift_shifted(c: Ctx):
+    """Drift where rates and confidences shift and some confidences are missing."""
+    d = monitor.drift(S.shifting_log_from_events(c.t.events), DRIFT_WINDOW)
+    return d.withColumns({k: r6(k) for k in DRIFT_MEASURES})
+
+
+@_q
+def q_drift_advice(c: Ctx):
+    """Recommendations of a drift that fires."""
+    return monitor.drift_recommendations(monitor.drift(S.shifting_log_from_events(c.t.events), DRIFT_WINDOW))
+
+
+@_q
+def q_clean_customers(c: Ctx):
+    """Customers of legal age with their city title-cased."""
+    return clean.clean_customers(S.account_holders(c.t.customer, c.t.nation), order_by=("customer_id",))
+
+
+@_q
+def q_positive_balances(c: Ctx):
+    return clean.filter_positive(S.account_holders(c.t.customer, c.t.nation), ["amount"]).select("customer_id", "amount")
+
+
+@_q
+def q_parse_times(c: Ctx):
+    """Timestamps from text; texts that are no time become NULL."""
+    return clean.parse_ts(S.text_times_from_events(c.t.events), "transaction_date", "yyyy-MM-dd HH:mm:ss").withColumn(
+        "transaction_date", F.col("transaction_date").cast("timestamp_ntz"))
+
+
+@_q
+def q_rejected_times(c: Ctx):
+    return clean.rejected(S.text_times_from_events(c.t.events), "transaction_date", "yyyy-MM-dd HH:mm:ss")
+
+
+@_q
+def q_fk_orphans_of_positive(c: Ctx):
+    """Orders whose customer is not among those with a positive balance."""
+    held = clean.filter_positive(c.t.customer, ["c_acctbal"])
+    return clean.fk_summary(c.t.orders, held, "o_custkey", "c_custkey")
+
+
+@_q
+def q_orphan_orders(c: Ctx):
+    held = clean.filter_positive(c.t.customer, ["c_acctbal"])
+    return clean.orphans(c.t.orders, held, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
+
+
+@_q
+def q_clean_report_customers(c: Ctx):
+    """Report of a cleaning that removes customers."""
+    before = S.account_holders(c.t.customer, c.t.nation)
+    return clean.clean_report("customers", before, clean.filter_positive(clean.clean_customers(before, order_by=("customer_id",)), ["amount"]))
+
+
+@_q
+def q_alert_texts(c: Ctx):
+    return alerts.alert_descriptions(_alerts(c)).select("alert_id", "type", "description")
+
+
+@_q
+def q_alerts_of_severity(c: Ctx):
+    return alerts.filter_alerts(_alerts(c), "high").select("alert_id", "type", "severity")
+
+
 @_q
 def q_roi_recommendations(c: Ctx):
     return roi.roi_recommendations(roi.roi_summary(*_cb(c), period_days=90))
 
 
 QUERIES = {
+    "step_families": q_step_families, "drift_shifted": q_drift_shifted, "drift_advice": q_drift_advice,
+    "clean_customers": q_clean_customers, "positive_balances": q_positive_balances, "parse_times": q_parse_times,
+    "rejected_times": q_rejected_times, "fk_orphans_of_positive": q_fk_orphans_of_positive,
+    "orphan_orders": q_orphan_orders, "clean_report_customers": q_clean_report_customers,
+    "alert_texts": q_alert_texts, "alerts_of_severity": q_alerts_of_severity,
     "run_log_tail": q_run_log_tail, "run_log_io": q_run_log_io,
     "drift_recommendations": q_drift_recommendations, "roi_recommendations": q_roi_recommendations,
     "rfm_features": q_rfm_features, "rfm_aggregate": q_rfm_aggregate, "rfm_scores": q_rfm_scores,

@@ -18,7 +18,6 @@ DRIFT_RECOMMENDATIONS = ["Model drift detected - consider retraining",
                          "Investigate data quality changes",
                          "Review feature distribution shifts"]
 LOW_CONFIDENCE_RECOMMENDATION = "Low confidence scores - consider model ensemble"
-PERFORMANCE_RECOMMENDATIONS = [("high", "model_retraining"), ("medium", "model_ensemble"), ("low", "deployment")]
 
 
 def drift(log: DataFrame, window_size: int = 100, model: str = "model_name", ts: str = "ts",
@@ -34,17 +33,20 @@ def drift(log: DataFrame, window_size: int = 100, model: str = "model_name", ts:
     w = Window.partitionBy(model).orderBy(F.col(ts).desc(), F.col(tie).desc())
     recent = (log.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= window_size)
               .groupBy(model).agg(F.count(F.lit(1)).alias("_rn_n"), F.sum("prediction").alias("_rn_p"),
-                                  F.sum("confidence").alias("_rn_c")))
+                                  F.sum("confidence").alias("_rn_c"), F.count("prediction").alias("_rn_np"),
+                                  F.count("confidence").alias("_rn_nc")))
     total = log.groupBy(model).agg(F.count(F.lit(1)).alias("n_predictions"),
-                                   F.sum("prediction").alias("_t_p"), F.sum("confidence").alias("_t_c"))
+                                   F.sum("prediction").alias("_t_p"), F.sum("confidence").alias("_t_c"),
+                                   F.count("prediction").alias("_t_np"), F.count("confidence").alias("_t_nc"))
     j = total.join(recent, model)
     enough = F.col("n_predictions") >= window_size
     has_hist = F.col("n_predictions") > window_size
-    hist_n = (F.col("n_predictions") - F.col("_rn_n")).cast("double")
-    r_pos = F.col("_rn_p") / F.col("_rn_n").cast("double")
-    r_conf = F.col("_rn_c") / F.col("_rn_n").cast("double")
-    h_pos = F.when(has_hist, (F.col("_t_p") - F.col("_rn_p")) / hist_n)
-    h_conf = F.when(has_hist, (F.col("_t_c") - F.col("_rn_c")) / hist_n)
+    # NULL predictions and confidences are left out of their means (of sums and counts alike)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))  # noqa: E731 - the sum of no value
+    r_pos = try_ratio(F.col("_rn_p"), F.col("_rn_np"))
+    r_conf = try_ratio(F.col("_rn_c"), F.col("_rn_nc"))
+    h_pos = F.when(has_hist, try_ratio(zero("_t_p") - zero("_rn_p"), F.col("_t_np") - F.col("_rn_np")))
+    h_conf = F.when(has_hist, try_ratio(zero("_t_c") - zero("_rn_c"), F.col("_t_nc") - F.col("_rn_nc")))
     out = j.select(
         model, "n_predictions",
         F.when(enough, "success").otherwise("warning").alias("status"),
@@ -144,9 +146,9 @@ def performance_report(perf: DataFrame, trend: DataFrame, log: DataFrame) -> Dat
 
 def performance_recommendation_flags():
     """(priority, type, condition) — the report's recommendation rules."""
-    conditions = [F.col("trend_accuracy") == "declining", F.col("avg_confidence") < ENSEMBLE_CONFIDENCE,
-                  F.col("vs_baseline") > DEPLOY_GAIN]
-    return [(p, t, c) for (p, t), c in zip(PERFORMANCE_RECOMMENDATIONS, conditions)]
+    return [("high", "model_retraining", F.col("trend_accuracy") == "declining"),
+            ("medium", "model_ensemble", F.col("avg_confidence") < ENSEMBLE_CONFIDENCE),
+            ("low", "deployment", F.col("vs_baseline") > DEPLOY_GAIN)]
 
 
 def performance_recommendations(report: DataFrame) -> DataFrame:

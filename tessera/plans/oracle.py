@@ -332,6 +332,58 @@ DRIFT_COLS = ["recent_positive_rate", "recent_avg_confidence", "historical_posit
               "historical_avg_confidence", "positive_rate_drift", "confidence_drift"]
 
 
+DRIFT_ROWS = """
+, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, prediction_id DESC) AS rn FROM plog),
+d0 AS (
+  SELECT model_name, count(*) AS n_predictions,
+         avg(CASE WHEN rn <= 100 THEN prediction END) AS rp, avg(CASE WHEN rn <= 100 THEN confidence END) AS rc,
+         avg(CASE WHEN rn > 100 THEN prediction END) AS hp, avg(CASE WHEN rn > 100 THEN confidence END) AS hc
+  FROM r GROUP BY model_name),
+d1 AS (
+  SELECT model_name, n_predictions, CASE WHEN n_predictions >= 100 THEN 'success' ELSE 'warning' END AS status,
+         CASE WHEN n_predictions >= 100 THEN rp END AS recent_positive_rate,
+         CASE WHEN n_predictions >= 100 THEN rc END AS recent_avg_confidence,
+         CASE WHEN n_predictions >= 100 THEN hp END AS historical_positive_rate,
+         CASE WHEN n_predictions >= 100 THEN hc END AS historical_avg_confidence
+  FROM d0),
+d2 AS (SELECT *, abs(recent_positive_rate - historical_positive_rate) AS positive_rate_drift,
+              abs(recent_avg_confidence - historical_avg_confidence) AS confidence_drift FROM d1),
+d3 AS (SELECT *, coalesce(positive_rate_drift > 0.1 OR confidence_drift > 0.1, false) AS det FROM d2)
+SELECT model_name, n_predictions, status, """ + ", ".join(f"{R6(c)} AS {c}" for c in DRIFT_COLS) + """,
+       CASE WHEN n_predictions >= 100 THEN det END AS drift_detected,
+       CASE WHEN n_predictions < 100 THEN NULL WHEN det AND positive_rate_drift > 0.2 THEN 'high'
+            WHEN det THEN 'medium' ELSE 'low' END AS drift_severity
+FROM d3"""
+
+DRIFT_ADVICE = """
+, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, prediction_id DESC) AS rn FROM plog),
+d AS (
+  SELECT model_name, count(*) AS n,
+         avg(CASE WHEN rn <= 100 THEN prediction END) AS rp, avg(CASE WHEN rn <= 100 THEN confidence END) AS rc,
+         avg(CASE WHEN rn > 100 THEN prediction END) AS hp, avg(CASE WHEN rn > 100 THEN confidence END) AS hc
+  FROM r GROUP BY model_name),
+f AS (SELECT model_name, n >= 100 AND coalesce(abs(rp - hp) > 0.1 OR abs(rc - hc) > 0.1, false) AS det,
+             CASE WHEN n >= 100 THEN rc END AS rc FROM d)
+SELECT model_name, 'Model drift detected - consider retraining' AS recommendation FROM f WHERE det
+UNION ALL SELECT model_name, 'Investigate data quality changes' FROM f WHERE det
+UNION ALL SELECT model_name, 'Review feature distribution shifts' FROM f WHERE det
+UNION ALL SELECT model_name, 'Low confidence scores - consider model ensemble' FROM f WHERE rc < 0.7"""
+
+SHIFTING_LOG = """
+plog AS (
+  SELECT event_id AS prediction_id, ts, event_type AS model_name,
+         CASE WHEN value > day(ts) * 4.0::DOUBLE THEN 1 ELSE 0 END AS prediction,
+         CASE WHEN event_id % 7 <> 0 THEN 1.0::DOUBLE - day(ts) / 60.0::DOUBLE END AS confidence FROM events)
+"""
+
+HOLDERS = """
+holders AS (
+  SELECT c_custkey AS customer_id, CAST(c_custkey % 120 AS INTEGER) AS age,
+         lower(n_name || '''s o''er-' || c_mktsegment) AS city, n_name, c_mktsegment, c_acctbal AS amount
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+"""
+
+
 def _w(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -340,6 +392,51 @@ ORACLE_SQL: dict[str, str] = {
     "rfm_features": _w(RFM) + "SELECT customer_id, recency_days, frequency, monetary_total, monetary_avg, "
                               "monetary_std, recency_score, frequency_score, monetary_score, rfm_score, "
                               "customer_segment FROM rfm",
+    "stream_rollup": _w(LOG) + f"""
+    SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, model_name,
+           count(*) AS predictions_count, sum(prediction)::BIGINT AS positive_predictions,
+           count(*) - sum(prediction)::BIGINT AS negative_predictions, {R6('avg(confidence)')} AS avg_confidence,
+           {R6('avg(processing_time)')} AS processing_time,
+           {R6('sum(prediction)::DOUBLE / count(*)::DOUBLE')} AS positive_rate
+    FROM plog GROUP BY 1, 2, 3""",
+    "stream_drift": _w(LOG) + f""", base AS (
+      SELECT model_name, avg(prediction::DOUBLE) AS bp, avg(confidence) AS bc FROM plog
+      WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1),
+    win AS (
+      SELECT time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS window_start, model_name, count(*) AS n,
+             avg(prediction::DOUBLE) AS p, avg(confidence) AS c
+      FROM plog CROSS JOIN (VALUES (0), (1), (2), (3)) v(k) WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1, 2),
+    d AS (SELECT *, abs(p - bp) AS pd, abs(c - bc) AS cd FROM win JOIN base USING (model_name))
+    SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, model_name, n, {R6('pd')} AS positive_rate_drift,
+           {R6('cd')} AS confidence_drift, pd > 0.1 OR cd > 0.1 AS drift_detected,
+           CASE WHEN (pd > 0.1 OR cd > 0.1) AND pd > 0.2 THEN 'high' WHEN pd > 0.1 OR cd > 0.1 THEN 'medium'
+                ELSE 'low' END AS drift_severity
+    FROM d""",
+    "stream_alerts": _w(LOG) + f""", hist AS (
+      SELECT avg(n) AS base FROM (SELECT count(*) AS n FROM plog WHERE ts < TIMESTAMP '2024-01-10'
+                                  GROUP BY date_trunc('hour', ts))),
+    win AS (
+      SELECT date_trunc('hour', ts) AS window_start, avg(confidence) AS c, count(*) / (SELECT base FROM hist) AS r
+      FROM plog WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1)
+    SELECT window_start, CAST(2 AS INTEGER) AS rule_no, 'model_confidence' AS type, 'medium' AS severity,
+           'Low Model Confidence' AS title, {R('c', 12)} AS value, 0.75::DOUBLE AS threshold FROM win WHERE c < 0.75
+    UNION ALL
+    SELECT window_start, 4, 'volume_spike', 'medium', 'Unusual Prediction Volume', {R('r', 12)}, 1.5::DOUBLE
+    FROM win WHERE r > 1.5""",
+    "stream_rfm": f"""
+    SELECT o_custkey AS customer_id, max(o_orderdate) AS last_purchase, count(*) AS frequency,
+           {R('sum(o_totalprice)', 2)} AS monetary_total FROM orders GROUP BY 1""",
+    "stream_sessions": _w(BEH) + "SELECT user_id, session_start, session_end, n_events FROM sess",
+    "stream_dedupe": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "stratified_split": _w(RFM, BEH, CUST, JOINED) + """, sh AS (
+      SELECT customer_id, target_churn::DOUBLE AS label, substr(md5(customer_id::VARCHAR || ':36'), 1, 13) AS h1,
+             substr(md5(customer_id::VARCHAR || ':37'), 1, 13) AS h2 FROM joined),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h1, customer_id) - 1 AS r,
+                      count(*) OVER (PARTITION BY label) AS n FROM sh),
+    cut AS (SELECT *, CASE WHEN r < floor(n * 0.8::DOUBLE + 0.5) THEN 'train' ELSE 'test' END AS split FROM ranked)
+    SELECT customer_id, label, split,
+           CAST((row_number() OVER (PARTITION BY label, split ORDER BY h2, customer_id) - 1) % 5 AS INTEGER) AS fold
+    FROM cut""",
     "rfm_aggregate": _w(RFM) + "SELECT * FROM rfm_a",
     "rfm_scores": _w(RFM) + "SELECT customer_id, recency_score, frequency_score, monetary_score FROM rfm",
     "rfm_segments": _w(RFM) + "SELECT customer_id, rfm_score, customer_segment FROM rfm",
@@ -491,28 +588,8 @@ s AS (SELECT vec_id,
       FROM e)
 SELECT vec_id, """ + f"{R6('x0')} AS x0, {R6('x1')} AS x1, {R6('x2')} AS x2, " + """
        CAST(((x0 > 0.5 AND x1 < -0.2) OR x2 > 1.0) AS INTEGER) AS rule_label FROM s""",
-    "drift": _w(LOG) + """
-, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, prediction_id DESC) AS rn FROM plog),
-d0 AS (
-  SELECT model_name, count(*) AS n_predictions,
-         avg(CASE WHEN rn <= 100 THEN prediction END) AS rp, avg(CASE WHEN rn <= 100 THEN confidence END) AS rc,
-         avg(CASE WHEN rn > 100 THEN prediction END) AS hp, avg(CASE WHEN rn > 100 THEN confidence END) AS hc
-  FROM r GROUP BY model_name),
-d1 AS (
-  SELECT model_name, n_predictions, CASE WHEN n_predictions >= 100 THEN 'success' ELSE 'warning' END AS status,
-         CASE WHEN n_predictions >= 100 THEN rp END AS recent_positive_rate,
-         CASE WHEN n_predictions >= 100 THEN rc END AS recent_avg_confidence,
-         CASE WHEN n_predictions >= 100 THEN hp END AS historical_positive_rate,
-         CASE WHEN n_predictions >= 100 THEN hc END AS historical_avg_confidence
-  FROM d0),
-d2 AS (SELECT *, abs(recent_positive_rate - historical_positive_rate) AS positive_rate_drift,
-              abs(recent_avg_confidence - historical_avg_confidence) AS confidence_drift FROM d1),
-d3 AS (SELECT *, coalesce(positive_rate_drift > 0.1 OR confidence_drift > 0.1, false) AS det FROM d2)
-SELECT model_name, n_predictions, status, """ + ", ".join(f"{R6(c)} AS {c}" for c in DRIFT_COLS) + """,
-       CASE WHEN n_predictions >= 100 THEN det END AS drift_detected,
-       CASE WHEN n_predictions < 100 THEN NULL WHEN det AND positive_rate_drift > 0.2 THEN 'high'
-            WHEN det THEN 'medium' ELSE 'low' END AS drift_severity
-FROM d3""",
+    "drift": _w(LOG) + DRIFT_ROWS,
+    "drift_shifted": _w(SHIFTING_LOG) + DRIFT_ROWS,
     "accuracy_trend": _w(LOG) + f"""
 , daily AS (SELECT model_name, CAST(ts AS DATE) AS day, avg(confidence) AS daily_accuracy FROM plog GROUP BY 1, 2),
 t AS (SELECT model_name, count(*) AS days,
@@ -575,6 +652,36 @@ SELECT CASE WHEN contains(event_type, 'data_collection') THEN 'data_collection'
             ELSE 'other' END AS family,
        count(*) AS steps, count_if(event_type <> 'error') AS successes
 FROM events GROUP BY 1""",
+    "step_families": """
+SELECT CASE event_type WHEN 'click' THEN 'data_collection' WHEN 'signup' THEN 'feature_engineering'
+            WHEN 'view' THEN 'model_training' WHEN 'purchase' THEN 'prediction' WHEN 'error' THEN 'business_intelligence'
+            ELSE 'other' END AS family, count(*) AS steps, count_if(value >= 10) AS successes
+FROM events GROUP BY 1""",
+    "clean_customers": _w(HOLDERS) + """
+SELECT customer_id, age, upper(n_name[1]) || lower(n_name[2:]) || '''S O''Er-' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS city,
+       amount FROM holders WHERE age BETWEEN 18 AND 100""",
+    "positive_balances": _w(HOLDERS) + "SELECT customer_id, amount FROM holders WHERE amount > 0",
+    "parse_times": """
+SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS transaction_date FROM events""",
+    "rejected_times": "SELECT count(*) AS total_rows, count_if(event_type = 'error') AS rejected_rows FROM events",
+    "fk_orphans_of_positive": """
+SELECT count(*) AS total_rows, count_if(c_custkey IS NULL) AS orphan_rows
+FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""",
+    "orphan_orders": """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
+    "clean_report_customers": _w(HOLDERS) + """
+SELECT 'customers' AS dataset, count(*) AS original_rows, count_if(age BETWEEN 18 AND 100 AND amount > 0) AS cleaned_rows,
+       count(*) - count_if(age BETWEEN 18 AND 100 AND amount > 0) AS removed_rows FROM holders""",
+    "alert_texts": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
+SELECT alert_id, type, CASE type
+  WHEN 'churn_risk' THEN printf('Average churn risk is %.1f%%, above threshold of %.1f%%', metric_value * 100, threshold * 100)
+  WHEN 'model_confidence' THEN printf('Model confidence is %.1f%%, below threshold of %.1f%%', metric_value * 100, threshold * 100)
+  WHEN 'performance_decline' THEN printf('Model accuracy dropped by %.1f%% recently', abs(metric_value) * 100)
+  WHEN 'volume_spike' THEN printf('Prediction volume is %.1fx normal levels', metric_value)
+  ELSE 'Identified ' || opportunity_size || ' customers for cross_sell campaigns' END AS description FROM alerts""",
+    "alerts_of_severity": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
+SELECT alert_id, type, severity FROM alerts WHERE severity = 'high'""",
     "run_log_tail": """
 SELECT ts AS timestamp, event_type AS step, CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status
 FROM events ORDER BY ts DESC, event_type, status LIMIT 5""",
@@ -582,19 +689,8 @@ FROM events ORDER BY ts DESC, event_type, status LIMIT 5""",
 SELECT count(*) AS total_steps, count_if(event_type <> 'error') AS successful_steps,
        coalesce(count_if(event_type <> 'error')::DOUBLE / nullif(count(*), 0)::DOUBLE * 100, 0.0) AS success_rate
 FROM events""",
-    "drift_recommendations": _w(LOG) + """
-, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, prediction_id DESC) AS rn FROM plog),
-d AS (
-  SELECT model_name, count(*) AS n,
-         avg(CASE WHEN rn <= 100 THEN prediction END) AS rp, avg(CASE WHEN rn <= 100 THEN confidence END) AS rc,
-         avg(CASE WHEN rn > 100 THEN prediction END) AS hp, avg(CASE WHEN rn > 100 THEN confidence END) AS hc
-  FROM r GROUP BY model_name),
-f AS (SELECT model_name, n >= 100 AND coalesce(abs(rp - hp) > 0.1 OR abs(rc - hc) > 0.1, false) AS det,
-             CASE WHEN n >= 100 THEN rc END AS rc FROM d)
-SELECT model_name, 'Model drift detected - consider retraining' AS recommendation FROM f WHERE det
-UNION ALL SELECT model_name, 'Investigate data quality changes' FROM f WHERE det
-UNION ALL SELECT model_name, 'Review feature distribution shifts' FROM f WHERE det
-UNION ALL SELECT model_name, 'Low confidence scores - consider model ensemble' FROM f WHERE rc < 0.7""",
+    "drift_recommendations": _w(LOG) + DRIFT_ADVICE,
+    "drift_advice": _w(SHIFTING_LOG) + DRIFT_ADVICE,
     "roi_recommendations": _w(ROI) + """
 , s AS (SELECT floor((B - C) / C * 100 * 1e2 + 0.5) / 1e2 AS roi FROM roi_t)
 SELECT recommendation FROM s, (VALUES

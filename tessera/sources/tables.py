@@ -202,6 +202,45 @@ def run_log_from_events(events: DataFrame) -> DataFrame:
         F.col("props").alias("message"))
 
 
+# Pipeline steps that the event types stand for where every step family should occur.
+STEP_OF_EVENT = {"click": "data_collection_customers", "signup": "feature_engineering_rfm",
+                 "view": "model_training", "purchase": "batch_predictions", "error": "roi_analysis"}
+
+
+def step_log_from_events(events: DataFrame) -> DataFrame:
+    """events -> run log with named pipeline steps; steps of a value below 10 failed."""
+    step = F.coalesce(*[F.when(F.col("event_type") == e, F.lit(s)) for e, s in STEP_OF_EVENT.items()], F.lit("setup"))
+    return events.select(F.col("ts").alias("timestamp"), step.alias("step"),
+                         F.when(F.col("value") < 10, "error").otherwise("success").alias("status"),
+                         F.col("props").alias("message"))
+
+
+def shifting_log_from_events(events: DataFrame) -> DataFrame:
+    """events -> prediction log whose positive rate and confidence fall over the month, so that drift fires:
+    prediction = value > 4 * day of month; confidence = 1 - day of month / 60, NULL for every seventh event."""
+    day = F.dayofmonth("ts")
+    return events.select(
+        F.col("event_id").alias("prediction_id"), "ts", F.col("event_type").alias("model_name"),
+        (F.col("value") > day * F.lit(4.0)).cast("int").alias("prediction"),
+        F.when(F.col("event_id") % 7 != 0, F.lit(1.0) - day / F.lit(60.0)).alias("confidence"),
+        F.col("value").alias("processing_time"))
+
+
+def text_times_from_events(events: DataFrame) -> DataFrame:
+    """events -> (event_id, transaction_date as text); error events hold a text that is no time."""
+    return events.select("event_id", F.when(F.col("event_type") == "error", F.lit("not a time"))
+                         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("transaction_date"))
+
+
+def account_holders(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """customer + nation -> customers whose ages run from 0 to 119; the city is "<nation>'s o'er-<segment>" in lower case."""
+    return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+            .select(F.col("c_custkey").alias("customer_id"),
+                    F.pmod(F.col("c_custkey"), F.lit(120)).cast("int").alias("age"),
+                    F.lower(F.concat(F.col("n_name"), F.lit("'s o'er-"), F.col("c_mktsegment"))).alias("city"),
+                    F.col("c_acctbal").alias("amount")))
+
+
 def costs_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Cost categories: discount granted per return flag (category, cost)."""
     return (lineitem.groupBy(F.col("l_returnflag").alias("category"))

@@ -1,20 +1,24 @@
-"""Streaming catalogue entries (checked on rows only).
+"""Streaming catalogue entries.
 
-Each entry streams a whole test table through a file source with
-``trigger(availableNow=True)``, lets the query commit to a sink below the
-reliable checkpoint folder and returns the sink contents as a DataFrame.
+Each entry delivers a whole test table in several files, one a micro-batch, to
+a file source with ``trigger(availableNow=True)``, lets the query commit to a
+sink below the reliable checkpoint folder and returns the sink contents as a
+DataFrame. Event streams end with a heartbeat row, so every window of the data
+is closed and in the sink.
 """
 from __future__ import annotations
 
 import os
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import round_half_up
 from tessera.plans.alerts import rules_frame
 from tessera.session import scratch_path
-from tessera.sources.tables import transactions_from_orders
+from tessera.sources.tables import Tables, prediction_log_from_events, transactions_from_orders
 from tessera.streaming import streams as st
 
 
@@ -23,75 +27,111 @@ def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     return os.path.join(base, "sink"), os.path.join(base, "checkpoint")
 
 
-def _events(spark, sf_dir):
-    return st.read_stream(spark, sf_dir, "events", "events.parquet")
+#: Event streams start here; what lies before is the history that baselines come from.
+STREAM_START = "2024-01-10 00:00:00"
+
+
+def _later(events: DataFrame) -> F.Column:
+    return F.col("ts") >= F.lit(STREAM_START).cast("timestamp_ntz")
+
+
+def _events(spark, sf_dir, only=None) -> DataFrame:
+    """Events as a stream of several deliveries with a closing heartbeat behind them."""
+    src, _ = _dirs(spark, "events-src")
+    events = Tables(spark, sf_dir).events
+    st.replay(events if only is None else events.where(only(events)), src, closing={"event_id": st.CLOSING_ID, "event_type": "heartbeat", "value": 0.0})
+    return st.read_stream(spark, src, "events", max_files_per_trigger=1)
+
+
+def _history(spark, sf_dir) -> DataFrame:
+    events = Tables(spark, sf_dir).events
+    return prediction_log_from_events(events.where(~_later(events)))
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
 def q_stream_rollup(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "rollup")
     st.run_to_completion(st.hourly_rollup_stream(st.prediction_log_stream(_events(spark, sf_dir))), sink, ck)
-    return spark.read.parquet(sink)
+    out = _ntz(spark.read.parquet(sink), "window_start", "window_end").drop("confidence_sum", "confidence_count")
+    return out.withColumns({c: round_half_up(c, 6) for c in ("avg_confidence", "processing_time", "positive_rate")})
 
 
 def q_stream_drift(spark, sf_dir) -> DataFrame:
+    """Sliding windows of the stream against the history before it."""
     sink, ck = _dirs(spark, "drift")
-    static_log = st.prediction_log_stream(spark.read.parquet(os.path.join(sf_dir, "events.parquet")))
-    baseline = static_log.groupBy("model_name").agg(
+    baseline = _history(spark, sf_dir).groupBy("model_name").agg(
         F.avg(F.col("prediction").cast("double")).alias("base_positive_rate"),
         F.avg("confidence").alias("base_confidence"))
-    st.run_to_completion(st.drift_stream(st.prediction_log_stream(_events(spark, sf_dir)), baseline), sink, ck)
-    return spark.read.parquet(sink)
+    stream = st.prediction_log_stream(_events(spark, sf_dir, _later))
+    st.run_to_completion(st.drift_stream(stream, baseline), sink, ck)
+    out = _ntz(spark.read.parquet(sink), "window_start", "window_end")
+    return out.withColumns({c: round_half_up(c, 6) for c in ("positive_rate_drift", "confidence_drift")})
 
 
 def q_stream_alerts(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "alerts")
-    rollup = st.hourly_rollup_stream(st.prediction_log_stream(_events(spark, sf_dir)))
+    rollup = st.hourly_rollup_stream(st.prediction_log_stream(_events(spark, sf_dir, _later)))
     # baseline: mean predictions per hour in the history (one number from one aggregate)
-    hist = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
-    baseline = (hist.groupBy(F.date_trunc("hour", "ts")).count().agg(F.avg("count")).first()[0])
+    baseline = (_history(spark, sf_dir).groupBy(F.date_trunc("hour", "ts")).count().agg(F.avg("count")).first()[0])
     st.run_to_completion(rollup, sink, ck, foreach_batch=st.alert_sink(rules_frame(spark), sink, baseline))
-    try:
-        return spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - no batch fired an alert: empty result with the alert schema
-        return spark.createDataFrame([], "window_start timestamp, rule_no int, type string, severity string, "
-                                         "title string, value double, threshold double")
+    out = _ntz(spark.read.parquet(sink), "window_start")
+    return out.select("window_start", "rule_no", "type", "severity", "title", round_half_up("value", 12).alias("value"), "threshold")
 
 
 def q_stream_rfm(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "rfm")
-    tx = transactions_from_orders(st.read_stream(spark, sf_dir, "orders", "orders.parquet"))
+    src, _ = _dirs(spark, "orders-src")
+    st.replay(Tables(spark, sf_dir).orders, src, ts="o_orderdate")
+    tx = transactions_from_orders(st.read_stream(spark, src, "orders", max_files_per_trigger=1))
     st.run_to_completion(st.rfm_stream(tx), sink, ck, mode="update", foreach_batch=st.changes_sink(sink))
-    return st.latest_snapshot(spark, sink)
+    return st.latest_snapshot(spark, sink).withColumn("monetary_total", round_half_up("monetary_total", 2))
 
 
 def q_stream_sessions(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "sessions")
     st.run_to_completion(st.sessions_stream(_events(spark, sf_dir)), sink, ck)
-    return spark.read.parquet(sink)
+    return _ntz(spark.read.parquet(sink), "session_start", "session_end")
 
 
 def q_stream_dedupe(spark, sf_dir) -> DataFrame:
+    """Transaction lines, whose keys repeat, ingested once: the keys that came through. Repeats
+    lie years apart, so the watermark delay covers the whole table."""
     sink, ck = _dirs(spark, "dedupe")
-    st.run_to_completion(st.dedupe_stream(_events(spark, sf_dir)), sink, ck)
+    src, _ = _dirs(spark, "lines-src")
+    lines = Tables(spark, sf_dir).lineitem
+    st.replay(lines, src, ts="l_shipdate")
+    stream = st.read_stream(spark, src, "lineitem", max_files_per_trigger=1).withColumnRenamed("l_shipdate", "ts")
+    once = st.dedupe_stream(stream, ("l_orderkey", "l_linenumber"), delay="36500 days")
+    st.run_to_completion(once.select("l_orderkey", "l_linenumber"), sink, ck)
     return spark.read.parquet(sink)
 
 
 def q_stream_scoring(spark, sf_dir) -> DataFrame:
-    """Train the default model, then score the test split arriving as a stream."""
+    """Train the default model, then score every customer, arriving as a stream."""
     from tessera.plans.ml_queries import _default_model, training_data
 
     data = training_data(spark, sf_dir)
     model = _default_model(data)
     src, _ = _dirs(spark, "scoring-src")
-    test = data.where("split = 'test'").select("customer_id", "label", "features")
-    test.write.parquet(src)
+    rows = data.select("customer_id", "label", "features")
+    rows.write.parquet(src)
     sink, ck = _dirs(spark, "scoring")
-    sdf = spark.readStream.schema(test.schema).parquet(src)
-    scored = st.score_stream(sdf, model).select("customer_id", "label", F.col("prediction").cast("int"))
-    st.run_to_completion(scored, sink, ck)
+    sdf = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    scored = st.score_stream(sdf, model)
+    st.run_to_completion(scored_frame_of(scored), sink, ck)
     return spark.read.parquet(sink)
 
 
+def scored_frame_of(scored: DataFrame) -> DataFrame:
+    """A scored micro-batch as prediction-log rows: prediction, confidence and the time of scoring."""
+    return scored.select("customer_id", "label", F.col("prediction").cast("int"),
+                         F.array_max(vector_to_array("probability")).alias("confidence"),
+                         F.current_timestamp().alias("scored_at"))
+
+
 STREAM_QUERIES = {
     "stream_rollup": q_stream_rollup, "stream_drift": q_stream_drift, "stream_alerts": q_stream_alerts,
     "stream_rfm": q_stream_rfm, "stream_sessions": q_stream_sessions, "stream_dedupe": q_stream_dedupe,

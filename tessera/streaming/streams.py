@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import try_ratio
+from tessera.functions.columns import epoch_micros, try_ratio
 from tessera.plans.alerts import rules_frame
 from tessera.plans.monitor import DRIFT_HIGH, DRIFT_THRESHOLD
 from tessera.sources.tables import SCHEMAS
@@ -57,9 +57,10 @@ def hourly_rollup_stream(log: DataFrame, delay: str = "1 hour") -> DataFrame:
     g = (log.withWatermark("ts", delay)
          .groupBy(F.window("ts", "1 hour").alias("w"), "model_name")
          .agg(F.count(F.lit(1)).alias("predictions_count"), F.sum("prediction").alias("positive_predictions"),
-              F.avg("confidence").alias("avg_confidence"), F.avg("processing_time").alias("processing_time")))
+              F.avg("confidence").alias("avg_confidence"), F.avg("processing_time").alias("processing_time"),
+              F.sum("confidence").alias("confidence_sum"), F.count("confidence").alias("confidence_count")))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "model_name",
-                    "predictions_count", "positive_predictions",
+                    "predictions_count", "positive_predictions", "confidence_sum", "confidence_count",
                     (F.col("predictions_count") - F.col("positive_predictions")).alias("negative_predictions"),
                     "avg_confidence", "processing_time",
                     try_ratio(F.col("positive_predictions"), F.col("predictions_count")).alias("positive_rate"))
@@ -69,12 +70,13 @@ def hourly_rollup_stream(log: DataFrame, delay: str = "1 hour") -> DataFrame:
 def drift_stream(log: DataFrame, baseline: DataFrame, length: str = "1 day", slide: str = "6 hours",
                  delay: str = "1 hour") -> DataFrame:
     """Sliding-window positive rate / confidence per model against a static baseline
-    (model_name, base_positive_rate, base_confidence): stream-static join."""
+    (model_name, base_positive_rate, base_confidence): stream-static join. The
+    baseline should end before the stream starts, or it holds what it is compared with."""
     g = (log.withWatermark("ts", delay)
          .groupBy(F.window("ts", length, slide).alias("w"), "model_name")
          .agg(F.avg(F.col("prediction").cast("double")).alias("positive_rate"),
               F.avg("confidence").alias("avg_confidence"), F.count(F.lit(1)).alias("n")))
-    j = g.join(F.broadcast(baseline), "model_name")
+    j = g.join(baseline, "model_name")
     pr = F.abs(F.col("positive_rate") - F.col("base_positive_rate"))
     cd = F.abs(F.col("avg_confidence") - F.col("base_confidence"))
     det = (pr > DRIFT_THRESHOLD) | (cd > DRIFT_THRESHOLD)
@@ -86,11 +88,13 @@ def drift_stream(log: DataFrame, baseline: DataFrame, length: str = "1 day", sli
 
 # --- ST4 ----------------------------------------------------------------------------
 def rollup_alerts(batch: DataFrame, rules: DataFrame, baseline_volume: float | None = None) -> DataFrame:
-    """Rule table applied to closed hourly windows: the confidence rule, and with
-    a baseline mean hourly volume also the volume-spike rule (window volume /
-    baseline)."""
+    """Rule table applied to closed hourly windows: the confidence rule on the mean
+    over the window's rows (models weigh by their volume, as in the batch rule), and
+    with a baseline mean hourly volume also the volume-spike rule (window volume /
+    baseline). The trend and churn rules need days of history: batch only."""
     per_window = batch.groupBy("window_start").agg(
-        F.avg("avg_confidence").alias("avg_confidence"), F.sum("predictions_count").alias("volume"))
+        try_ratio(F.sum("confidence_sum"), F.sum("confidence_count")).alias("avg_confidence"),
+        F.sum("predictions_count").alias("volume"))
     ratio = (F.col("volume") / F.lit(float(baseline_volume))) if baseline_volume else F.lit(None)
     per_window = per_window.withColumn("volume_ratio", ratio.cast("double"))
     long = per_window.select("window_start", F.expr(
@@ -137,11 +141,11 @@ def latest_snapshot(spark: SparkSession, path: str, key: str = "customer_id") ->
 
 # --- ST6 ----------------------------------------------------------------------------
 def sessions_stream(events: DataFrame, gap: str = "6 hours", delay: str = "6 hours") -> DataFrame:
-    """Gap sessions per user with ``session_window``; emitted once closed."""
+    """Gap sessions per user with ``session_window``, from the first event to the last; emitted once closed."""
     ev = with_event_time(events).withWatermark("ts", delay)
-    g = ev.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(F.count(F.lit(1)).alias("n_events"))
-    return g.select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    "n_events")
+    g = ev.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("session_end"))
+    return g.select("user_id", F.col("s.start").alias("session_start"), "session_end", "n_events")
 
 
 # --- ST7 ----------------------------------------------------------------------------
@@ -150,6 +154,34 @@ def dedupe_stream(events: DataFrame, keys=("event_id",), delay: str = "1 hour")
     return with_event_time(events).withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+# --- replay --------------------------------------------------------------------------
+CLOSING_ID = -1
+
+
+def replay(df: DataFrame, path: str, ts: str = "ts", parts: int = 4, closing: dict | None = None) -> None:
+    """Write ``df`` as a file-stream folder in ``parts`` deliveries by event time.
+
+    The deliveries have consecutive time ranges and are written one after the
+    other, so a stream that takes one file at a time reads them in that order.
+    ``closing`` adds a last delivery of one row with these values and an event
+    time 30 days after the last: the heartbeat that lets the watermark pass
+    every window of the data (its own stays open and is never emitted).
+    """
+    us = epoch_micros(df, ts)
+    lo, hi, last = df.agg(F.min(us), F.max(us), F.max(ts)).first()
+    if lo is None:
+        df.write.mode("append").parquet(path)
+        return
+    part = F.least(F.floor((us - F.lit(lo)) * F.lit(parts) / F.lit(hi - lo + 1)), F.lit(parts - 1))
+    for k in range(parts):
+        df.where(part == k).write.mode("append").parquet(path)
+    if closing is not None:
+        row = df.sparkSession.range(1).select(*(F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) if f.name != ts
+                                                else (F.lit(last) + F.expr("INTERVAL 30 DAYS")).cast(f.dataType).alias(ts)
+                                                for f in df.schema.fields))
+        row.write.mode("append").parquet(path)
+
+
 # --- runner -------------------------------------------------------------------------
 def run_to_completion(sdf: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                       foreach_batch: Callable | None = None, fmt: str = "parquet") -> None:
@@ -166,4 +198,4 @@ def run_to_completion(sdf: DataFrame, sink: str, checkpoint: str, mode: str = "a
 
 __all__ = ["read_stream", "with_event_time", "prediction_log_stream", "score_stream", "hourly_rollup_stream",
            "drift_stream", "rollup_alerts", "alert_sink", "rfm_stream", "sessions_stream",
-           "dedupe_stream", "run_to_completion", "rules_frame", "changes_sink", "latest_snapshot"]
+           "dedupe_stream", "replay", "run_to_completion", "rules_frame", "changes_sink", "latest_snapshot"]
