@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import title_case
-from tessera.operators.quantiles import exact_quantiles_multi, quantiles_multi, value_counts_multi
+from tessera.operators.quantiles import exact_quantiles_multi, quantiles_multi
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -107,19 +107,15 @@ def anomaly_counts(df: DataFrame, spec: dict[str, tuple[str, float]]) -> DataFra
     """One row: per metric the exact quantile threshold and the count strictly
     above it, plus the total.
 
-    ``spec`` maps an output name to ``(column, probability)``. Thresholds and
-    counts both come from the per-value count table, so the input is scanned
-    once (not once for the quantiles and again for the counts).
+    ``spec`` maps an output name to ``(column, probability)``. The thresholds are
+    one row; the counts above them are one more scan of the columns, combined
+    before the shuffle.
     """
     names = list(spec)
-    cols = [spec[n][0] for n in names]
-    counts = value_counts_multi(df, cols)
-    q = exact_quantiles_multi(df, {c: ([spec[n][1]], f"_t{j}_") for j, (n, c) in enumerate(zip(names, cols))},
-                              counts=counts)
-    j = counts.crossJoin(F.broadcast(q))
-    aggs = [F.sum(F.when(F.col("_k") == 0, F.col("cnt"))).alias("total_records")]
+    q = exact_quantiles_multi(df, {spec[n][0]: ([spec[n][1]], f"_t{j}_") for j, n in enumerate(names)})
+    j = df.select(*{spec[n][0] for n in names}).crossJoin(F.broadcast(q))
+    aggs = [F.count(F.lit(1)).alias("total_records")]
     for i, n in enumerate(names):
         t = F.col(f"_t{i}_0")
-        aggs += [F.coalesce(F.sum(F.when((F.col("_k") == i) & (F.col("v") > t), F.col("cnt"))), F.lit(0))
-                 .alias(f"{n}_count"), F.max(t).alias(f"{n}_threshold")]
+        aggs += [F.count_if(F.col(spec[n][0]) > t).alias(f"{n}_count"), F.max(t).alias(f"{n}_threshold")]
     return j.agg(*aggs)

@@ -1,18 +1,25 @@
 """Exact and approximate quantiles, quantile scores (qcut), threshold flags.
 
 ``exact_quantiles`` reproduces linear interpolation between order statistics
-(the ``quantile_cont`` / numpy "linear" definition) without the per-group
-value->count map that Spark's ``percentile`` aggregate keeps in one buffer:
-
-1. values are counted per distinct value (map-side partial aggregate, so a
-   value repeated in a third of all rows becomes one row);
-2. distinct values are ranked by an ordered prefix sum cut into value ranges
-   (see ``tessera.operators.ordered``), several columns in the same pass;
-3. only the rows holding the (at most two per probability) needed ranks reach
-   the final one-row aggregate, which interpolates.
+(the ``quantile_cont`` / numpy "linear" definition) without a shuffle of the
+rows and without the per-group value->count map that Spark's ``percentile``
+aggregate keeps in one buffer:
+
+1. one scan sketches, for every probability, a bracket that holds the order
+   statistics asked for (``percentile_approx`` a little below and above) and
+   counts the values;
+2. one scan counts what lies below and inside each bracket: numbers only,
+   combined before they leave a task. A bracket that proves too narrow is
+   opened to all values, so the result never rests on the sketch;
+3. only the values inside the brackets (some ten-thousandths of the rows) are
+   counted per distinct value and ranked, cut into value ranges (see
+   ``tessera.operators.ordered``);
+4. the (at most two per probability) rows that hold the needed ranks reach the
+   final one-row aggregate, which interpolates.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -26,68 +33,80 @@ def _edge_names(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
 
-def value_counts_multi(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(_k, v, cnt)``: multiplicity of every value (NULL included) of each column
-    ``cols[_k]``, written once. One scan, one aggregate with map-side combine."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(j).alias("_k"), F.col(c).cast("double").alias("v")) for j, c in enumerate(cols)]))
-        .alias("_e")).select("_e.*")
-    return materialize(long.groupBy("_k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+def _brackets(df: DataFrame, items: list[tuple[str, float]]) -> list[dict]:
+    """Per (column, probability): value count ``n``, bracket ``lo`` / ``hi`` (None: open) and how many values lie ``below``."""
+    cols = list(dict.fromkeys(c for c, _ in items))
+    value = {c: F.col(c).cast("double") for c in cols}
+    delta = 2.0 / APPROX_ACCURACY
+    grid = {c: sorted({min(max(p + d, 0.0), 1.0) for cc, p in items if cc == c for d in (-delta, delta)}) for c in cols}
+    row = df.agg(*[F.count(value[c]).alias(f"n{j}") for j, c in enumerate(cols)],
+                 *[F.percentile_approx(value[c], grid[c], APPROX_ACCURACY).alias(f"a{j}") for j, c in enumerate(cols)]).first()
+    out = []
+    for c, p in items:
+        j = cols.index(c)
+        at = dict(zip(grid[c], row[f"a{j}"] or []))
+        out.append({"col": c, "p": p, "n": row[f"n{j}"],
+                    "lo": at.get(p - delta) if p > delta else None, "hi": at.get(p + delta) if p < 1 - delta else None})
+    sides = df.agg(*[x.alias(f"{name}{k}") for k, b in enumerate(out) for name, x in (
+        ("below", F.count_if(value[b["col"]] < b["lo"]) if b["lo"] is not None else F.lit(0)),
+        ("above", F.count_if(value[b["col"]] > b["hi"]) if b["hi"] is not None else F.lit(0)))]).first()
+    for k, b in enumerate(out):
+        pos = b["p"] * max(b["n"] - 1, 0)
+        b["pos"], b["below"] = pos, sides[f"below{k}"]
+        if not b["below"] <= math.floor(pos) or not math.ceil(pos) < b["n"] - sides[f"above{k}"]:
+            b.update(lo=None, hi=None, below=0)
+    return out
+
+
+def _inside(value: F.Column, b: dict) -> F.Column:
+    cond = value.isNotNull()
+    if b["lo"] is not None:
+        cond = cond & (value >= b["lo"])
+    if b["hi"] is not None:
+        cond = cond & (value <= b["hi"])
+    return cond
 
 
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float], str]],
-                          rows_per_range: int = ROWS_PER_RANGE, counts: DataFrame | None = None) -> DataFrame:
+                          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One-row frame of exact linear quantiles for several columns at once.
 
     ``spec`` maps a column to ``(probs, prefix)``; the output has columns
     ``{prefix}0..`` per column. NULLs are ignored; an all-NULL column gives NULLs.
-    Plan: one (column, value) count aggregate with map-side combine, written
-    once (``counts`` may pass it in) -> value ranges sized by the number of
-    distinct values -> offsets of the ranges (small, broadcast) -> running
-    count inside each range -> the <= 2 rows per probability that hold the
-    needed ranks -> one-row interpolation.
     """
-    cols = list(spec)
-    if counts is None:
-        counts = value_counts_multi(df, cols)
-    distinct = counts.where(F.col("v").isNotNull())
-    cuts = plan_ranges(distinct, ["v"], rows_per_range, by="_k", groups=len(cols))
-    counts = distinct.withColumn("_range", F.lit(0))
-    for j in range(len(cols)):
-        if cuts[j]:
-            counts = range_column("v", cuts[j], f"_r{j}")(counts).withColumn(
-                "_range", F.when(F.col("_k") == j, F.col(f"_r{j}")).otherwise(F.col("_range"))).drop(f"_r{j}")
-    totals = counts.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
-    # one row per range and column
-    offsets = totals.select(
-        "_k", "_range",
-        F.coalesce(F.sum("_tot").over(Window.partitionBy("_k").orderBy("_range")
-                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_tot").over(Window.partitionBy("_k")).alias("n"))
+    items = [(c, float(p)) for c, (probs, _) in spec.items() for p in probs]
+    names = [n for _, (probs, prefix) in spec.items() for n in _edge_names(prefix, len(probs))]
+    brackets = _brackets(df, items)
+    near = F.filter(F.array(*[
+        F.when(_inside(F.col(b["col"]).cast("double"), b), F.struct(F.lit(k).alias("_k"), F.col(b["col"]).cast("double").alias("v")))
+        for k, b in enumerate(brackets)]), lambda x: x.isNotNull())
+    counts = materialize(df.select(F.explode(near).alias("e")).select("e.*")
+                         .groupBy("_k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    cuts = plan_ranges(counts, ["v"], rows_per_range, by="_k", groups=len(items))
+    ranged = counts.withColumn("_range", F.lit(0))
+    for k in range(len(items)):
+        if cuts[k]:
+            ranged = range_column("v", cuts[k], f"_r{k}")(ranged).withColumn(
+                "_range", F.when(F.col("_k") == k, F.col(f"_r{k}")).otherwise(F.col("_range"))).drop(f"_r{k}")
+    totals = ranged.groupBy("_k", "_range").agg(F.sum("cnt").alias("_tot"))
+    # one row per range and bracket
+    offsets = totals.select("_k", "_range", F.coalesce(F.sum("_tot").over(
+        Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     within = Window.partitionBy("_k", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts.join(offsets, ["_k", "_range"])
+    ranked = (ranged.join(offsets, ["_k", "_range"])
               .withColumn("before", F.col("_off") + F.coalesce(F.sum("cnt").over(within), F.lit(0))))
 
-    hits, aggs = F.lit(False), []
-    for j, c in enumerate(cols):
-        probs, _ = spec[c]
-        for i, p in enumerate(probs):
-            pos = F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double")
-            mine = F.col("_k") == F.lit(j)
-            lo_hit = mine & (F.col("before") <= F.floor(pos)) & (F.floor(pos) < F.col("before") + F.col("cnt"))
-            hi_hit = mine & (F.col("before") <= F.ceil(pos)) & (F.ceil(pos) < F.col("before") + F.col("cnt"))
-            hits = hits | lo_hit | hi_hit
-            aggs += [F.max(F.when(lo_hit, F.col("v"))).alias(f"_lo{j}_{i}"),
-                     F.max(F.when(hi_hit, F.col("v"))).alias(f"_hi{j}_{i}"),
-                     F.max(F.when(mine, pos)).alias(f"_pos{j}_{i}")]
-    one = ranked.where(hits).agg(*aggs)
-    outs = []
-    for j, c in enumerate(cols):
-        probs, prefix = spec[c]
-        for i, name in enumerate(_edge_names(prefix, len(probs))):
-            lo, hi, pos = F.col(f"_lo{j}_{i}"), F.col(f"_hi{j}_{i}"), F.col(f"_pos{j}_{i}")
-            outs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return one.select(*outs)
+    hits, aggs, outs = F.lit(False), [], []
+    for k, (b, name) in enumerate(zip(brackets, names)):
+        mine = F.col("_k") == F.lit(k)
+        holds = lambda r: mine & (F.col("before") <= r) & (F.lit(r) < F.col("before") + F.col("cnt"))  # noqa: B023, E731
+        lo_hit, hi_hit = holds(math.floor(b["pos"]) - b["below"]), holds(math.ceil(b["pos"]) - b["below"])
+        hits = hits | lo_hit | hi_hit
+        aggs += [F.max(F.when(lo_hit, F.col("v"))).alias(f"_lo{k}"), F.max(F.when(hi_hit, F.col("v"))).alias(f"_hi{k}")]
+        lo, hi = F.col(f"_lo{k}"), F.col(f"_hi{k}")
+        share = b["pos"] - math.floor(b["pos"])
+        outs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.lit(share)).alias(name))
+    return ranked.where(hits).agg(*aggs).select(*outs)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:

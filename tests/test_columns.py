@@ -70,3 +70,11 @@ def test_formats(spark):
     r = df.select(C.fmt_currency(F.col("m")).alias("a"), C.fmt_percent(F.col("r")).alias("b"),
                   C.title_from_snake("s").alias("c"), C.alert_id(F.col("n")).alias("d")).first()
     assert (r["a"], r["b"], r["c"], r["d"]) == ("€1,234.50", "71.2%", "Model Retraining", "ALERT_007")
+
+
+def test_round_half_up_passes_what_has_no_such_decimals(spark):
+    import math
+    vals = [1e13, 1e17, -1e17, float("inf"), float("-inf"), None, -2.5, 1234567.891]
+    got = _col(spark, vals, "double", lambda c: C.round_half_up(c, 6))
+    assert got == [1e13, 1e17, -1e17, float("inf"), float("-inf"), None, -2.5, 1234567.891]
+    assert math.isnan(_col(spark, [float("nan")], "double", lambda c: C.round_half_up(c, 2))[0])

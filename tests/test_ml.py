@@ -18,12 +18,37 @@ def _data(spark):
     return ml.prepare_training(spark, ds, ["x0", "x1", "x2"], "y", key="vec_id", folds=2)
 
 
-def test_split_is_near_80_20_per_class(spark):
+def test_split_is_80_20_per_class_and_folds_are_even(spark):
     d = _data(spark)
     by = {(r["label"], r["split"]): r["count"] for r in d.groupBy("label", "split").count().collect()}
     for y in (0.0, 1.0):
-        tot = by.get((y, "train"), 0) + by.get((y, "test"), 0)
-        assert abs(by.get((y, "train"), 0) / tot - 0.8) < 0.12
+        tot = by[y, "train"] + by[y, "test"]
+        assert by[y, "train"] == int(0.8 * tot + 0.5)
+    folds = {}
+    for r in d.groupBy("label", "split", "fold").count().collect():
+        folds.setdefault((r["label"], r["split"]), []).append(r["count"])
+    assert all(max(f) - min(f) <= 1 for f in folds.values())
+
+
+def test_split_does_not_depend_on_ranges_or_partitions(spark, monkeypatch):
+    from tessera.operators import ordered
+    rows = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    want = {r.customer_id: (r.split, r.fold) for r in ml.kfold(ml.stratified_split(rows, "label"), 5).collect()}
+    cut = ordered.ordered_prefix_sum
+    monkeypatch.setattr(ml, "ordered_prefix_sum", lambda *a, **k: cut(*a, **k, rows_per_range=20))
+    got = ml.kfold(ml.stratified_split(rows.repartition(7), "label"), 5)
+    assert {r.customer_id: (r.split, r.fold) for r in got.collect()} == want
+
+
+def test_fit_does_not_depend_on_input_partitions(spark):
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(3)])
+    emb = emb.withColumn("y", (F.col("x0") + F.col("x1") > 0).cast("int"))
+    forest = ml.RandomForestClassifier(labelCol="label", numTrees=5, maxDepth=ml.FOREST_DEPTH, seed=1)
+    fits = [forest.fit(ml.prepare_training(spark, emb.repartition(n), ["x0", "x1", "x2"], "y", key="vec_id", folds=2))
+            for n in (1, 8)]
+    assert fits[0].featureImportances == fits[1].featureImportances
+    assert max(t.depth for t in fits[0].trees) > 5
 
 
 def test_train_evaluate_save_load_score(spark):

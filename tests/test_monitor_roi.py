@@ -58,3 +58,10 @@ def test_drift_recommendations_when_detected(spark):
     assert recs == DRIFT_RECOMMENDATIONS
     low = [r["recommendation"] for r in drift_recommendations(drift(_log(spark, 0, 100, 0.3, 0.3, conf=0.6))).collect()]
     assert low == [LOW_CONFIDENCE_RECOMMENDATION]
+
+
+def test_drift_leaves_missing_confidences_out(spark):
+    rows = spark.range(300).selectExpr("'m' AS model_name", "timestamp_seconds(id) AS ts", "id AS prediction_id",
+                                       "1 AS prediction", "CASE WHEN id % 2 = 0 THEN 0.9D END AS confidence")
+    r = drift(rows).first()
+    assert abs(r["recent_avg_confidence"] - 0.9) < 1e-9 and abs(r["historical_avg_confidence"] - 0.9) < 1e-9

@@ -41,3 +41,21 @@ def test_degenerate_metrics(spark):
     assert (r["precision"], r["recall"], r["f1"]) == (0.0, 0.0, 0.0)
     one_class = spark.createDataFrame([("m", 1, 0.3), ("m", 1, 0.7)], "model_name string, label int, score double")
     assert roc_auc(one_class).first()["roc_auc"] is None
+
+
+def test_auc_is_the_same_for_any_number_of_ranges(spark, monkeypatch):
+    """Rows without a score take no part, NaN ranks last, whether there is one range or many."""
+    import random
+
+    from tessera.operators import metrics
+    r = random.Random(5)
+    rows = [("m", r.choice([0, 1]), r.choice([None, float("nan"), round(r.random(), 2), round(r.random(), 2)])) for _ in range(400)]
+    scored = spark.createDataFrame(rows, "model_name string, label int, score double")
+    one = metrics.roc_auc(scored).first()["roc_auc"]
+    cut = metrics.ordered_prefix_sum
+    monkeypatch.setattr(metrics, "ordered_prefix_sum", lambda *a, **k: cut(*a, **k, rows_per_range=20))
+    assert metrics.roc_auc(scored).first()["roc_auc"] == one
+    key = lambda s: (s != s, s if s == s else 0)
+    kept = [(y, key(s)) for _, y, s in rows if s is not None]
+    pairs = [(p > n) + 0.5 * (p == n) for y, p in kept if y for z, n in kept if not z]
+    assert abs(one - sum(pairs) / len(pairs)) < 1e-12
