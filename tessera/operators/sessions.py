@@ -18,22 +18,21 @@ more than ``gap_seconds`` after the previous one (ties ordered by id).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import epoch_micros
 
 DEFAULT_GAP_SECONDS = 6 * 3600
-# Bucket width: any width gives the same sessions; narrower buckets spread a hot
-# user's events over more tasks (the per-bucket table grows by one row per
-# non-empty bucket). Default: the gap, capped at one hour.
+# Bucket width, a setting for spreading work: any width gives the same sessions; narrower
+# buckets spread a hot user's events over more tasks (the per-bucket table grows by one
+# row per non-empty bucket). Default: one hour, or the gap if that is shorter.
 DEFAULT_BUCKET_SECONDS = 3600
 
 
-def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
-              bucket_seconds: int | None) -> tuple[DataFrame, DataFrame]:
-    """(events with in-bucket start info, one row per (user, bucket) with the
-    bucket's own first start if any and the start carried from earlier buckets)."""
+def _within_buckets(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
+                    bucket_seconds: int | None) -> tuple[DataFrame, int]:
+    """(events with the latest session start seen inside their bucket, the gap in microseconds)."""
     bucket_us = int((bucket_seconds or min(gap_seconds, DEFAULT_BUCKET_SECONDS)) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
     ev = (events.withColumn("_us", epoch_micros(events, ts))
@@ -43,8 +42,15 @@ def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
     running = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = F.lag("_us").over(in_bucket)
     inner = ev.withColumn("_inner_start", F.when(prev.isNotNull() & (F.col("_us") - prev > F.lit(gap_us)), key))
-    inner = inner.withColumn("_inner_last", F.max("_inner_start").over(running))
+    return inner.withColumn("_inner_last", F.max("_inner_start").over(running)), gap_us
+
 
+def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
+              bucket_seconds: int | None) -> tuple[DataFrame, DataFrame]:
+    """(events with in-bucket start info, one row per (user, bucket) with the
+    bucket's own first start if any and the start carried from earlier buckets)."""
+    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, bucket_seconds)
+    key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     per_bucket = inner.groupBy(user, "_b").agg(
         F.min(key).alias("_first"), F.max("_us").alias("_last_us"), F.max("_inner_start").alias("_inner_max"))
     carry_w = Window.partitionBy(user).orderBy("_b")
@@ -82,22 +88,43 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
 
 
 def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
-             gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
+             gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None,
+             sums: dict[str, Column] | None = None, sets: dict[str, Column] | None = None) -> DataFrame:
     """One row per session: user, session_start, session_end, n_events, duration_us.
 
-    Events are reduced inside the ``(user, bucket)`` partitioning to one row per
-    piece of a session within a bucket; only those pieces are joined with the
-    per-bucket carries and shuffled to be summed per session, never the events.
+    ``sums`` / ``sets`` add, per session, the sum of an event expression or the
+    distinct values of one. Events are read and sorted once: inside the
+    ``(user, bucket)`` partitioning they are reduced to the pieces of sessions
+    within a bucket and those to one row per bucket (its pieces in an array, at
+    most one more than gaps fit into a bucket). Only bucket rows are shuffled by
+    user, where one window finds which bucket opens a session and carries the
+    latest start forward.
     """
-    inner, buckets = _bucketed(events, user, ts, tie, gap_seconds, bucket_seconds)
+    sums, sets = sums or {}, sets or {}
+    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, bucket_seconds)
+    key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     pieces = inner.groupBy(user, "_b", "_inner_last").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min_ts"), F.max(ts).alias("_max_ts"),
-        F.min("_us").alias("_min_us"), F.max("_us").alias("_max_us"))
-    keyed = pieces.join(buckets, [user, "_b"], "left").withColumn(
-        "_start", F.coalesce("_inner_last", "_first_start", "_carry"))
-    return (keyed.groupBy(user, "_start")
-            .agg(F.min("_min_ts").alias("session_start"), F.max("_max_ts").alias("session_end"),
-                 F.sum("_n").alias("n_events"), (F.max("_max_us") - F.min("_min_us")).alias("duration_us"))
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"), F.min(key).alias("first"),
+        F.max("_us").alias("max_us"), *[F.sum(e).alias(k) for k, e in sums.items()],
+        *[F.collect_set(e).alias(k) for k, e in sets.items()])
+    own = ["n", "min_ts", "max_ts", "max_us", *sums, *sets]
+    buckets = pieces.groupBy(user, "_b").agg(
+        F.min("first").alias("_first"), F.max("max_us").alias("_last_us"), F.max("_inner_last").alias("_inner_max"),
+        F.collect_list(F.struct("_inner_last", F.col("first.us").alias("min_us"), *own)).alias("_pieces"))
+    carry_w = Window.partitionBy(user).orderBy("_b")
+    prev_last = F.lag("_last_us").over(carry_w)
+    opens = prev_last.isNull() | (F.col("_first.us") - prev_last > F.lit(gap_us))
+    opened = (buckets.withColumn("_first_start", F.when(opens, F.col("_first")))
+              .withColumn("_latest", F.coalesce("_inner_max", "_first_start")))
+    carried = opened.withColumn("_carry", F.max("_latest").over(carry_w.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = carried.select(user, "_first_start", "_carry", F.explode("_pieces").alias("p")).select(
+        user, F.coalesce("p._inner_last", "_first_start", "_carry").alias("_start"), "p.min_us",
+        *[F.col(f"p.{c}").alias(c) for c in own])
+    return (rows.groupBy(user, "_start")
+            .agg(F.min("min_ts").alias("session_start"), F.max("max_ts").alias("session_end"),
+                 F.sum("n").alias("n_events"), (F.max("max_us") - F.min("min_us")).alias("duration_us"),
+                 *[F.sum(k).alias(k) for k in sums],
+                 *[F.array_distinct(F.flatten(F.collect_list(k))).alias(k) for k in sets])
             .drop("_start"))
 
 
@@ -108,27 +135,24 @@ def behavior_from_events(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECON
     bounce_rate (share of one-event sessions), cart_abandonment_rate
     (1 - purchases / (purchases + views)), email_open_rate (click share),
     social_media_engagement (signups), support_tickets (errors),
-    product_categories_visited (distinct event types).
+    product_categories_visited (distinct event types). The event counts ride on
+    the sessions, so the events are scanned once.
     """
-    s = sessions(events, gap_seconds=gap_seconds)
-    per_user_sessions = s.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_sessions"),
+    et = F.col("event_type")
+    kinds = {"_purchases": "purchase", "_views": "view", "_clicks": "click", "_signups": "signup", "_errors": "error"}
+    s = sessions(events, gap_seconds=gap_seconds,
+                 sums={k: F.when(et == v, 1).otherwise(0) for k, v in kinds.items()}, sets={"_types": et})
+    out = s.groupBy("user_id").agg(
+        F.sum("n_events").alias("n_events"), F.count(F.lit(1)).alias("n_sessions"),
         (F.avg("duration_us") / F.lit(60e6)).alias("avg_session_duration"),
         F.avg(F.col("n_events").cast("double")).alias("pages_per_session"),
-        (F.count_if(F.col("n_events") == 1) / F.count(F.lit(1))).alias("bounce_rate"))
-    et = F.col("event_type")
-    per_user_events = events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(et == "purchase").alias("_purchases"),
-        F.count_if(et == "view").alias("_views"),
-        (F.count_if(et == "click") / F.count(F.lit(1))).alias("email_open_rate"),
-        F.count_if(et == "signup").alias("social_media_engagement"),
-        F.count_if(et == "error").alias("support_tickets"),
-        F.count_distinct(et).alias("product_categories_visited"))
-    out = per_user_events.join(per_user_sessions, "user_id")
+        (F.count_if(F.col("n_events") == 1) / F.count(F.lit(1))).alias("bounce_rate"),
+        *[F.sum(k).alias(k) for k in kinds], F.array_distinct(F.flatten(F.collect_list("_types"))).alias("_types"))
     cart = F.lit(1.0) - F.try_divide(F.col("_purchases").cast("double"),
                                      (F.col("_purchases") + F.col("_views")).cast("double"))
     return out.select(
         F.col("user_id").alias("customer_id"), "n_events", "n_sessions", "avg_session_duration",
-        "pages_per_session", "bounce_rate", cart.alias("cart_abandonment_rate"), "email_open_rate",
-        "social_media_engagement", "support_tickets", "product_categories_visited")
+        "pages_per_session", "bounce_rate", cart.alias("cart_abandonment_rate"),
+        (F.col("_clicks") / F.col("n_events")).alias("email_open_rate"),
+        F.col("_signups").alias("social_media_engagement"), F.col("_errors").alias("support_tickets"),
+        F.size("_types").cast("long").alias("product_categories_visited"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import DAYPART_LABELS, day_part, round_half_up, try_ratio
 from tessera.operators.stats import histogram
+from tessera.session import materialize
 
 
 def hourly_rollup(log: DataFrame) -> DataFrame:
@@ -16,9 +17,15 @@ def hourly_rollup(log: DataFrame) -> DataFrame:
     per_hour = log.groupBy(hour.alias("hour_ts")).agg(
         F.count(F.lit(1)).alias("_count"), F.sum("prediction").alias("_pos"),
         F.avg("confidence").alias("avg_confidence"), F.avg("processing_time").alias("processing_time"))
-    # The grid holds one row per hour of the covered time span, not per event.
-    grid = (log.agg(F.min(hour).alias("_lo"), F.max(hour).alias("_hi"))
-            .select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")))
+    # One row per day of the covered span first, dealt out, then the hours of each day: no array or
+    # task holds the whole grid. The log is scanned once; the span comes from the hours that occur.
+    per_hour = materialize(per_hour)
+    span = per_hour.agg(F.min("hour_ts").alias("_lo"), F.max("hour_ts").alias("_hi"))
+    days = span.select("_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"), F.expr("INTERVAL 1 DAY"))).alias("_day"))
+    hours = F.sequence(F.col("_day").cast("timestamp_ntz"), F.col("_day").cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS"),
+                       F.expr("INTERVAL 1 HOUR"))
+    grid = (days.repartition("_day").select("_lo", "_hi", F.explode(hours).alias("hour_ts"))
+            .where(F.col("hour_ts").between(F.col("_lo"), F.col("_hi"))).select("hour_ts"))
     out = grid.join(per_hour, "hour_ts", "left")
     cnt = F.coalesce(F.col("_count"), F.lit(0)).cast("long")
     pos = F.coalesce(F.col("_pos"), F.lit(0)).cast("long")
