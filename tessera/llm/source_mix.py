@@ -192,7 +192,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     blocks = written(ordered_blocks(sized, targets), "mix_blocks")
     quotas = written(blocks.groupBy("source_no").agg(F.count(F.lit(1)).alias("n")), "mix_quotas")
     shares, _ = shard_quotas(quotas, targets.count(), shard_blocks)
-    places = shares.select("source_no", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("place"))
+    # one row for each block of the mix: as many as blocks, whatever the size of the quotas they come from
+    places = shares.select("source_no", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("place")).hint("merge")
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id", "text_key", "copy", "pass"), "doc_id", "pass")
     draws = (blocks.join(places, ["source_no", "place"]).withColumn("position", F.row_number().over(local) - 1)
              .select("doc_id", "text_key", "copy", "pass", "words", "shard", "position"))
