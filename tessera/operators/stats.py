@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 # --- standard scaling (population std; zero std -> divisor 1) ----------------
 def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -38,41 +39,40 @@ def standard_scale(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataF
 
 
 # --- label encoding: code = rank of the value among sorted distinct values ---
-def fit_label_encoder(df: DataFrame, col: str) -> StringIndexerModel:
-    """Alphabetical codes from 0 (``StringIndexer``, alphabetAsc).
+def fit_label_encoder(df: DataFrame, col: str) -> DataFrame:
+    """(value, code): alphabetical codes from 0 of the distinct non-NULL values.
 
-    The fitted labels live in the model like any categorical vocabulary; the
-    transform is a JVM-side lookup, no join.
+    The values are dealt out by range, numbered inside their range, and each
+    range starts where the one before ends; the vocabulary stays a table.
     """
-    return StringIndexer(inputCol=col, outputCol=f"{col}_encoded", stringOrderType="alphabetAsc",
-                         handleInvalid="keep").fit(df)
+    values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
+    ranged = materialize(values.repartitionByRange("value").withColumn("_part", F.spark_partition_id()))
+    # one row per range
+    starts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("value")) - 1
+    return ranged.withColumn("_in", inside).join(starts, "_part").select(
+        "value", (F.col("_start") + F.col("_in")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, col: str, out_col: str | None = None,
-                 model: StringIndexerModel | None = None) -> tuple[DataFrame, StringIndexerModel]:
-    model = model or fit_label_encoder(df, col)
-    out_col = out_col or f"{col}_encoded"
-    tmp = f"__{col}_code"
-    m = model.copy().setOutputCol(tmp)
-    out = m.transform(df).withColumn(out_col, F.col(tmp).cast("int")).drop(tmp)
-    return out, model
-
-
-def label_encode_many(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, StringIndexerModel]:
-    """Several label encodings fitted in one pass (``StringIndexer`` with
-    ``inputCols``); ``cols`` maps an input column to its output column."""
-    ins = list(cols)
-    tmp = [f"__{c}_code" for c in ins]
-    model = StringIndexer(inputCols=ins, outputCols=tmp, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    out = model.transform(df)
-    for c, t in zip(ins, tmp):
-        out = out.withColumn(cols[c], F.col(t).cast("int")).drop(t)
-    return out, model
-
-
-def label_mapping(model: StringIndexerModel, col: str) -> list[tuple[str, int]]:
-    return [(v, i) for i, v in enumerate(model.labels)]
+                 codes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Add the code of ``col``. NULL gets the code after the last (as if it sorted last); a value
+    that the given ``codes`` don't hold gets NULL."""
+    codes = materialize(fit_label_encoder(df, col)) if codes is None else codes
+    null_code = codes.agg(F.count(F.lit(1)).cast("int").alias("_null_code"))
+    table = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    out = (df.join(table, F.col(col) == F.col("_value"), "left").crossJoin(F.broadcast(null_code))
+           .withColumn(out_col or f"{col}_encoded", F.when(F.col(col).isNull(), F.col("_null_code")).otherwise(F.col("_code"))))
+    return out.drop("_value", "_code", "_null_code"), codes
+
+
+def label_encode_many(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Several label encodings; ``cols`` maps an input column to its output column."""
+    codes = {}
+    for c, out_col in cols.items():
+        df, codes[c] = label_encode(df, c, out_col)
+    return df, codes
 
 
 # --- one-hot over a fixed level list ----------------------------------------
