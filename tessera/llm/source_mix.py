@@ -211,12 +211,15 @@ def taken_words(docs: DataFrame, **columns) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a document taken twice gives two rows, a trimmed one its first words."""
-    _, draws = mix(docs, id_col, text_col, source_col)
-    same = W.partitionBy("__id", "__text_key", "__source").orderBy("__size")
-    keyed = docs.select("*", F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__text_key"), F.col(source_col).cast("string").alias("__source"), word_count(F.col(text_col).cast("string")).alias("__size"))
-    keyed = keyed.withColumn("__copy", F.row_number().over(same)).drop("__source")
+    rows, draws = mix(docs, id_col, text_col, source_col)
+    keyed = docs.select("*", F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__text_key"))
+    if rows.where("copy > 1").isEmpty():
+        keyed = keyed.withColumn("__copy", F.lit(1))
+    else:  # rows that agree in id, text and source are numbered; only such tables pay for the sort of the texts
+        same = W.partitionBy("__id", "__text_key", source_col).orderBy("__text_key")
+        keyed = keyed.withColumn("__copy", F.row_number().over(same))
     drawn = draws.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("copy").alias("__c"), F.col("words").alias("__words"))
     both = keyed.join(drawn, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__text_key") == F.col("__t")) & (F.col("__copy") == F.col("__c")))
     words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    text = F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(words, 1, F.col("__words").cast("int")), " ")).otherwise(F.col(text_col))
+    text = F.when(F.col("__words") < word_count(F.col(text_col)), F.array_join(F.slice(words, 1, F.col("__words").cast("int")), " ")).otherwise(F.col(text_col))
     return both.withColumn(text_col, text).select(*docs.columns)
