@@ -6,10 +6,13 @@ Current metrics are computed from real tables as one row, turned into a long
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import alert_id, fmt_percent, round_half_up
+from tessera.session import scratch_path
 
 # FIXED VALUES: (rule_no, type, metric, operator, threshold, severity, title)
 ALERT_RULES = [
@@ -105,6 +108,43 @@ def alert_descriptions(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("description", desc)
 
 
+# FIXED VALUES: recommended actions and impact by alert type; the confidence of rule 2.
+CONFIDENCE_LOW = 0.75
+ALERT_ACTIONS = {
+    "churn_risk": ["Launch retention campaign immediately", "Offer personalized discounts to high-risk customers",
+                   "Contact high-value customers personally"],
+    "model_confidence": ["Review recent training data quality", "Consider model retraining",
+                         "Implement ensemble methods"],
+    "performance_decline": ["Investigate data drift", "Schedule immediate model retraining",
+                            "Review feature engineering pipeline"],
+    "volume_spike": ["Monitor system performance", "Check for data quality issues",
+                     "Verify business events causing spike"],
+    "business_opportunity": ["Launch targeted cross_sell campaign", "Personalize offers based on customer segments",
+                             "Track campaign performance"],
+}
+ALERT_IMPACTS = {"model_confidence": "Reduced prediction reliability",
+                 "performance_decline": "Potential for incorrect business decisions",
+                 "volume_spike": "May require scaling"}
+
+
+def alert_actions(alerts: DataFrame) -> DataFrame:
+    """One row per alert and recommended action, in order."""
+    table = F.create_map(*[x for k, v in ALERT_ACTIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return alerts.select("alert_id", "type", F.posexplode(table[F.col("type")]).alias("action_no", "action"))
+
+
+def alert_measures(alerts: DataFrame, log: DataFrame) -> DataFrame:
+    """Impact text, predictions below the confidence threshold, performance drop and volume increase of each alert."""
+    t, v = F.col("type"), F.col("metric_value")
+    low = log.agg(F.count_if(F.col("confidence") < CONFIDENCE_LOW).alias("_low"))
+    impact = F.coalesce(*[F.when(t == k, F.lit(x)) for k, x in ALERT_IMPACTS.items()])
+    return alerts.crossJoin(F.broadcast(low)).select(
+        "alert_id", "type", impact.alias("impact"),
+        F.when(t == "model_confidence", F.col("_low")).alias("affected_predictions"),
+        F.when(t == "performance_decline", fmt_percent(F.abs(v))).alias("performance_drop"),
+        F.when(t == "volume_spike", fmt_percent(v - 1, 0)).alias("volume_increase"))
+
+
 def alert_summary(alerts: DataFrame) -> DataFrame:
     return alerts.agg(
         F.count(F.lit(1)).alias("total_alerts"),
@@ -127,3 +167,15 @@ def append_history(history: DataFrame | None, new: DataFrame) -> DataFrame:
     """Append new alerts (or prediction records) to a history; columns missing on
     either side become NULL."""
     return new if history is None else history.unionByName(new, allowMissingColumns=True)
+
+
+def save_table(report: DataFrame, name: str) -> str:
+    """Write a report, dashboard or alert table below the shared folder; returns its path."""
+    path = scratch_path(report.sparkSession, "reports", f"{name}-{uuid.uuid4().hex[:8]}")
+    report.write.parquet(path)
+    return path
+
+
+def lookup(spark: SparkSession, path: str, key: str, value) -> DataFrame:
+    """Rows of a saved table with a key (the filter reaches the scan)."""
+    return spark.read.parquet(path).where(F.col(key) == F.lit(value))

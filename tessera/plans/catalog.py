@@ -546,6 +546,33 @@ def q_alert_texts(c: Ctx):
     return alerts.alert_descriptions(_alerts(c)).select("alert_id", "type", "description")
 
 
+@_q
+def q_alert_actions(c: Ctx):
+    return alerts.alert_actions(_alerts(c))
+
+
+@_q
+def q_alert_measures(c: Ctx):
+    return alerts.alert_measures(_alerts(c), c.log())
+
+
+@_q
+def q_insight_texts(c: Ctx):
+    return insights.insight_texts(insights.top_insights(insights.segment_insights(c.segment_customers())))
+
+
+@_q
+def q_roi_drivers(c: Ctx):
+    return roi.roi_benefits(_cb(c)[1])
+
+
+@_q
+def q_report_lookup(c: Ctx):
+    """Save the alert table, then look the high alerts up by key in the saved table."""
+    return alerts.lookup(c.spark, alerts.save_table(_alerts(c), "business_alerts"), "alert_id", "ALERT_001").select(
+        "alert_id", "type", "severity", "metric_value")
+
+
 @_q
 def q_alerts_of_severity(c: Ctx):
     return alerts.filter_alerts(_alerts(c), "high").select("alert_id", "type", "severity")
@@ -561,6 +588,8 @@ QUERIES = {
     "clean_customers": q_clean_customers, "positive_balances": q_positive_balances, "parse_times": q_parse_times,
     "rejected_times": q_rejected_times, "fk_orphans_of_positive": q_fk_orphans_of_positive,
     "orphan_orders": q_orphan_orders, "clean_report_customers": q_clean_report_customers,
+    "alert_actions": q_alert_actions, "alert_measures": q_alert_measures, "insight_texts": q_insight_texts,
+    "roi_drivers": q_roi_drivers, "report_lookup": q_report_lookup,
     "alert_texts": q_alert_texts, "alerts_of_severity": q_alerts_of_severity,
     "run_log_tail": q_run_log_tail, "run_log_io": q_run_log_io,
     "drift_recommendations": q_drift_recommendations, "roi_recommendations": q_roi_recommendations,

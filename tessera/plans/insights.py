@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import SEGMENTS, round_half_up
+from tessera.functions.columns import SEGMENTS, fmt_currency, fmt_percent, round_half_up
 
 TOP_INSIGHT_RISK_FLOOR = 0.6  # fixed value: a segment is "high risk" above this mean churn risk
 
@@ -64,6 +64,25 @@ def top_insights(si: DataFrame) -> DataFrame:
                     F.col("r.pick.value").alias("value")))
 
 
+# FIXED VALUES: insight and action texts.
+INSIGHT_TEXTS = {
+    "revenue": ("segment generates highest revenue", "Focus retention efforts on this segment"),
+    "risk": ("segment has high churn risk", "Implement immediate retention campaigns"),
+    "opportunity": ("segment has low purchase frequency", "Target with engagement campaigns"),
+}
+
+
+def insight_texts(top: DataFrame) -> DataFrame:
+    """Presentation text of :func:`top_insights` rows: insight, value and action."""
+    kind, v = F.col("insight_type"), F.col("value")
+    text = lambda i: F.coalesce(*[F.when(kind == k, F.lit(t[i])) for k, t in INSIGHT_TEXTS.items()])
+    value = (F.when(kind == "revenue", F.concat(fmt_currency(v), F.lit(" average per customer")))
+             .when(kind == "risk", F.concat(fmt_percent(v), F.lit(" average churn probability")))
+             .otherwise(F.concat(F.format_number(v, 1), F.lit(" purchases on average"))))
+    return top.select("insight_type", F.concat("segment", F.lit(" "), text(0)).alias("insight"), value.alias("value"),
+                      text(1).alias("action"))
+
+
 def overall_metrics(sc: DataFrame) -> DataFrame:
     return sc.agg(
         F.count(F.lit(1)).alias("total_customers"),

@@ -680,6 +680,49 @@ SELECT alert_id, type, CASE type
   WHEN 'performance_decline' THEN printf('Model accuracy dropped by %.1f%% recently', abs(metric_value) * 100)
   WHEN 'volume_spike' THEN printf('Prediction volume is %.1fx normal levels', metric_value)
   ELSE 'Identified ' || opportunity_size || ' customers for cross_sell campaigns' END AS description FROM alerts""",
+    "alert_actions": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
+SELECT alert_id, type, CAST(a.n AS INTEGER) AS action_no, a.action FROM alerts JOIN (VALUES
+  ('churn_risk', 0, 'Launch retention campaign immediately'),
+  ('churn_risk', 1, 'Offer personalized discounts to high-risk customers'),
+  ('churn_risk', 2, 'Contact high-value customers personally'),
+  ('model_confidence', 0, 'Review recent training data quality'),
+  ('model_confidence', 1, 'Consider model retraining'), ('model_confidence', 2, 'Implement ensemble methods'),
+  ('performance_decline', 0, 'Investigate data drift'),
+  ('performance_decline', 1, 'Schedule immediate model retraining'),
+  ('performance_decline', 2, 'Review feature engineering pipeline'),
+  ('volume_spike', 0, 'Monitor system performance'), ('volume_spike', 1, 'Check for data quality issues'),
+  ('volume_spike', 2, 'Verify business events causing spike'),
+  ('business_opportunity', 0, 'Launch targeted cross_sell campaign'),
+  ('business_opportunity', 1, 'Personalize offers based on customer segments'),
+  ('business_opportunity', 2, 'Track campaign performance')) a(type, n, action) USING (type)""",
+    "alert_measures": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
+SELECT alert_id, type, CASE type WHEN 'model_confidence' THEN 'Reduced prediction reliability'
+         WHEN 'performance_decline' THEN 'Potential for incorrect business decisions'
+         WHEN 'volume_spike' THEN 'May require scaling' END AS impact,
+       CASE WHEN type = 'model_confidence' THEN (SELECT count_if(confidence < 0.75) FROM plog) END AS affected_predictions,
+       CASE WHEN type = 'performance_decline' THEN printf('%.1f%%', abs(metric_value) * 100) END AS performance_drop,
+       CASE WHEN type = 'volume_spike' THEN printf('%.0f%%', (metric_value - 1) * 100) END AS volume_increase
+FROM alerts""",
+    "insight_texts": _w(RFM, BEH, SEGCUST, SEG_INSIGHTS) + """
+SELECT * FROM (SELECT 'revenue' AS insight_type, segment || ' segment generates highest revenue' AS insight,
+         '€' || format('{:,}', CAST(trunc(avg_monetary) AS BIGINT)) || substr(printf('%.2f', avg_monetary - trunc(avg_monetary)), 2)
+           || ' average per customer' AS value, 'Focus retention efforts on this segment' AS action
+       FROM seg_ins ORDER BY avg_monetary DESC NULLS LAST, segment_order LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'risk', segment || ' segment has high churn risk',
+         printf('%.1f%%', churn_risk * 100) || ' average churn probability', 'Implement immediate retention campaigns'
+       FROM seg_ins WHERE churn_risk > 0.6 ORDER BY churn_risk DESC, segment_order LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'opportunity', segment || ' segment has low purchase frequency',
+         printf('%.1f', avg_frequency) || ' purchases on average', 'Target with engagement campaigns'
+       FROM seg_ins ORDER BY avg_frequency ASC NULLS LAST, segment_order LIMIT 1)""",
+    "roi_drivers": f"""
+SELECT category, {R('benefit', 2)} AS benefit,
+       'Category ' || category || ': €' || format('{{:,}}', CAST(round_even(benefit, 0) AS BIGINT)) AS driver
+FROM (SELECT l_linestatus AS category, count(*) * avg(l_extendedprice * (1.0 - l_discount)) AS benefit
+      FROM lineitem GROUP BY 1)""",
+    "report_lookup": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
+SELECT alert_id, type, severity, metric_value FROM alerts WHERE alert_id = 'ALERT_001'""",
     "alerts_of_severity": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + """
 SELECT alert_id, type, severity FROM alerts WHERE severity = 'high'""",
     "run_log_tail": """

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import roi_grade, roi_status, round_half_up
+from tessera.functions.columns import fmt_currency, roi_grade, roi_status, round_half_up
 
 # FIXED VALUES
 SCENARIOS = [("conservative", 0.7), ("realistic", 1.0), ("optimistic", 1.3)]
@@ -30,6 +30,13 @@ def roi_totals(costs: DataFrame, benefits: DataFrame) -> DataFrame:
     return c.crossJoin(b)
 
 
+def roi_benefits(benefits: DataFrame) -> DataFrame:
+    """Financial benefit of each category and its value-driver text."""
+    value = F.col("units") * F.col("unit_value")
+    return benefits.select("category", round_half_up(value, 2).alias("benefit"),
+                           F.concat(F.lit("Category "), F.col("category"), F.lit(": "), fmt_currency(value, 0)).alias("driver"))
+
+
 def _periods(period_days: int):
     return F.lit(period_days / 30.0)
 

@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 
 # Keyless windows allowed only over the one-row-per-day prediction aggregate
 # (first / last k days of the overall trend): bounded by the number of days.
-DAILY_TREND_QUERIES = {"performance_report", "performance_recommendations", "business_alerts", "alert_summary", "alert_texts", "alerts_of_severity"}
+DAILY_TREND_QUERIES = {"performance_report", "performance_recommendations", "business_alerts", "alert_summary", "alert_texts", "alerts_of_severity",
+                       "alert_actions", "alert_measures", "report_lookup"}
 
 
 def _nodes(df):
