@@ -20,8 +20,6 @@ from __future__ import annotations
 
 import base64
 import re
-import sys
-import types
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
@@ -33,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
+from tessera.llm.textops import worker_cache
 
 SEQUENCE = 1024
 END_ID = 2
@@ -86,12 +85,10 @@ class Encoder:
 
 def _encoder(ranks_path: str, pattern: str) -> Encoder:
     """One encoder per Python worker and vocabulary, kept between tasks."""
-    kept = sys.modules.setdefault("_tessera_worker_encoders", types.ModuleType("_tessera_worker_encoders"))
-    if not hasattr(kept, "by_path"):
-        kept.by_path = {}
-    if ranks_path not in kept.by_path:
-        kept.by_path[ranks_path] = Encoder(ranks_path, pattern)
-    return kept.by_path[ranks_path]
+    kept = worker_cache("encoders")
+    if (ranks_path, pattern) not in kept:
+        kept[ranks_path, pattern] = Encoder(ranks_path, pattern)
+    return kept[ranks_path, pattern]
 
 
 def cut(n: int, size: int = SEQUENCE) -> list[tuple[int, int]]:

@@ -11,6 +11,8 @@ character).  A null text counts as an empty one.
 """
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,21 +42,31 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BYTE_MULT))
 
 
-_POWERS: dict[tuple[int, int], np.ndarray] = {}
+def worker_cache(name: str) -> dict:
+    """A dictionary that a Python worker keeps between tasks.
+
+    Functions travel by value, so a module-level dictionary would be new in
+    every task, and the old ones would wait for the garbage collector.
+    """
+    kept = sys.modules.setdefault("_tessera_worker_cache", types.ModuleType("_tessera_worker_cache"))
+    return kept.__dict__.setdefault(name, {})
 
 
 def _powers(mult: int, n: int) -> np.ndarray:
-    if (mult, n) not in _POWERS:
-        if n > 1 << 23:
-            _POWERS.clear()  # a very long text: don't hold on to several of its size
-        out = np.full(n, mult, np.uint64)
-        out[0] = 1
-        _POWERS[mult, n] = np.multiply.accumulate(out)
-    return _POWERS[mult, n]
+    """The first ``n`` powers; the longest run asked for so far is kept, up to that of an ordinary slice."""
+    kept = worker_cache("powers")
+    if mult in kept and len(kept[mult]) >= n:
+        return kept[mult][:n]
+    out = np.full(n, mult, np.uint64)
+    out[0] = 1
+    out = np.multiply.accumulate(out)
+    if n <= 4 * SLICE_BYTES:
+        kept[mult] = out
+    return out
 
 
 def _power_pair(mult: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
+    size = max(n, SLICE_BYTES + 1)
     return _powers(mult, size)[:n], _powers(pow(mult, -1, 1 << 64), size)[:n]
 
 
