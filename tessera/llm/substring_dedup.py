@@ -128,7 +128,7 @@ def _emit_words(batches):
             flat_words = words[np.repeat(lo - (ends - size), size) + np.arange(int(size.sum()))]
             binary = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends * 8).astype(np.int32).tobytes()), pa.py_buffer(flat_words.tobytes())])
             ids = s.ids.cast(pa.int64()).to_numpy()[doc[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(start[ok]), pa.array(n[ok]), pa.array(anchor[ok]), pa.array(content[ok]), binary], names=["doc_id", "start", "n", "anchor", "content", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(start[ok]), pa.array(n[ok]), pa.array(anchor[ok]), pa.array(content[ok]), binary, flat.field("hot").filter(pa.array(ok))], names=["doc_id", "start", "n", "anchor", "content", "words", "hot"])
 
 
 class Automaton:
@@ -242,16 +242,17 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     ``texts``: doc_id (never null) and text.
     """
-    anchors = texts.mapInArrow(_emit_anchors, "anchor long").groupBy("anchor").count().where("count > 1").select("anchor")
+    # written, so that the join below is a plain one, of which Spark splits the hot keys
+    anchors = written(texts.mapInArrow(_emit_anchors, "anchor long").groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     held = written(texts.mapInArrow(_emit_segments, "doc_id long, start int, n int, anchor long, content long").join(anchors, "anchor"), "segments")
     contents = written(held.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")).select("anchor", "content", "f.*"), "contents")
     many = contents.groupBy("anchor").count().where(F.col("count") > HOT_CONTENTS).select("anchor", F.lit(True).alias("hot"))
-    wanted = contents.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor", "content")).alias("wanted"))
+    tagged = contents.join(many, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = tagged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor", "content", "hot")).alias("wanted"))
     worded = written(texts.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-                     .mapInArrow(_emit_words, "doc_id long, start int, n int, anchor long, content long, words binary")
-                     .join(many, "anchor", "left").select("doc_id", "start", "n", "anchor", "content", "words", F.coalesce("hot", F.lit(False)).alias("hot")), "contents_words")
+                     .mapInArrow(_emit_words, "doc_id long, start int, n int, anchor long, content long, words binary, hot boolean"), "contents_words")
     shards = max(1, -(-contents.count() // SHARD_CONTENTS))
-    by_automaton = (worded.where("NOT hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    by_automaton = (worded.where("NOT hot").drop("hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
                     .groupBy("shard").applyInPandas(_first_places, "anchor long, content long, f_doc array<long>, f_start array<int>"))
     windows = worded.where("hot").drop("hot").mapInArrow(_emit_windows, "anchor long, content long, j int, window long, doc_id long, start int")
     first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "start")).alias("first"))
