@@ -193,7 +193,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), F.xxhash64(docs[text_col].cast("string")).alias("text_key"))
     bands, rows = choose_bands(threshold, recall)
     signed = written(_with_key(texts, _signer(bands, rows, n)), "signatures")
-    classes = written(signed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("class_doc"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
+    classes = written(signed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("class_doc"), F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
     band = classes.select("class", F.explode("bands").alias("bucket"))
     buckets = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("center")).where("n > 1").select("bucket", "center")
     edges = band.join(buckets, "bucket").select(F.col("class").alias("a"), F.col("center").alias("b")).where("a <> b").distinct()
@@ -220,9 +220,10 @@ def _with_key(texts: DataFrame, sign) -> DataFrame:
 
 def _links(texts: DataFrame, classes: DataFrame, clusters: DataFrame, n: int, threshold: float) -> DataFrame:
     """(class, n_texts, n_docs, root) of every block pair's links."""
-    of_doc = clusters.join(classes, "class").select(F.coalesce("class_doc", F.lit(NULL_ID)).alias("d"), "class")
-    keyed = texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "text")
-    sets = written(keyed.join(of_doc, "d").select("d", "text", "class").mapInArrow(_sets(n), "class long, grams binary"), "ngram_sets").dropDuplicates(["class"])
+    # one document of each class, by id and text (ids may be null or repeated)
+    of_doc = clusters.join(classes, "class").select(F.coalesce("first.doc_id", F.lit(NULL_ID)).alias("d"), F.col("first.text_key").alias("text_key"), "class")
+    keyed = texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "text_key", "text")
+    sets = written(keyed.join(of_doc, ["d", "text_key"]).select("d", "text", "class").mapInArrow(_sets(n), "class long, grams binary"), "ngram_sets").dropDuplicates(["class"])
     size = clusters.groupBy("component").count().select("component", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     tasks = max(1, -(-clusters.count() // (2 * BLOCK)))
     member = clusters.join(size, "component").select("class", F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
