@@ -1,11 +1,12 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Two multinomials over hashed n-grams of ``GRAM`` bytes are counted: one over a
-bounded sample of trusted documents, one over every document.  A document's
-score is the mean of log(p_trusted / p_raw) over its n-grams, each ratio drawn
-towards 1 by ``SHRINK`` counts so that rare n-grams say little; one threshold
-(trusted mean minus ``Z`` trusted deviations) is applied to every document.
-Fixed rules on length and repetition come first.
+Two multinomials over hashed n-grams of ``GRAM`` bytes are counted: one over
+every trusted document, one over every document.  A document's score is the
+mean of log(p_trusted / p_raw) over its n-grams, each ratio drawn towards 1 by
+``SHRINK`` counts so that rare n-grams say little; one threshold is applied to
+every document: trusted mean minus ``Z`` trusted deviations, over every trusted
+document, each scored by ratios that were fitted without its own fold (one of
+``FOLDS``, by hash of the id).  Fixed rules on length and repetition come first.
 
 Cases: a null text has no words and fails the length rule; without trusted
 documents the ratio is 0 everywhere and only the fixed rules decide; repeated
@@ -15,17 +16,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
-from tessera.llm.textops import IS_SPACE, cover, keyed_slices, mix64, repeats, text_slices
+from tessera.llm.textops import IS_SPACE, cover, keyed_slices, mix64, repeats
 
 GRAM = 4                 # bytes of an n-gram: short enough that a document has many that the corpus knows well
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS  # hashed n-grams: the weights that are broadcast take 4 bytes each
-TRUSTED_SAMPLE = 10_000  # documents the trusted multinomial is fitted on, at most
+FOLDS = 4               # of the trusted documents: the threshold is a statistic of scores fitted on the other folds
 SHRINK = 10.0            # n-grams' worth of belief that a bucket is as common among the trusted as in the corpus
 Z = 4.0                 # deviations below the trusted mean that are still kept
 MIN_WORDS = 50
@@ -49,22 +49,25 @@ def _ngrams(s) -> tuple[np.ndarray, np.ndarray]:
     return doc[:n][inside], bucket.astype(np.int32)
 
 
-def _counter(trusted: list[int]):
-    def count(batches):
-        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        wanted = pa.array(trusted, pa.int64())
-        for s in text_slices(batches):
-            doc, bucket = _ngrams(s)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            is_good = pc.is_in(s.ids, wanted, skip_nulls=True).to_numpy(zero_copy_only=False)
-            good += np.bincount(bucket[is_good[doc]], minlength=BUCKETS)
-        seen = np.flatnonzero(raw)
-        if len(seen):
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(good[seen])], names=["bucket", "raw", "trusted"])
-    return count
+def _fold(ids: pa.Array) -> np.ndarray:
+    return (mix64(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
+
+
+def _count(batches):
+    raw, good = np.zeros(BUCKETS, np.int64), np.zeros((FOLDS, BUCKETS), np.int64)
+    for is_good, s in ((key, s) for batch in batches for key, s in keyed_slices(batch)):
+        doc, bucket = _ngrams(s)
+        raw += np.bincount(bucket, minlength=BUCKETS)
+        fold = np.where(is_good.to_numpy(zero_copy_only=False), _fold(s.ids), -1)[doc]
+        for k in range(FOLDS):
+            good[k] += np.bincount(bucket[fold == k], minlength=BUCKETS)
+    seen = np.flatnonzero(raw)
+    if len(seen):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, raw[seen], *good[:, seen])], names=["bucket", "raw", *_GOOD])
 
 
-SCHEMA = "doc_id long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, trusted boolean, score double"
+_GOOD = [f"good{k}" for k in range(FOLDS)]
+SCHEMA = "doc_id long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, held_score double, score double"
 
 
 def rule_counts(s) -> dict[str, np.ndarray]:
@@ -80,48 +83,47 @@ def rule_counts(s) -> dict[str, np.ndarray]:
     return {"n_words": s.n_words, "word_chars": chars, "n_symbols": s.per_doc_sum(_SYMBOL[s.data]), "n_dup_lines": np.bincount(doc[again], minlength=s.n_docs), "n_repeat_words": np.bincount(s.word_doc[in_repeat], minlength=s.n_docs)}
 
 
-def _scorer(weights: np.ndarray, trusted: list[int]):
+def _scorer(weights: np.ndarray, held: np.ndarray):
     def score(batches):
-        wanted = pa.array(trusted, pa.int64())
         for key, s in ((key, s) for batch in batches for key, s in keyed_slices(batch)):
             s.split_words()
             c = rule_counts(s)
             doc, bucket = _ngrams(s)
-            total = np.bincount(doc, weights[bucket], minlength=s.n_docs)
-            mean = np.round(total / np.maximum(np.bincount(doc, minlength=s.n_docs), 1), 6)
+            grams = np.maximum(np.bincount(doc, minlength=s.n_docs), 1)
+            mean = [np.round(np.bincount(doc, w, minlength=s.n_docs) / grams, 6) for w in (held[_fold(s.ids)[doc], bucket], weights[bucket])]
             failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-            is_good = pc.is_in(s.ids, wanted, skip_nulls=True)
-            yield pa.RecordBatch.from_arrays([s.ids, key, *(pa.array(c[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(failed), is_good, pa.array(mean)], names=["doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "trusted", "score"])
+            yield pa.RecordBatch.from_arrays([s.ids, key, *(pa.array(c[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(failed), *map(pa.array, mean)], names=["doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "held_score", "score"])
     return score
 
 
-def trusted_sample(labels: DataFrame, limit: int = TRUSTED_SAMPLE) -> list[int]:
-    """Ids of at most ``limit`` labelled documents of good quality that aren't toxic, by hash order."""
-    good = labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return [r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()]
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the labelled documents of good quality that aren't toxic."""
+    return labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def log_ratios(docs: DataFrame, trusted: list[int]) -> np.ndarray:
-    """Weight of each bucket; the raw counts are taken over every document."""
-    counts = docs.mapInArrow(_counter(trusted), "bucket long, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+def log_ratios(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of each bucket from all trusted documents, and, by fold, from those of the other folds; the raw counts are taken over every document."""
+    marked = docs.select("doc_id", "text").join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left").select("doc_id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    counts = marked.mapInArrow(_count, ", ".join(f"{c} long" for c in ("bucket", "raw", *_GOOD))).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", *_GOOD)))
     t = counts.toArrow()  # at most BUCKETS rows
-    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    at = t["bucket"].to_numpy()
-    raw[at], good[at] = t["raw"].to_numpy(), t["trusted"].to_numpy()
-    out = np.zeros(BUCKETS)
-    if good.sum():
-        expected = raw[at] * (good.sum() / raw.sum())
-        out[at] = np.log((good[at] + SHRINK) / (expected + SHRINK))
-    return out.astype(np.float32)
+    at, raw, folds = t["bucket"].to_numpy(), t["raw"].to_numpy(), np.array([t[c].to_numpy() for c in _GOOD])
+
+    def weights(good: np.ndarray) -> np.ndarray:
+        out = np.zeros(BUCKETS)
+        if good.sum():
+            expected = raw * (good.sum() / raw.sum())
+            out[at] = np.log((good + SHRINK) / (expected + SHRINK))
+        return out.astype(np.float32)
+
+    return weights(folds.sum(0)), np.array([weights(folds.sum(0) - mine) for mine in folds])
 
 
 def _judged(texts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(written score table, its one-row threshold) of (doc_id, text, text_key)."""
-    trusted = trusted_sample(labels)
-    weights = log_ratios(texts, trusted)
-    scored = written(texts.mapInArrow(_scorer(weights, trusted), SCHEMA), "quality_rules")
-    of_trusted = F.when(F.col("trusted") & ~F.col("base_failed"), F.col("score"))
-    return scored, scored.agg(F.round(F.avg(of_trusted) - Z * F.stddev_pop(of_trusted), 6).alias("threshold"))
+    trusted = trusted_ids(labels)
+    scored = written(texts.mapInArrow(_scorer(*log_ratios(texts, trusted)), SCHEMA), "quality_rules")
+    of_trusted = scored.where("NOT base_failed").select("doc_id", "held_score").join(trusted, "doc_id", "left_semi")
+    return scored, of_trusted.agg(F.round(F.avg("held_score") - Z * F.stddev_pop("held_score"), 6).alias("threshold"))
 
 
 def _kept() -> Column:
@@ -131,8 +133,9 @@ def _kept() -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the rule counts, the score and ``kept``.
 
-    Two scans of the texts, no shuffle of them; the score table (numbers only)
-    is written once because the threshold is a statistic of it.
+    Two scans of the texts, which the first deals out once by id to meet the
+    labels; the score table (numbers only) is written once because the
+    threshold is a statistic of it.
     """
     scored, limit = _judged(_texts(docs, id_col, text_col), labels)
     return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", _kept().alias("kept"), "score", "threshold")

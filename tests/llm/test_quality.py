@@ -81,3 +81,29 @@ def test_models_without_both_classes():
     assert qc.fit(none, none, ratios, np.ones(3)).constant > 0
     assert qc.fit(none, none, ratios, np.zeros(3)).constant < 0
     assert qc.fit(none, none, ratios[:0], np.zeros(0)).constant == 0
+
+
+def test_every_trusted_document_counts(spark):
+    """All labels take part in the ratios, and the threshold is that of scores fitted without a document's own fold."""
+    import numpy as np
+
+    from tessera.llm.textops import mix64
+    docs, labels = sample(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    grown = labels.union(spark.range(20_000_000, 20_012_000).selectExpr(*(f"{'id' if c == 'doc_id' else 1 - (c == 'toxic')} AS {c}" for c in labels.columns)))
+    good = sorted({r.doc_id for r in labels.where("quality = 1 AND toxic = 0").collect()} & set(texts))
+    fold = dict(zip(good, (mix64(np.array(good, np.uint64)) % np.uint64(qr.FOLDS)).tolist(), strict=True))
+    grams = {}
+    for i, t in texts.items():
+        raw = re.sub(rb"[\x09-\x0d]", b" ", t.encode())
+        grams[i] = np.array([(int.from_bytes(raw[k:k + 4], "big") * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - qr.BUCKET_BITS for k in range(len(raw) - 3)], np.int64)
+    count = lambda ids: np.bincount(np.concatenate([grams[i] for i in ids]), minlength=qr.BUCKETS)
+    every = count(texts)
+    held = []
+    for k in range(qr.FOLDS):
+        mine = count([i for i in good if fold[i] != k])
+        ratio = np.log((mine + qr.SHRINK) / (every * (mine.sum() / every.sum()) + qr.SHRINK))
+        held += [ratio[grams[i]].mean() for i in good if fold[i] == k and not plain(texts[i])[-1]]
+    for given in (labels, grown):
+        limit = qr.judge(docs, given).first().threshold
+        assert abs(limit - (np.mean(held) - qr.Z * np.std(held))) < 1e-4
