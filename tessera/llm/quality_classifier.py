@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.quality_rules import rule_counts
 from tessera.llm.tables import written
-from tessera.llm.textops import Slice, mix64, text_slices
+from tessera.llm.textops import Slice, keyed_slices, mix64, text_slices
 
 SAMPLE = 6_000        # labelled documents the models are fitted on, at most
 BUCKETS = 1 << 22     # hashed words; a model keeps only those it uses
@@ -63,11 +63,11 @@ def _collector(ids: list[int]):
         wanted = pa.array(ids, pa.int64())
         for batch in batches:
             mine = batch.filter(pc.is_in(batch.column(0), wanted, skip_nulls=True))
-            for s in text_slices([mine]):
+            for key, s in keyed_slices(mine):
                 s.split_words()
                 doc, bucket = _present(s)
                 bound = np.searchsorted(doc, np.arange(s.n_docs + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([s.ids, pa.ListArray.from_arrays(pa.array(bound), pa.array(bucket.astype(np.int32))), pa.FixedSizeListArray.from_arrays(pa.array(_ratios(s).ravel()), N_RATIOS).cast(pa.list_(pa.float64()))], names=["doc_id", "buckets", "ratios"])
+                yield pa.RecordBatch.from_arrays([s.ids, key, pa.ListArray.from_arrays(pa.array(bound), pa.array(bucket.astype(np.int32))), pa.FixedSizeListArray.from_arrays(pa.array(_ratios(s).ravel()), N_RATIOS).cast(pa.list_(pa.float64()))], names=["doc_id", "text_key", "buckets", "ratios"])
     return collect
 
 
@@ -117,11 +117,15 @@ def fit(doc: np.ndarray, bucket: np.ndarray, ratios: np.ndarray, y: np.ndarray)
 
 
 def fit_models(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, Model]:
-    """(quality, toxic) models from at most ``sample`` labelled documents, by hash order of their ids."""
+    """(quality, toxic) models from at most ``sample`` labelled documents, by hash order of their ids.
+
+    Of rows that share an id, the one with the smallest text hash is fitted on.
+    """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").dropDuplicates(["doc_id"])
     rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     label = {r["doc_id"]: (r["quality"], r["toxic"]) for r in rows}
-    got = texts.mapInArrow(_collector(sorted(label)), "doc_id long, buckets array<int>, ratios array<double>").toArrow()  # the sample only
+    found = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(_collector(sorted(label)), "doc_id long, text_key long, buckets array<int>, ratios array<double>")
+    got = found.groupBy("doc_id").agg(F.min_by(F.struct("buckets", "ratios"), "text_key").alias("one")).select("doc_id", "one.*").toArrow()  # one row for each id of the sample
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
     got = got.take(pa.array(order)).combine_chunks()
     ids = got["doc_id"].to_pylist()

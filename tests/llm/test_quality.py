@@ -107,3 +107,12 @@ def test_every_trusted_document_counts(spark):
     for given in (labels, grown):
         limit = qr.judge(docs, given).first().threshold
         assert abs(limit - (np.mean(held) - qr.Z * np.std(held))) < 1e-4
+
+
+def test_repeated_rows_are_fitted_on_once(spark):
+    import numpy as np
+    docs, labels = sample(spark, SF).select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet")
+    one = labels.where("quality = 0").agg(F.min("doc_id")).first()[0]
+    again = docs.union(docs.where(F.col("doc_id") == one).crossJoin(spark.range(300)).select("doc_id", "text"))
+    for a, b in zip(qc.fit_models(docs, labels), qc.fit_models(again, labels), strict=True):
+        assert a.constant == b.constant and all(np.array_equal(getattr(a, k), getattr(b, k)) for k in ("buckets", "words", "ratios", "mean", "scale"))
