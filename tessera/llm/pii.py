@@ -40,24 +40,36 @@ LOOKALIKES |= {"﹫": "@", "․": ".", "。": ".", "﹒": ".", "‐": "-", "‑"
 INVISIBLE = "​‌‍⁠﻿­"
 # FIXED VALUES: words that are no name and no host in front of, or behind, the word at.
 PLAIN_WORDS = frozenset("a all an and any are her here him his home in is it its least me my night noon of on one or our she some that the their them there they this time us was we were what where you your".split())
+# FIXED VALUES: words for digits, the at sign and the dot in English, French, German and Spanish.
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+DIGIT_WORDS |= {"zéro": "0", "un": "1", "une": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9"}
+DIGIT_WORDS |= {"null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9"}
+DIGIT_WORDS |= {"cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9"}
+_SURE_AT_WORD = "arroba|arobase|arrobase|arobas|klammeraffe"  # these mean nothing else
+_AT_WORD = f"at|{_SURE_AT_WORD}"
+_PROSE_DOT = "punkt|point|punto"  # common words of their language, too
+_DOT_WORD = f"dot|{_PROSE_DOT}"
+# FIXED VALUES: top domains asked for where both "at" and a common dot word stand bare ("at which point we").
+TOP_DOMAINS = frozenset("com org net edu gov info biz eu de fr es ch ca lu uk us io co dev app mx ar cl".split())
 
 _STRANGE = re.compile("[" + "".join(map(re.escape, LOOKALIKES)) + INVISIBLE + "]")
 _DIGIT = "|".join(DIGIT_WORDS)
 #: At least three spelled digits in a row, "plus" in front and digits in between allowed.
-_SPELLED = re.compile(rf"(?i)\b(?:plus[ -]+)?(?:(?:double|triple)[ -]+)?(?:{_DIGIT})(?:(?:[ -]+(?:(?:double|triple)[ -]+)?(?:{_DIGIT}))|(?:[ -]+(?:dot|point)[ -]+(?:{_DIGIT}))|[ -]+[0-9]+){{2,}}\b")
-_SPELLED_PART = re.compile(rf"(?i)(?:(double|triple)[ -]+)?\b({_DIGIT})\b|\b(plus)[ -]+|[ -]+(dot|point)[ -]+")
-_BRACKETED = re.compile(r"(?i)[ \t]?[\[({<][ \t]?(?:(at|@)|(dot|\.|punkt|point|punto))[ \t]?[\])}>][ \t]?")
-_BARE = re.compile(r"(?i)(?<=[A-Za-z0-9])[ \t](?:(at)|(dot))[ \t](?=[A-Za-z0-9])")
-_BRACKET_MARK = re.compile(r"[\[({<][ \t]?(?:at|dot|punkt|point|punto|@|\.)[ \t]?[\])}>]")
-_AT_HOST = re.compile(r" at [a-z0-9-]+\.[a-z0-9]")
-_DIGIT_SET = frozenset(DIGIT_WORDS)
+_SPELLED = re.compile(rf"(?i)\b(?:plus[ -]+)?(?:(?:double|triple)[ -]+)?(?:{_DIGIT})(?:(?:[ -]+(?:(?:double|triple)[ -]+)?(?:{_DIGIT}))|(?:[ -]+(?:{_DOT_WORD})[ -]+(?:{_DIGIT}))|[ -]+[0-9]+){{2,}}\b")
+_SPELLED_PART = re.compile(rf"(?i)(?:(double|triple)[ -]+)?\b({_DIGIT})\b|\b(plus)[ -]+|[ -]+({_DOT_WORD})[ -]+")
+_BRACKETED = re.compile(rf"(?i)[ \t]?[\[({{<][ \t]?(?:({_AT_WORD}|@)|({_DOT_WORD}|\.))[ \t]?[\])}}>][ \t]?")
+_BARE = re.compile(rf"(?i)(?<=[A-Za-z0-9])[ \t](?:({_AT_WORD})|({_DOT_WORD}))[ \t](?=[A-Za-z0-9])")
+#: What the patterns above match, without what they may take at their ends; a bare at only in front of a host.
+_BRACKET_MARK = re.compile(rf"(?i)[\[({{<][ \t]?(?:{_AT_WORD}|@|{_DOT_WORD}|\.)[ \t]?[\])}}>]")
+_BARE_DOT = re.compile(rf"(?i)[ \t](?<=[A-Za-z0-9][ \t])(?:{_DOT_WORD})[ \t](?=[A-Za-z0-9])")
+_AT_HOST = re.compile(rf"(?i)[ \t](?<=[A-Za-z0-9][ \t])(?:{_AT_WORD})[ \t](?=[A-Za-z0-9])[A-Za-z0-9-]++\.[A-Za-z0-9-]")
+_SURE_AT = re.compile(rf"(?i)[ \t](?:{_SURE_AT_WORD})[ \t]")
+_BARE_PROSE_DOT = re.compile(rf"(?i)[ \t](?:{_PROSE_DOT})[ \t]")
 
 
 def _may_hide(t: str) -> bool:
     """Whether any transducer could rewrite a piece of an identifier (cheap; most texts end here)."""
-    low = t.lower()
-    return " dot " in low or bool(_BRACKET_MARK.search(low)) or bool(_AT_HOST.search(low)) or not _DIGIT_SET.isdisjoint(low.replace("-", " ").split()) or (not t.isascii() and bool(_STRANGE.search(t)))
+    return bool(_BARE_DOT.search(t) or _BRACKET_MARK.search(t) or _AT_HOST.search(t) or _SPELLED.search(t) or (not t.isascii() and _STRANGE.search(t)))
 
 
 class Mapped:
@@ -114,7 +126,7 @@ def bracketed_marks(m: Mapped) -> None:
 
 
 def bare_marks(m: Mapped) -> None:
-    """Transducer: the words at and dot between single blanks."""
+    """Transducer: the words for at and dot between single blanks or tabs."""
     m.rewrite([(x.start(), x.end(), "@" if x[1] else ".") for x in _BARE.finditer(m.text)])
 
 
@@ -163,14 +175,16 @@ def find(t: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def _convincing(kind: str, piece: str, bare: bool, rewritten_dot: bool) -> bool:
-    """A bare "at" is a common word: a last label of letters is asked for, and a written dot only after an identifier-like name."""
+def _convincing(kind: str, piece: str, bare: bool, rewritten_dot: bool, prose_dot: bool) -> bool:
+    """A bare "at" is a common word: a last label of letters is asked for, a written dot only after an identifier-like name, and a known top domain behind a common dot word."""
     if kind != "email":
         return True
     name, _, domain = piece.partition("@")
     top = domain.rpartition(".")[2]
     if not (top.isalpha() and 2 <= len(top) <= 24):
         return False
+    if bare and prose_dot and top.lower() not in TOP_DOMAINS:
+        return False
     if bare and (name.lower() in PLAIN_WORDS or domain.partition(".")[0].lower() in PLAIN_WORDS):
         return False
     return not bare or rewritten_dot or any(not c.isalpha() for c in name)
@@ -197,7 +211,7 @@ def hidden(t: str, base: dict[str, list[tuple[int, int]]]) -> dict[str, list[tup
                 piece = m.text[a:b]
                 new_dot = any(m.new[i] for i in range(a, b) if m.text[i] == ".")
                 new_at = any(m.new[i] for i in range(a, b) if m.text[i] == "@")
-                if not _convincing(kind, piece, bare and new_at, new_dot):
+                if not _convincing(kind, piece, bare and new_at and not _SURE_AT.search(t[s:e]), new_dot, bool(_BARE_PROSE_DOT.search(t[s:e]))):
                     continue
                 i = bisect_left(inside, (s + 1,)) - 1
                 if i >= 0 and inside[i][0] <= s and e <= inside[i][1]:

@@ -55,3 +55,34 @@ def test_ordinary_prose_is_left_alone():
 def test_long_runs_are_linear():
     for t in ("a" * 400_000, "1" * 400_000, "1 " * 200_000, "+1" + " " * 300_000, "1." * 200_000, "a@" * 150_000):
         pii.find(t)
+
+
+def test_disguises_in_other_languages():
+    assert hidden("plus vier neun eins fünf eins zwei drei vier fünf sechs sieben") == {"phone": ["plus vier neun eins fünf eins zwei drei vier fünf sechs sieben"]}
+    assert hidden("tel plus trois trois un deux trois quatre cinq six sept huit neuf fin") == {"phone": ["plus trois trois un deux trois quatre cinq six sept huit neuf"]}
+    assert hidden("Cuatro uno uno uno uno uno uno uno uno uno uno uno uno uno uno uno") == {"card": ["Cuatro uno uno uno uno uno uno uno uno uno uno uno uno uno uno uno"]}
+    assert hidden("eins punkt null punkt null punkt sieben") == {"ip": ["eins punkt null punkt null punkt sieben"]}
+    assert hidden("ana (arroba) correo (punto) es hoy") == {"email": ["ana (arroba) correo (punto) es"]}
+    assert hidden("jean arobase exemple point fr") == {"email": ["jean arobase exemple point fr"]}
+    assert hidden("jean arobase exemple.fr") == {"email": ["jean arobase exemple.fr"]}
+    assert hidden("hans at beispiel punkt de") == {"email": ["hans at beispiel punkt de"]}
+    for t in ("it broke at which point we left", "he came at boiling point the cook", "un point de vue", "cinq ou six fois", "dos o tres veces", "ein Punkt in der Mitte"):
+        assert hidden(t) == {}, t
+
+
+def test_prefilter_lets_through_what_the_transducers_rewrite():
+    assert hidden("mail bob.smith\tat\texample.org now") == {"email": ["bob.smith\tat\texample.org"]}
+    assert hidden("call (+four 111 222 3333) now") == hidden("call (+four 111 222 3333) now, four") != {}
+    r = random.Random(4)
+    parts = ["bob", "x.org", "4", "four", "drei", "10", "un", " ", " ", " ", "\t", "-", "(", ")", "[", "at", "AT", "dot", "Punkt", "point", "arroba", "@", ".", "+", "plus", "111 222 3333", "é"]
+    for _ in range(20_000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(3, 25)))
+        assert hidden(t) == pii_without_prefilter(t), t
+
+
+def pii_without_prefilter(t):
+    kept, pii._may_hide = pii._may_hide, lambda _: True
+    try:
+        return hidden(t)
+    finally:
+        pii._may_hide = kept
