@@ -116,3 +116,36 @@ def test_repeated_rows_are_fitted_on_once(spark):
     again = docs.union(docs.where(F.col("doc_id") == one).crossJoin(spark.range(300)).select("doc_id", "text"))
     for a, b in zip(qc.fit_models(docs, labels), qc.fit_models(again, labels), strict=True):
         assert a.constant == b.constant and all(np.array_equal(getattr(a, k), getattr(b, k)) for k in ("buckets", "words", "ratios", "mean", "scale"))
+
+
+def test_sites_of_one_to_three_documents_beside_a_large_host(spark):
+    import math
+    docs, labels = sample(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    host = F.when(F.col("doc_id") % 3 == 0, F.lit("big")).otherwise(F.concat(F.lit("h"), (F.col("doc_id") / 4).cast("long")))
+    path = F.concat(F.lit("p"), F.col("doc_id") % 2)
+    site = {r.doc_id: (r.h, r.p) for r in docs.select("doc_id", host.alias("h"), path.alias("p")).collect()}
+    got = {r.doc_id: r for r in qc.classify(docs, labels, host, path).collect()}
+    p = {i: round(1 / (1 + math.exp(-r.evidence)), 9) for i, r in got.items()}
+    hosts, paths = {}, {}
+    for i, (h, q) in site.items():
+        hosts.setdefault(h, []).append(p[i])
+        paths.setdefault((h, q), []).append(p[i])
+    assert len(got) == len(site) and {len(v) for h, v in hosts.items() if h != "big"} <= {1, 2, 3} and 3 * len(hosts["big"]) >= len(site) - 3
+    m = sum(p.values()) / len(p)
+
+    def strength(groups, around):
+        n = sum(map(len, groups.values()))
+        mean = {g: sum(v) / len(v) for g, v in groups.items()}
+        inside = {g: max(sum(x * x for x in v) / len(v) - mean[g] ** 2, 0) / len(v) for g, v in groups.items()}
+        between = max(sum(len(v) * ((mean[g] - around(g)) ** 2 - inside[g]) for g, v in groups.items()) / n, qc.LEAST_BETWEEN)
+        return max(m * (1 - m) / between - 1, 1)
+
+    k_host = strength(hosts, lambda g: m)
+    k_path = strength(paths, lambda g: (k_host * m + sum(hosts[g[0]])) / (k_host + len(hosts[g[0]])))
+    logit = lambda x: math.log(x / (1 - x))
+    inside = lambda x: max(min(x, 1 - 1e-6), 1e-6)
+    for i, (h, q) in site.items():
+        of_host = (k_host * m + sum(hosts[h]) - p[i]) / (k_host + len(hosts[h]) - 1)
+        of_path = (k_path * of_host + sum(paths[h, q]) - p[i]) / (k_path + len(paths[h, q]) - 1)
+        want = logit(inside(of_path)) - logit(inside(m))
+        assert abs(got[i].site - want) < 1e-4 and abs(got[i].quality - 1 / (1 + math.exp(-(got[i].evidence + want)))) < 1e-4
