@@ -1,4 +1,4 @@
-"""Connected components of an edge table by label propagation with pointer jumping."""
+"""Connected components of an edge table by contraction."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -7,24 +7,38 @@ from pyspark.sql import functions as F
 from tessera.llm.tables import written
 
 
+def _rooted(near: DataFrame) -> DataFrame:
+    """(node, label) with every label followed to the end: paths halve in each round."""
+    labels = written(near, "labels")
+    while True:
+        further = labels.where("node <> label").select(F.col("node").alias("n"), F.col("label").alias("further"))
+        new = written(labels.join(further, F.col("label") == F.col("n"), "left").select("node", F.coalesce("further", "label").alias("label"), F.col("further").isNotNull().alias("moved")), "labels")
+        moved = new.where("moved").limit(1).count()
+        labels = new.select("node", "label")
+        if not moved:
+            return labels
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); a component is named by its smallest node.
 
-    Every round takes the smallest label around each node, then the label of
-    that label; rounds grow with the logarithm of a component's diameter for
-    the star-shaped edges used here.  Aggregates combine before the shuffle, so
-    a node with very many edges is no hot group; nothing but a count reaches
-    the driver.
+    Every round sends each node of the edges that are left to its smallest
+    neighbour, if that is smaller, follows these steps to their ends, and replaces both ends of
+    every edge by them; loops and repeats go, so the edge table shrinks and a
+    node of very many edges is gone after one round.  Aggregates combine before
+    the shuffle; nothing but one count reaches the driver.
     """
-    both = written(edges.where("a <> b").selectExpr("a", "b").union(edges.where("a <> b").selectExpr("b AS a", "a AS b")).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("n")).agg(F.min("label").alias("around"))
-        lower = labels.join(near, F.col("node") == F.col("n")).select("node", F.col("label").alias("old"), F.least("label", "around").alias("label"))
-        lower = written(lower, "labels")
-        jump = lower.select(F.col("node").alias("j"), F.col("label").alias("further"))
-        new = written(lower.join(jump, F.col("label") == F.col("j"), "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
-        changed = new.where("old <> label").count()
-        labels = new.select("node", "label")
-        if not changed:
-            return labels.select("node", F.col("label").alias("component"))
+    left = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    labels = None
+    while labels is None or left.limit(1).count():
+        near = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "b")).groupBy("node").agg(F.min("to").alias("label"))
+        step = _rooted(near)  # a node without a smaller neighbour is an end
+        if labels is None:
+            labels = step
+        else:
+            follow = step.select(F.col("node").alias("n"), F.col("label").alias("end"))
+            labels = written(labels.join(follow, F.col("label") == F.col("n"), "left").select("node", F.coalesce("end", "label").alias("label")), "labels")
+        a, b = (step.select(F.col("node").alias(c), F.col("label").alias(f"{c}_end")) for c in ("a", "b"))
+        ends = left.join(a, "a").join(b, "b").where("a_end <> b_end")
+        left = written(ends.select(F.greatest("a_end", "b_end").alias("a"), F.least("a_end", "b_end").alias("b")).distinct(), "edges")
+    return labels.select("node", F.col("label").alias("component"))

@@ -5,10 +5,11 @@
    classes are joined, copies only counted.
 2. Bands and rows are chosen for the target recall at the threshold
    (``choose_bands``).  Band hashes are shuffled; a bucket of two or more
-   classes makes them candidates of each other, written as edges to the
-   bucket's smallest class, so a bucket costs no more than its members.
-3. Candidates that hang together form a cluster.  Clusters are cut into blocks
-   and every pair of blocks of a cluster is verified in one task: exact
+   classes makes them candidates of each other through the bucket's smallest
+   class, its centre.  A class keeps one edge, to its least centre, and its other
+   centres are linked to that one: about an edge a class, not one a band.
+3. Candidates that hang together form a cluster.  Clusters are cut into blocks of
+   bounded numbers and bytes, and every pair of blocks of a cluster is verified in one task: exact
    intersection sizes of the full n-gram sets, by a matrix product for common
    n-grams and by short posting lists for the others.  Tasks give link counts
    and a forest over the links found, never the pairs.
@@ -42,6 +43,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MAX_HASHES = 320
 BLOCK = 1024          # classes in a block of a cluster
+BLOCK_BYTES = 16 << 20  # of n-gram sets in a block, on average
 COMMON = 48           # n-grams in more sets than this are counted by a matrix product
 NULL_ID = -(1 << 63)
 
@@ -114,7 +116,7 @@ def _sets(n: int):
                 at += s.n_docs
                 have = RangeHash(words, _WORD_MULT)(s.first[:-1], s.first[1:]).view(np.int64)
                 out = [(want[d], np.unique(h[bound[d]:bound[d + 1]])) for d in np.flatnonzero((want == have) & (s.n_words > 0))]
-                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([x.tobytes() for _, x in out], pa.binary())], names=["class", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([x.nbytes for _, x in out], pa.int64()), pa.array([x.tobytes() for _, x in out], pa.binary())], names=["class", "bytes", "grams"])
     return sets
 
 
@@ -196,8 +198,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     classes = written(signed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("class_doc"), F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
     band = classes.select("class", F.explode("bands").alias("bucket"))
     buckets = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("center")).where("n > 1").select("bucket", "center")
-    edges = band.join(buckets, "bucket").select(F.col("class").alias("a"), F.col("center").alias("b")).where("a <> b").distinct()
-    clusters = written(components(edges).withColumnRenamed("node", "class"), "clusters")
+    clusters = written(components(_candidate_edges(band.join(buckets, "bucket"))).withColumnRenamed("node", "class"), "clusters")
     found = written(_links(texts, classes, clusters, n, threshold), "links")
     per_class = found.groupBy("class").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
     linked = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
@@ -218,14 +219,23 @@ def _with_key(texts: DataFrame, sign) -> DataFrame:
     return texts.mapInArrow(keyed, "doc_id long, n_words long, class long, bands array<long>, text_key long")
 
 
+def _candidate_edges(member: DataFrame) -> DataFrame:
+    """Edges (a, b) that hang the classes of every bucket together; ``member``: class, center, a row for each bucket of a class (at most one a band)."""
+    least = member.groupBy("class").agg(F.min("center").alias("b"), F.collect_set("center").alias("centers"))
+    return least.select("b", F.explode(F.array_union("centers", F.array("class"))).alias("a")).where("a <> b").select("a", "b").distinct()
+
+
 def _links(texts: DataFrame, classes: DataFrame, clusters: DataFrame, n: int, threshold: float) -> DataFrame:
     """(class, n_texts, n_docs, root) of every block pair's links."""
     # one document of each class, by id and text (ids may be null or repeated)
     of_doc = clusters.join(classes, "class").select(F.coalesce("first.doc_id", F.lit(NULL_ID)).alias("d"), F.col("first.text_key").alias("text_key"), "class")
     keyed = texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "text_key", "text")
-    sets = written(keyed.join(of_doc, ["d", "text_key"]).select("d", "text", "class").mapInArrow(_sets(n), "class long, grams binary"), "ngram_sets").dropDuplicates(["class"])
-    size = clusters.groupBy("component").count().select("component", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    tasks = max(1, -(-clusters.count() // (2 * BLOCK)))
+    sets = written(keyed.join(of_doc, ["d", "text_key"]).select("d", "text", "class").mapInArrow(_sets(n), "class long, bytes long, grams binary"), "ngram_sets")
+    weighed = clusters.join(sets.groupBy("class").agg(F.max("bytes").alias("bytes")), "class").groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    size = written(weighed.select("component", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"), "n", "bytes"), "cluster_sizes")
+    total = size.where("blocks = 1").agg(F.sum("n"), F.sum("bytes")).first()
+    tasks = max(1, -(-(total[0] or 0) // (2 * BLOCK)), -(-(total[1] or 0) // (2 * BLOCK_BYTES)))
+    size, sets = size.select("component", "blocks"), sets.select("class", "grams").dropDuplicates(["class"])
     member = clusters.join(size, "component").select("class", F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
     member = member.join(sets, "class").join(classes.select("class", "copies"), "class")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
