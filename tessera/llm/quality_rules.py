@@ -8,6 +8,12 @@ every document: trusted mean minus ``Z`` trusted deviations, over every trusted
 document, each scored by ratios that were fitted without its own fold (one of
 ``FOLDS``, by hash of the id).  Fixed rules on length and repetition come first.
 
+The raw counts need no join.  For the trusted ones a Bloom filter of the trusted
+ids thins the scan (``BITS_PER_ID`` bits an id, at most ``MAX_BITS``; where it is
+too small for all ids more texts pass, never fewer), and what passes meets the
+labels in a merge join, which decides: the same plan at every size, and no text
+without a label is shuffled but for one in some hundred.
+
 Cases: a null text has no words and fails the length rule; without trusted
 documents the ratio is 0 everywhere and only the fixed rules decide; repeated
 rows are judged each for itself and all count in the raw corpus.
@@ -20,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
-from tessera.llm.textops import IS_SPACE, cover, keyed_slices, mix64, repeats
+from tessera.llm.textops import IS_SPACE, cover, keyed_slices, mix64, repeats, text_slices
 
 GRAM = 4                 # bytes of an n-gram: short enough that a document has many that the corpus knows well
 BUCKET_BITS = 17
@@ -29,6 +35,8 @@ FOLDS = 4               # of the trusted documents: the threshold is a statistic
 SHRINK = 10.0            # n-grams' worth of belief that a bucket is as common among the trusted as in the corpus
 Z = 4.0                 # deviations below the trusted mean that are still kept
 MIN_WORDS = 50
+BITS_PER_ID = 16
+MAX_BITS = 1 << 27      # of the Bloom filter: 16 MB, at 16 bits an id enough for eight million trusted ids
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -53,17 +61,59 @@ def _fold(ids: pa.Array) -> np.ndarray:
     return (mix64(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
 
 
-def _count(batches):
-    raw, good = np.zeros(BUCKETS, np.int64), np.zeros((FOLDS, BUCKETS), np.int64)
-    for is_good, s in ((key, s) for batch in batches for key, s in keyed_slices(batch)):
+def _count_raw(batches):
+    raw = np.zeros(BUCKETS, np.int64)
+    for s in text_slices(batches):
+        raw += np.bincount(_ngrams(s)[1], minlength=BUCKETS)
+    seen = np.flatnonzero(raw)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen])], names=["bucket", "raw"])
+
+
+def _count_trusted(batches):
+    good = np.zeros((FOLDS, BUCKETS), np.int64)
+    for s in text_slices(batches):
         doc, bucket = _ngrams(s)
-        raw += np.bincount(bucket, minlength=BUCKETS)
-        fold = np.where(is_good.to_numpy(zero_copy_only=False), _fold(s.ids), -1)[doc]
+        fold = _fold(s.ids)[doc]
         for k in range(FOLDS):
             good[k] += np.bincount(bucket[fold == k], minlength=BUCKETS)
-    seen = np.flatnonzero(raw)
-    if len(seen):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, raw[seen], *good[:, seen])], names=["bucket", "raw", *_GOOD])
+    seen = np.flatnonzero(good.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(seen), *map(pa.array, good[:, seen])], names=["bucket", *_GOOD])
+
+
+def _bits(ids: np.ndarray, bits: int) -> np.ndarray:
+    """Three places in the bit array for each id, one row a hash."""
+    h = ids.astype(np.int64).view(np.uint64)
+    return np.array([mix64(h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) % np.uint64(bits) for k in range(3)]).astype(np.int64)
+
+
+def bloom_filter(ids: DataFrame) -> np.ndarray:
+    """Bit array (as bytes) of the ids in the only column; its size follows their number up to ``MAX_BITS``."""
+    bits = 1 << 16
+    while bits < min(MAX_BITS, BITS_PER_ID * ids.count()):
+        bits *= 2
+
+    def words(batches):
+        for batch in batches:
+            at = np.unique(_bits(batch.column(0).to_numpy(), bits))
+            word, first = np.unique(at >> 6, return_index=True)
+            value = np.bitwise_or.reduceat(np.left_shift(np.int64(1), at & 63), first) if len(first) else at
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], names=["word", "value"])
+
+    filled = ids.mapInArrow(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()  # at most MAX_BITS / 64 rows
+    out = np.zeros(bits >> 6, np.int64)
+    out[filled["word"].to_numpy()] = filled["value"].to_numpy()
+    return out
+
+
+def _thinned(filter_):
+    def thin(batches):
+        words = filter_.value
+        for batch in batches:
+            ids = batch.column(0)
+            at = _bits(ids.fill_null(0).to_numpy(zero_copy_only=False), len(words) << 6)
+            may = ((words[at >> 6] >> (at & 63)) & 1).all(0) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(may))
+    return thin
 
 
 _GOOD = [f"good{k}" for k in range(FOLDS)]
@@ -103,16 +153,23 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Weight of each bucket from all trusted documents, and, by fold, from those of the other folds; the raw counts are taken over every document."""
-    marked = docs.select("doc_id", "text").join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left").select("doc_id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counts = marked.mapInArrow(_count, ", ".join(f"{c} long" for c in ("bucket", "raw", *_GOOD))).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", *_GOOD)))
-    t = counts.toArrow()  # at most BUCKETS rows
-    at, raw, folds = t["bucket"].to_numpy(), t["raw"].to_numpy(), np.array([t[c].to_numpy() for c in _GOOD])
+    texts = docs.select("doc_id", "text")
+    trusted = written(trusted, "trusted")
+    filter_ = docs.sparkSession.sparkContext.broadcast(bloom_filter(trusted))
+    labelled = texts.mapInArrow(_thinned(filter_), "doc_id long, text string").join(trusted.hint("merge"), "doc_id", "left_semi")
+    raw, folds = np.zeros(BUCKETS, np.int64), np.zeros((FOLDS, BUCKETS), np.int64)
+    of_all = texts.mapInArrow(_count_raw, "bucket long, raw long").groupBy("bucket").agg(F.sum("raw").alias("raw")).toArrow()  # at most BUCKETS rows
+    raw[of_all["bucket"].to_numpy()] = of_all["raw"].to_numpy()
+    of_trusted = labelled.mapInArrow(_count_trusted, ", ".join(f"{c} long" for c in ("bucket", *_GOOD))).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in _GOOD)).toArrow()
+    for k, c in enumerate(_GOOD):
+        folds[k, of_trusted["bucket"].to_numpy()] = of_trusted[c].to_numpy()
 
     def weights(good: np.ndarray) -> np.ndarray:
         out = np.zeros(BUCKETS)
         if good.sum():
             expected = raw * (good.sum() / raw.sum())
-            out[at] = np.log((good + SHRINK) / (expected + SHRINK))
+            seen = raw > 0
+            out[seen] = np.log((good[seen] + SHRINK) / (expected[seen] + SHRINK))
         return out.astype(np.float32)
 
     return weights(folds.sum(0)), np.array([weights(folds.sum(0) - mine) for mine in folds])
@@ -133,9 +190,9 @@ def _kept() -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the rule counts, the score and ``kept``.
 
-    Two scans of the texts, which the first deals out once by id to meet the
-    labels; the score table (numbers only) is written once because the
-    threshold is a statistic of it.
+    Three scans of the texts (raw counts, trusted counts, scores); the score
+    table (numbers only) is written once because the threshold is a statistic of
+    it.
     """
     scored, limit = _judged(_texts(docs, id_col, text_col), labels)
     return scored.crossJoin(F.broadcast(limit)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", _kept().alias("kept"), "score", "threshold")
