@@ -18,9 +18,11 @@ other can be among the k nearest of any query), so a vector that is repeated
 very often costs no more than a rare one.  Queries and shards meet in blocks.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take
-no part, neither do null ids or vectors of another size than most; rows
-repeated whole count once; fewer candidates than k give them all; an empty
-table gives an empty result; other columns are ignored.
+no part, neither do null ids or vectors of another size than most (they have no
+inner product with the others; of sizes equally common the larger); rows
+equal in id and vector count once (the second is no candidate of the first); fewer
+candidates than k give them all; an empty table, or one without a usable vector,
+gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -67,8 +69,10 @@ def fit_pivots(index: DataFrame, limit: int = PIVOTS) -> tuple[np.ndarray, float
 
 
 def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
+    if not len(x):
+        return x
     extra = np.sqrt(np.maximum(longest * longest - (x * x).sum(1), 0.0))
-    return np.hstack([x, extra[:, None]]) if len(x) else x
+    return np.hstack([x, extra[:, None]])
 
 
 def _matrix(column) -> np.ndarray:

@@ -59,3 +59,17 @@ def test_packing_of_edge_documents(spark):
 def test_vectors_without_rows(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, rep long, v int")
     assert permutation_index.nearest(empty).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (None, [1.0, 2.0])], "vec_id long, embedding array<float>")
+    assert permutation_index.nearest(nothing).count() == 0
+
+
+def test_vectors_with_clashing_columns(spark):
+    """Columns named as the operator's own change nothing; values against brute force."""
+    rows = [(i, [float(i % 7), float(i % 5 - 2), 1.0], i, i * 2, [1.0], [5], 0.5) for i in range(60)]
+    clash = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rep long, query_id long, v array<double>, ids array<long>, score double")
+    got = [tuple(r) for r in permutation_index.nearest(clash).orderBy("query_id", "rank").collect()]
+    want = []
+    for q in range(0, 60, 20):
+        by = sorted((-sum(a * b for a, b in zip(rows[q][1], r[1], strict=True)), r[0]) for r in rows if r[0] != q)[:20]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(by)]
+    assert got == want
