@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import alert_id, fmt_percent, round_half_up
@@ -33,6 +33,12 @@ def rules_frame(spark) -> DataFrame:
                                               "threshold double, severity string, title string")
 
 
+def mean_of(values: Column) -> Column:
+    """Mean of an array's known values (NULL if there is none)."""
+    known = F.filter(values, lambda x: x.isNotNull())
+    return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
+
+
 def alert_metrics(segment_customers: DataFrame, daily: DataFrame, k: int = 7) -> DataFrame:
     """One row: avg_churn_risk, avg_confidence, accuracy_trend (mean of the last k
     days minus the first k), volume_ratio (last day volume / mean of the
@@ -40,7 +46,7 @@ def alert_metrics(segment_customers: DataFrame, daily: DataFrame, k: int = 7) ->
     carry.
 
     ``daily`` is the per-day prediction aggregate (day, daily_volume,
-    daily_confidence_sum, daily_accuracy): the log is read once and every
+    daily_confidence_sum, daily_confidence_count, daily_accuracy): the log is read once and every
     log metric comes from that one-row-per-day table.
     """
     sc = segment_customers
@@ -54,16 +60,15 @@ def alert_metrics(segment_customers: DataFrame, daily: DataFrame, k: int = 7) ->
         F.coalesce(F.sum(F.when((F.col("segment") == OPPORTUNITY_SEGMENT)
                                 & (F.col("interest_diversity") < OPPORTUNITY_DIVERSITY_CEILING),
                                 F.col("monetary_avg"))), F.lit(0.0)).alias("potential_revenue"))
-    # One row per day: the keyless windows below are bounded by the number of days.
-    first_k = F.row_number().over(Window.orderBy("day"))
-    last_k = F.row_number().over(Window.orderBy(F.col("day").desc()))
-    d = daily.withColumn("_a", first_k).withColumn("_d", last_k)
-    logm = d.agg(
-        (F.sum("daily_confidence_sum") / F.sum("daily_volume")).alias("avg_confidence"),
-        (F.avg(F.when(F.col("_d") <= k, F.col("daily_accuracy")))
-         - F.avg(F.when(F.col("_a") <= k, F.col("daily_accuracy")))).alias("accuracy_trend"),
-        F.try_divide(F.max(F.when(F.col("_d") == 1, F.col("daily_volume"))).cast("double"),
-                     F.avg(F.when(F.col("_d") > 1, F.col("daily_volume")))).alias("volume_ratio"))
+    # One row per day, gathered in order: the first and last k of them are slices.
+    days = F.sort_array(F.collect_list(F.struct("day", F.col("daily_accuracy").alias("a"), F.col("daily_volume").cast("double").alias("v"))))
+    sums = daily.agg((F.sum("daily_confidence_sum") / F.sum("daily_confidence_count")).alias("avg_confidence"), days.alias("d"))
+    n = F.size("d")
+    of = lambda part, c: mean_of(F.transform(part, lambda x: x[c]))
+    logm = sums.select(
+        "avg_confidence",
+        (of(F.slice("d", F.greatest(n - k + 1, F.lit(1)), F.lit(k)), "a") - of(F.slice("d", 1, k), "a")).alias("accuracy_trend"),
+        F.try_divide(F.get("d", n - 1)["v"], of(F.slice("d", F.lit(1), F.greatest(n - 1, F.lit(0))), "v")).alias("volume_ratio"))
     return (churn.crossJoin(logm)
             .select(*METRICS, "affected_customers", "estimated_revenue_impact", "potential_revenue"))
 

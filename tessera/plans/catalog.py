@@ -416,6 +416,40 @@ def _alerts(c: Ctx):
     return alerts.evaluate_rules(m, alerts.rules_frame(c.spark))
 
 
+def _alerts_of_all_rules(c: Ctx):
+    """A log whose confidence falls and whose volume jumps on the last day, and customers who only browse."""
+    beh = features.behavioral_features(sessions.behavior_from_events(S.browsing_events(c.t.events)))
+    log = S.bursting_log_from_events(c.t.events, AS_OF_EVENTS)
+    m = alerts.alert_metrics(features.segment_customers(c.rfm(), beh), monitor.daily_series(log, None))
+    return alerts.evaluate_rules(m, alerts.rules_frame(c.spark)), log
+
+
+@_q
+def q_alerts_all_rules(c: Ctx):
+    """All five rules fire."""
+    return _alerts_of_all_rules(c)[0]
+
+
+@_q
+def q_alert_texts_all_rules(c: Ctx):
+    return alerts.alert_descriptions(_alerts_of_all_rules(c)[0]).select("alert_id", "type", "description")
+
+
+@_q
+def q_alert_actions_all_rules(c: Ctx):
+    return alerts.alert_actions(_alerts_of_all_rules(c)[0])
+
+
+@_q
+def q_alert_measures_all_rules(c: Ctx):
+    return alerts.alert_measures(*_alerts_of_all_rules(c))
+
+
+@_q
+def q_alert_summary_all_rules(c: Ctx):
+    return alerts.alert_summary(_alerts_of_all_rules(c)[0])
+
+
 @_q
 def q_business_alerts(c: Ctx):
     return _alerts(c)
@@ -613,6 +647,9 @@ QUERIES = {
     "model_comparison": q_model_comparison, "rule_label": q_rule_label, "drift": q_drift,
     "accuracy_trend": q_accuracy_trend, "kpis": q_kpis, "performance_report": q_performance_report,
     "performance_recommendations": q_performance_recommendations, "business_alerts": q_business_alerts,
+    "alerts_all_rules": q_alerts_all_rules, "alert_texts_all_rules": q_alert_texts_all_rules,
+    "alert_actions_all_rules": q_alert_actions_all_rules, "alert_measures_all_rules": q_alert_measures_all_rules,
+    "alert_summary_all_rules": q_alert_summary_all_rules,
     "alert_summary": q_alert_summary, "roi_summary": q_roi_summary, "roi_sensitivity": q_roi_sensitivity,
     "roi_projection": q_roi_projection, "success_rate": q_success_rate, "log_families": q_log_families,
 }

@@ -31,14 +31,17 @@ def drift(log: DataFrame, window_size: int = 100, model: str = "model_name", ts:
     rows of a model in one task.
     """
     w = Window.partitionBy(model).orderBy(F.col(ts).desc(), F.col(tie).desc())
-    recent = (log.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= window_size)
-              .groupBy(model).agg(F.count(F.lit(1)).alias("_rn_n"), F.sum("prediction").alias("_rn_p"),
-                                  F.sum("confidence").alias("_rn_c"), F.count("prediction").alias("_rn_np"),
-                                  F.count("confidence").alias("_rn_nc")))
-    total = log.groupBy(model).agg(F.count(F.lit(1)).alias("n_predictions"),
-                                   F.sum("prediction").alias("_t_p"), F.sum("confidence").alias("_t_c"),
-                                   F.count("prediction").alias("_t_np"), F.count("confidence").alias("_t_nc"))
-    j = total.join(recent, model)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("prediction").alias("p"), F.sum("confidence").alias("c"),
+            F.count("prediction").alias("np"), F.count("confidence").alias("nc")]
+    recent = log.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= window_size).groupBy(model).agg(*sums)
+    return drift_of(log.groupBy(model).agg(*sums), recent, window_size, model)
+
+
+def drift_of(total: DataFrame, recent: DataFrame, window_size: int, model: str = "model_name") -> DataFrame:
+    """Drift from two tables of sums per model (rows ``n``, predictions ``p``, confidences ``c`` and how many of
+    these are known, ``np`` and ``nc``): all rows, and the newest ``window_size`` of them."""
+    total = total.withColumnsRenamed({"n": "n_predictions"} | {c: f"_t_{c}" for c in ("p", "c", "np", "nc")})
+    j = total.join(recent.withColumnsRenamed({c: f"_rn_{c}" for c in ("n", "p", "c", "np", "nc")}), model)
     enough = F.col("n_predictions") >= window_size
     has_hist = F.col("n_predictions") > window_size
     # NULL predictions and confidences are left out of their means (of sums and counts alike)
@@ -77,7 +80,8 @@ def daily_series(log: DataFrame, model: str | None = "model_name") -> DataFrame:
     keys = ([model] if model else []) + [F.to_date("ts").alias("day")]
     return log.groupBy(*keys).agg(F.avg("confidence").alias("daily_accuracy"),
                                   F.count(F.lit(1)).alias("daily_volume"),
-                                  F.sum("confidence").alias("daily_confidence_sum"))
+                                  F.sum("confidence").alias("daily_confidence_sum"),
+                                  F.count("confidence").alias("daily_confidence_count"))
 
 
 def accuracy_trend(daily: DataFrame, k: int = 7, model: str | None = "model_name",

@@ -384,6 +384,16 @@ holders AS (
 """
 
 
+# Profiles from views and errors only.
+BROWSING = "browsing AS (SELECT * FROM events WHERE event_type IN ('view', 'error')),"
+BROWSING_BEH = BROWSING + BEH.replace("FROM events", "FROM browsing")
+BROWSING_BEFORE_BEH = BROWSING_BEH.replace("'error')", "'error') AND ts < TIMESTAMP '2024-01-10'", 1)
+
+# The shifting log with the last day's rows three times.
+BURSTING_LOG = SHIFTING_LOG.replace("FROM events", "FROM events CROSS JOIN range(1, 4) copies(n) "
+                                                   "WHERE n = 1 OR CAST(ts AS DATE) = DATE '2024-01-30'")
+
+
 def _w(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -412,17 +422,36 @@ ORACLE_SQL: dict[str, str] = {
            CASE WHEN (pd > 0.1 OR cd > 0.1) AND pd > 0.2 THEN 'high' WHEN pd > 0.1 OR cd > 0.1 THEN 'medium'
                 ELSE 'low' END AS drift_severity
     FROM d""",
-    "stream_alerts": _w(LOG) + f""", hist AS (
+    "stream_alerts": _w(RFM, BROWSING_BEFORE_BEH, SEGCUST, SHIFTING_LOG) + f""", hist AS (
       SELECT avg(n) AS base FROM (SELECT count(*) AS n FROM plog WHERE ts < TIMESTAMP '2024-01-10'
                                   GROUP BY date_trunc('hour', ts))),
-    win AS (
-      SELECT date_trunc('hour', ts) AS window_start, avg(confidence) AS c, count(*) / (SELECT base FROM hist) AS r
-      FROM plog WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1)
+    later AS (SELECT ts, confidence * 0.99::DOUBLE AS confidence FROM plog WHERE ts >= TIMESTAMP '2024-01-10'),
+    hours AS (SELECT date_trunc('hour', ts) AS window_start, avg(confidence) AS c, count(*) / (SELECT base FROM hist) AS r
+              FROM later GROUP BY 1),
+    days AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, avg(confidence) AS acc FROM later GROUP BY 1),
+    trend AS (SELECT window_start, avg(acc) OVER (ORDER BY window_start ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+                       - avg(CASE WHEN nth <= 7 THEN acc END) OVER (ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t
+              FROM (SELECT *, row_number() OVER (ORDER BY window_start) AS nth FROM days)),
+    active AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, user_id AS customer_id
+               FROM events WHERE ts >= TIMESTAMP '2024-01-10'),
+    crowd AS (SELECT window_start, avg(churn_risk) AS churn,
+                     count_if(segment = 'Loyal Customers' AND interest_diversity < 0.5)::DOUBLE AS chances
+              FROM active JOIN seg_cust USING (customer_id) GROUP BY 1)
     SELECT window_start, CAST(2 AS INTEGER) AS rule_no, 'model_confidence' AS type, 'medium' AS severity,
-           'Low Model Confidence' AS title, {R('c', 12)} AS value, 0.75::DOUBLE AS threshold FROM win WHERE c < 0.75
+           'Low Model Confidence' AS title, {R('c', 9)} AS value, 0.75::DOUBLE AS threshold FROM hours WHERE c < 0.75
     UNION ALL
-    SELECT window_start, 4, 'volume_spike', 'medium', 'Unusual Prediction Volume', {R('r', 12)}, 1.5::DOUBLE
-    FROM win WHERE r > 1.5""",
+    SELECT window_start, 4, 'volume_spike', 'medium', 'Unusual Prediction Volume', {R('r', 9)}, 1.5::DOUBLE
+    FROM hours WHERE r > 1.5
+    UNION ALL
+    SELECT window_start, 3, 'performance_decline', 'high', 'Model Performance Declining', {R('t', 9)}, -0.05::DOUBLE
+    FROM trend WHERE t < -0.05
+    UNION ALL
+    SELECT window_start, 1, 'churn_risk', 'high', 'High Churn Risk Detected', {R('churn', 9)}, 0.7::DOUBLE
+    FROM crowd WHERE churn > 0.7
+    UNION ALL
+    SELECT window_start, 5, 'business_opportunity', 'low', 'Business Opportunity: Cross Sell', chances, 0.0::DOUBLE
+    FROM crowd WHERE chances > 0""",
+    "stream_drift_last_rows": _w(SHIFTING_LOG) + DRIFT_ROWS,
     "stream_rfm": f"""
     SELECT o_custkey AS customer_id, max(o_orderdate) AS last_purchase, count(*) AS frequency,
            {R('sum(o_totalprice)', 2)} AS monetary_total FROM orders GROUP BY 1""",
@@ -746,6 +775,11 @@ SELECT recommendation FROM s, (VALUES
 WHERE band = CASE WHEN roi > 100 THEN 1 WHEN roi > 50 THEN 2 ELSE 3 END""",
 }
 
+# The alert statements again over the bindings on which every rule fires.
+_ONE, _ALL = _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS), _w(RFM, BROWSING_BEH, SEGCUST, BURSTING_LOG, DAILY_ALL, ALERTS)
+ORACLE_SQL |= {f"{k.removeprefix('business_')}_all_rules": ORACLE_SQL[k].replace(_ONE, _ALL)
+               for k in ("business_alerts", "alert_texts", "alert_actions", "alert_measures", "alert_summary")}
+
 
 def _count_filter(sql: str) -> str:
     """Write ``count_if(cond)`` as ``count(*) FILTER (WHERE cond)`` (BIGINT, like Spark's count_if)."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,34 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, name: str):
+    """Write ``df`` once as Parquet below the shared folder and read it back: lineage ends here, and later
+    steps read only the columns they need."""
+    path = scratch_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- folders in the shared store (any file system that Spark reads) ---------------------------
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` whose writer has finished (they hold ``_SUCCESS``)."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    below = [s.getPath() for s in fs.listStatus(target) if s.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(b.getName() for b in below if fs.exists(done(b, "_SUCCESS")))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds, if it is there."""
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)

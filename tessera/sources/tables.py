@@ -226,6 +226,19 @@ def shifting_log_from_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("processing_time"))
 
 
+def bursting_log_from_events(events: DataFrame, day: str, copies: int = 3) -> DataFrame:
+    """The log of :func:`shifting_log_from_events` with every row of one day ``copies`` times, so that volume jumps on it."""
+    log = shifting_log_from_events(events)
+    times = F.when(F.to_date("ts") == F.lit(day).cast("date"), F.lit(copies)).otherwise(F.lit(1))
+    return log.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+
+
+def browsing_events(events: DataFrame, before: str | None = None) -> DataFrame:
+    """Views and errors (before a time): customers with few interests who never buy."""
+    kept = events.where(F.col("event_type").isin("view", "error"))
+    return kept if before is None else kept.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+
+
 def text_times_from_events(events: DataFrame) -> DataFrame:
     """events -> (event_id, transaction_date as text); error events hold a text that is no time."""
     return events.select("event_id", F.when(F.col("event_type") == "error", F.lit("not a time"))

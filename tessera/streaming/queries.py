@@ -16,9 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_half_up
+from tessera.operators.sessions import behavior_from_events
+from tessera.plans import features
 from tessera.plans.alerts import rules_frame
-from tessera.session import scratch_path
-from tessera.sources.tables import Tables, prediction_log_from_events, transactions_from_orders
+from tessera.plans.catalog import AS_OF_ORDERS, DRIFT_MEASURES, DRIFT_WINDOW, LINE_KEYS
+from tessera.session import scratch_path, written
+from tessera.sources.tables import (Tables, browsing_events, prediction_log_from_events, shifting_log_from_events,
+                                    transactions_from_orders)
+from tessera.streaming import alerting, ingest, running
 from tessera.streaming import streams as st
 
 
@@ -35,11 +40,23 @@ def _later(events: DataFrame) -> F.Column:
     return F.col("ts") >= F.lit(STREAM_START).cast("timestamp_ntz")
 
 
-def _events(spark, sf_dir, only=None) -> DataFrame:
-    """Events as a stream of several deliveries with a closing heartbeat behind them."""
+def _delivered(spark, sf_dir, only=None) -> str:
+    """Folder with the events in several deliveries and a closing heartbeat behind them."""
     src, _ = _dirs(spark, "events-src")
     events = Tables(spark, sf_dir).events
     st.replay(events if only is None else events.where(only(events)), src, closing={"event_id": st.CLOSING_ID, "event_type": "heartbeat", "value": 0.0})
+    return src
+
+
+def _events(spark, sf_dir, only=None) -> DataFrame:
+    """Events as a stream of several deliveries with a closing heartbeat behind them."""
+    return st.read_stream(spark, _delivered(spark, sf_dir, only), "events", max_files_per_trigger=1)
+
+
+def _plain_events(spark, sf_dir) -> DataFrame:
+    """Events as a stream of several deliveries."""
+    src, _ = _dirs(spark, "events-src")
+    st.replay(Tables(spark, sf_dir).events, src)
     return st.read_stream(spark, src, "events", max_files_per_trigger=1)
 
 
@@ -71,23 +88,54 @@ def q_stream_drift(spark, sf_dir) -> DataFrame:
     return out.withColumns({c: round_half_up(c, 6) for c in ("positive_rate_drift", "confidence_drift")})
 
 
+def _profiles(spark, sf_dir) -> DataFrame:
+    """Customers who only browse, as they were before the stream."""
+    t = Tables(spark, sf_dir)
+    rfm = features.rfm_features(transactions_from_orders(t.orders), AS_OF_ORDERS)
+    return features.segment_customers(rfm, features.behavioral_features(behavior_from_events(browsing_events(t.events, STREAM_START))))
+
+
 def q_stream_alerts(spark, sf_dir) -> DataFrame:
+    """All five rules over a log whose confidence falls: per closed hour confidence and volume (against the history's
+    mean hour), per closed day the accuracy trend, churn risk and opportunities among the day's customers."""
+    rules = rules_frame(spark)
     sink, ck = _dirs(spark, "alerts")
-    rollup = st.hourly_rollup_stream(st.prediction_log_stream(_events(spark, sf_dir, _later)))
+    # scaled so that no mean of whole days lies on a threshold
+    src = _delivered(spark, sf_dir, _later)
+    events = lambda: st.read_stream(spark, src, "events", max_files_per_trigger=1)
+    log = lambda: st.with_event_time(shifting_log_from_events(events())).withColumn("confidence", F.col("confidence") * 0.99)
     # baseline: mean predictions per hour in the history (one number from one aggregate)
     baseline = (_history(spark, sf_dir).groupBy(F.date_trunc("hour", "ts")).count().agg(F.avg("count")).first()[0])
-    st.run_to_completion(rollup, sink, ck, foreach_batch=st.alert_sink(rules_frame(spark), sink, baseline))
-    out = _ntz(spark.read.parquet(sink), "window_start")
-    return out.select("window_start", "rule_no", "type", "severity", "title", round_half_up("value", 12).alias("value"), "threshold")
+    st.run_to_completion(st.hourly_rollup_stream(log()), sink, f"{ck}/hours", foreach_batch=st.alert_sink(rules, f"{sink}/hours", baseline))
+    trend = alerting.DayTrend(spark, f"{sink}/days", every=2)
+    st.run_to_completion(alerting.daily_rollup_stream(log()), sink, f"{ck}/days", foreach_batch=alerting.trend_sink(rules, f"{sink}/trend", trend))
+    active = alerting.active_customers_stream(st.with_event_time(events()))
+    profiles = written(_profiles(spark, sf_dir), "profiles")
+    st.run_to_completion(active, sink, f"{ck}/customers", foreach_batch=alerting.customer_sink(rules, f"{sink}/customers", profiles))
+    columns = ["window_start", "rule_no", "type", "severity", "title", "value", "threshold"]
+    hours, days, customers = (spark.read.parquet(f"{sink}/{part}").select(*columns) for part in ("hours", "trend", "customers"))
+    out = _ntz(hours, "window_start").unionByName(days).unionByName(customers)
+    return out.withColumn("value", round_half_up("value", 9))
 
 
 def q_stream_rfm(spark, sf_dir) -> DataFrame:
+    """Running RFM from a change log that is compacted twice on the way."""
     sink, ck = _dirs(spark, "rfm")
     src, _ = _dirs(spark, "orders-src")
     st.replay(Tables(spark, sf_dir).orders, src, ts="o_orderdate")
     tx = transactions_from_orders(st.read_stream(spark, src, "orders", max_files_per_trigger=1))
-    st.run_to_completion(st.rfm_stream(tx), sink, ck, mode="update", foreach_batch=st.changes_sink(sink))
-    return st.latest_snapshot(spark, sink).withColumn("monetary_total", round_half_up("monetary_total", 2))
+    log = running.rfm_log(spark, sink, every=2)
+    st.run_to_completion(tx, sink, ck, foreach_batch=running.rfm_sink(log))
+    return log.read().withColumn("monetary_total", round_half_up("monetary_total", 2))
+
+
+def q_stream_drift_last_rows(spark, sf_dir) -> DataFrame:
+    """Drift of the newest rows of each model against all earlier ones, kept while the log arrives."""
+    sink, ck = _dirs(spark, "recent")
+    recent = running.RecentRows(spark, sink, DRIFT_WINDOW, every=2)
+    log = st.with_event_time(shifting_log_from_events(_plain_events(spark, sf_dir)))
+    st.run_to_completion(log, sink, ck, foreach_batch=running.drift_sink(recent))
+    return recent.drift().withColumns({c: round_half_up(c, 6) for c in DRIFT_MEASURES})
 
 
 def q_stream_sessions(spark, sf_dir) -> DataFrame:
@@ -97,16 +145,14 @@ def q_stream_sessions(spark, sf_dir) -> DataFrame:
 
 
 def q_stream_dedupe(spark, sf_dir) -> DataFrame:
-    """Transaction lines, whose keys repeat, ingested once: the keys that came through. Repeats
-    lie years apart, so the watermark delay covers the whole table."""
+    """Transaction lines, whose keys repeat years apart, ingested once with a state of days: the keys that came through."""
     sink, ck = _dirs(spark, "dedupe")
     src, _ = _dirs(spark, "lines-src")
-    lines = Tables(spark, sf_dir).lineitem
-    st.replay(lines, src, ts="l_shipdate")
+    st.replay(Tables(spark, sf_dir).lineitem, src, ts="l_shipdate")
     stream = st.read_stream(spark, src, "lineitem", max_files_per_trigger=1).withColumnRenamed("l_shipdate", "ts")
-    once = st.dedupe_stream(stream, ("l_orderkey", "l_linenumber"), delay="36500 days")
-    st.run_to_completion(once.select("l_orderkey", "l_linenumber"), sink, ck)
-    return spark.read.parquet(sink)
+    once = st.dedupe_stream(stream, LINE_KEYS, delay="3 days").select(*LINE_KEYS)
+    st.run_to_completion(once, sink, ck, foreach_batch=ingest.ingest_sink(spark, sink, LINE_KEYS, every=2))
+    return ingest.ingested(spark, sink, once.schema)
 
 
 def q_stream_scoring(spark, sf_dir) -> DataFrame:
@@ -135,5 +181,5 @@ def scored_frame_of(scored: DataFrame) -> DataFrame:
 STREAM_QUERIES = {
     "stream_rollup": q_stream_rollup, "stream_drift": q_stream_drift, "stream_alerts": q_stream_alerts,
     "stream_rfm": q_stream_rfm, "stream_sessions": q_stream_sessions, "stream_dedupe": q_stream_dedupe,
-    "stream_scoring": q_stream_scoring,
+    "stream_scoring": q_stream_scoring, "stream_drift_last_rows": q_stream_drift_last_rows,
 }
