@@ -2,7 +2,10 @@
 
 A plain ``lag(ts) over (partition by user order by ts)`` sorts all events of
 a user in a single task; a user with a third of all events would stall the
-job. Here each user's time line is cut into buckets of ``bucket_seconds``:
+job. Here the time line of a user with more than ``rows_per_part`` events is cut
+at quantiles of that user's own event times, so a burst inside an hour is cut
+where it is dense; other users have one bucket. One count per user tells whether
+any cut is needed; then:
 
 * the gap test between neighbours of one bucket runs in a window
   partitioned by ``(user, bucket)``;
@@ -22,21 +25,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import epoch_micros
+from tessera.session import written
 
 DEFAULT_GAP_SECONDS = 6 * 3600
-# Bucket width, a setting for spreading work: any width gives the same sessions; narrower
-# buckets spread a hot user's events over more tasks (the per-bucket table grows by one
-# row per non-empty bucket). Default: one hour, or the gap if that is shorter.
-DEFAULT_BUCKET_SECONDS = 3600
+# Events of one user that a window partition holds, about: any number gives the same sessions.
+ROWS_PER_PART = 200_000
+QUANTILE_ACCURACY = 10_000
+
+
+def _with_buckets(ev: DataFrame, user: str, rows_per_part: int) -> DataFrame:
+    """Add ``_b``: the number of the user's time cuts up to the event (0 for users that need none).
+
+    The cuts of all heavy users come from one aggregate over their events; the
+    table of cuts has a row per heavy user and is joined as its size allows
+    (AQE broadcasts it, or splits the heavy users' side of the join).
+    """
+    per_user = ev.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    most = per_user.agg(F.max("_n")).first()[0] or 0
+    if most <= rows_per_part:
+        return ev.withColumn("_b", F.lit(0))
+    parts = -(-most // rows_per_part)
+    heavy = per_user.where(F.col("_n") > rows_per_part).select(F.col(user).alias("_heavy"))
+    grid = [i / parts for i in range(1, parts)]
+    cuts = written(ev.join(heavy, F.col(user).eqNullSafe(F.col("_heavy")), "left_semi").groupBy(F.col(user).alias("_heavy"))
+                   .agg(F.percentile_approx("_us", grid, max(QUANTILE_ACCURACY, 10 * parts)).alias("_cuts")), "session-cuts")
+    joined = ev.join(cuts, F.col(user).eqNullSafe(F.col("_heavy")), "left")
+    before = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
+    return joined.withColumn("_b", F.coalesce(before, F.lit(0))).drop("_heavy", "_cuts")
 
 
 def _within_buckets(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
-                    bucket_seconds: int | None) -> tuple[DataFrame, int]:
+                    rows_per_part: int) -> tuple[DataFrame, int]:
     """(events with the latest session start seen inside their bucket, the gap in microseconds)."""
-    bucket_us = int((bucket_seconds or min(gap_seconds, DEFAULT_BUCKET_SECONDS)) * 1_000_000)
     gap_us = int(gap_seconds * 1_000_000)
-    ev = (events.withColumn("_us", epoch_micros(events, ts))
-          .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)).cast("long")))
+    ev = _with_buckets(events.withColumn("_us", epoch_micros(events, ts)), user, rows_per_part)
     key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     in_bucket = Window.partitionBy(user, "_b").orderBy("_us", tie)
     running = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -46,10 +68,10 @@ def _within_buckets(events: DataFrame, user: str, ts: str, tie: str, gap_seconds
 
 
 def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
-              bucket_seconds: int | None) -> tuple[DataFrame, DataFrame]:
+              rows_per_part: int) -> tuple[DataFrame, DataFrame]:
     """(events with in-bucket start info, one row per (user, bucket) with the
     bucket's own first start if any and the start carried from earlier buckets)."""
-    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, bucket_seconds)
+    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, rows_per_part)
     key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     per_bucket = inner.groupBy(user, "_b").agg(
         F.min(key).alias("_first"), F.max("_us").alias("_last_us"), F.max("_inner_start").alias("_inner_max"))
@@ -66,7 +88,7 @@ def _bucketed(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int,
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
-               gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None) -> DataFrame:
+               gap_seconds: int = DEFAULT_GAP_SECONDS, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Add ``session_start_us`` / ``session_start_id`` (the key of the session's
     first event) and ``new_session`` to every event.
 
@@ -78,7 +100,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
     first event starts a session and carries the latest start forward. One
     join brings the carry back.
     """
-    inner, buckets = _bucketed(events, user, ts, tie, gap_seconds, bucket_seconds)
+    inner, buckets = _bucketed(events, user, ts, tie, gap_seconds, rows_per_part)
     out = inner.join(buckets, [user, "_b"], "left").withColumn(
         "_start", F.coalesce("_inner_last", "_first_start", "_carry"))
     return (out.withColumn("session_start_us", F.col("_start.us"))
@@ -88,20 +110,20 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: st
 
 
 def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
-             gap_seconds: int = DEFAULT_GAP_SECONDS, bucket_seconds: int | None = None,
+             gap_seconds: int = DEFAULT_GAP_SECONDS, rows_per_part: int = ROWS_PER_PART,
              sums: dict[str, Column] | None = None, sets: dict[str, Column] | None = None) -> DataFrame:
     """One row per session: user, session_start, session_end, n_events, duration_us.
 
     ``sums`` / ``sets`` add, per session, the sum of an event expression or the
     distinct values of one. Events are read and sorted once: inside the
     ``(user, bucket)`` partitioning they are reduced to the pieces of sessions
-    within a bucket and those to one row per bucket (its pieces in an array, at
-    most one more than gaps fit into a bucket). Only bucket rows are shuffled by
+    within a bucket and those to one row per bucket (its pieces in an array, no
+    more than the events of a bucket). Only bucket rows are shuffled by
     user, where one window finds which bucket opens a session and carries the
     latest start forward.
     """
     sums, sets = sums or {}, sets or {}
-    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, bucket_seconds)
+    inner, gap_us = _within_buckets(events, user, ts, tie, gap_seconds, rows_per_part)
     key = F.struct(F.col("_us").alias("us"), F.col(tie).alias("id"))
     pieces = inner.groupBy(user, "_b", "_inner_last").agg(
         F.count(F.lit(1)).alias("n"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"), F.min(key).alias("first"),

@@ -8,8 +8,7 @@ from tests.conftest import SF_SMALL
 
 # Keyless windows allowed only over the one-row-per-day prediction aggregate
 # (first / last k days of the overall trend): bounded by the number of days.
-DAILY_TREND_QUERIES = {"performance_report", "performance_recommendations", "business_alerts", "alert_summary", "alert_texts", "alerts_of_severity",
-                       "alert_actions", "alert_measures", "report_lookup"}
+DAILY_TREND_QUERIES = {"performance_report", "performance_recommendations"}
 
 
 def _nodes(df):
@@ -42,7 +41,8 @@ def test_no_unpartitioned_window_over_rows(no_aqe):
 
 def test_daily_trend_window_sits_on_day_aggregate(no_aqe):
     from tessera.plans.catalog import QUERIES
-    nodes = _nodes(QUERIES["business_alerts"](no_aqe, SF_SMALL))
+    assert not _keyless_windows(_nodes(QUERIES["business_alerts"](no_aqe, SF_SMALL)))
+    nodes = _nodes(QUERIES["performance_report"](no_aqe, SF_SMALL))
     keyless = _keyless_windows(nodes)
     assert keyless
     for i in keyless:

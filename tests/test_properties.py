@@ -27,16 +27,16 @@ def test_exact_quantiles_random(spark, values, probs, rows_per_range):
             assert abs(got[f"q{i}"] - np.percentile(clean, p * 100)) < 1e-9
 
 
-@SETTINGS
+@settings(SETTINGS, max_examples=5)
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 600)), min_size=1, max_size=50),
-       st.integers(1, 120), st.integers(1, 200))
-def test_sessions_random(spark, events, gap_min, bucket_min):
+       st.integers(1, 120), st.integers(1, 40))
+def test_sessions_random(spark, events, gap_min, part_rows):
     base = dt.datetime(2024, 1, 1)
     rows = [(i, base + dt.timedelta(minutes=m), u) for i, (u, m) in enumerate(events)]
     pdf = pd.DataFrame(rows, columns=["event_id", "ts", "user_id"])
     df = spark.createDataFrame(pdf).selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts", "user_id")
 
-    tagged = sessionize(df, gap_seconds=gap_min * 60, bucket_seconds=bucket_min * 60)
+    tagged = sessionize(df, gap_seconds=gap_min * 60, rows_per_part=part_rows)
     got = sorted(tagged.groupBy("user_id", "session_start_us").count().select("user_id", "count")
                  .toPandas().itertuples(index=False, name=None))
     exp = []
@@ -49,5 +49,5 @@ def test_sessions_random(spark, events, gap_min, bucket_min):
             prev, n = ts, n + 1
         exp.append((u, n))
     assert got == sorted(exp)
-    agg = sessions(df, gap_seconds=gap_min * 60, bucket_seconds=bucket_min * 60)
+    agg = sessions(df, gap_seconds=gap_min * 60, rows_per_part=part_rows)
     assert sorted((r["user_id"], r["n_events"]) for r in agg.collect()) == sorted(exp)

@@ -30,6 +30,30 @@ def test_rfm_with_a_hot_customer(spark):
     assert got.loc[0, "frequency"] == n // 3
 
 
+def test_sessions_with_a_burst_inside_an_hour(spark):
+    """One user holds a third of all events within one hour: that hour is cut where it is dense, and sessions stay exact."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import sessions as s
+    from tests.test_sessions_clean import _brute_sessions
+    rng = np.random.default_rng(5)
+    n, rows = 9000, 300
+    base = dt.datetime(2024, 1, 1)
+    user = np.where(np.arange(n) < n // 3, 0, 1 + np.arange(n) % 20)
+    second = np.where(user == 0, 36_000 + rng.beta(0.4, 4, n) * 3600, rng.integers(0, 30 * 86_400, n))
+    pdf = pd.DataFrame({"event_id": np.arange(n), "ts": [base + dt.timedelta(seconds=float(x)) for x in second], "user_id": user})
+    df = spark.createDataFrame(pdf).selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts", "user_id", "'view' AS event_type")
+    inner, _ = s._within_buckets(df, "user_id", "ts", "event_id", 60, rows)
+    sizes = sorted(r["count"] for r in inner.groupBy("user_id", "_b").count().collect())
+    assert sum(sizes) == n and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert inner.where("user_id = 0").select("_b").distinct().count() == 10
+    got = s.sessions(df, gap_seconds=60, rows_per_part=rows).toPandas()
+    got = sorted((r.user_id, r.session_start.to_pydatetime(), r.session_end.to_pydatetime(), r.n_events) for r in got.itertuples())
+    assert got == _brute_sessions(pdf, 60)
+    plain = df.withColumn("user_id", F.when(F.col("user_id") > 0, F.col("user_id")))  # the heavy user has no id
+    assert s.sessions(plain, gap_seconds=60, rows_per_part=rows).where("user_id IS NULL").agg(F.sum("n_events")).first()[0] == n // 3
+
+
 def test_keep_first_with_a_hot_key(spark):
     rows = [(0, i, f"p{i}") for i in range(1000, 0, -1)] + [(k, 1, "x") for k in range(1, 2000)]
     df = spark.createDataFrame(rows, "k int, o int, p string").repartition(8)
