@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, conversation_repair, license_scan, line_dedup, ngram_join, packing, periodic_runs, permutation_index, pii, quality_classifier, quality_rules, source_mix, substring_dedup
+from tessera.llm.oracle import LINE_DEDUP, SUBSTRING_DEDUP
 from tessera.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,4 +123,4 @@ LLM_QUERIES: dict[str, Query] = {
     "op12_periodic_runs": op12_periodic_runs,
     "op13_byte_bpe": op13_byte_bpe,
 }
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {"op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
