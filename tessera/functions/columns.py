@@ -75,8 +75,11 @@ def age_group(c: Column | str) -> Column:
     return band(c, AGE_EDGES, AGE_LABELS)
 
 
-def day_part(hour: Column | str) -> Column:
-    return band(hour, DAYPART_EDGES, DAYPART_LABELS)
+def day_part(hour: Column | str, include_lowest: bool = False) -> Column:
+    """Part of the day of an hour; hour 0 has none unless ``include_lowest`` puts it in the first."""
+    part = band(hour, DAYPART_EDGES, DAYPART_LABELS)
+    h = F.col(hour) if isinstance(hour, str) else hour
+    return F.when(h == DAYPART_EDGES[0], F.lit(DAYPART_LABELS[0])).otherwise(part) if include_lowest else part
 
 
 def rfm_mean(r: Column | str, f: Column | str, m: Column | str) -> Column:

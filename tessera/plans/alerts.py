@@ -6,13 +6,10 @@ Current metrics are computed from real tables as one row, turned into a long
 """
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import alert_id, fmt_percent, round_half_up
-from tessera.session import scratch_path
+from tessera.functions.columns import alert_id, fmt_percent, round_half_up, title_from_snake
 
 # FIXED VALUES: (rule_no, type, metric, operator, threshold, severity, title)
 ALERT_RULES = [
@@ -20,8 +17,9 @@ ALERT_RULES = [
     (2, "model_confidence", "avg_confidence", "<", 0.75, "medium", "Low Model Confidence"),
     (3, "performance_decline", "accuracy_trend", "<", -0.05, "high", "Model Performance Declining"),
     (4, "volume_spike", "volume_ratio", ">", 1.5, "medium", "Unusual Prediction Volume"),
-    (5, "business_opportunity", "opportunity_customers", ">", 0.0, "low", "Business Opportunity: Cross Sell"),
+    (5, "business_opportunity", "opportunity_customers", ">", 0.0, "low", "Business Opportunity"),
 ]
+OPPORTUNITY_KIND = "cross_sell"
 CHURN_CUSTOMER_FLOOR = 0.7      # customers counted as affected by the churn alert
 OPPORTUNITY_SEGMENT = "Loyal Customers"
 OPPORTUNITY_DIVERSITY_CEILING = 0.5
@@ -29,8 +27,10 @@ METRICS = ["avg_churn_risk", "avg_confidence", "accuracy_trend", "volume_ratio",
 
 
 def rules_frame(spark) -> DataFrame:
-    return spark.createDataFrame(ALERT_RULES, "rule_no int, type string, metric string, op string, "
-                                              "threshold double, severity string, title string")
+    rules = spark.createDataFrame(ALERT_RULES, "rule_no int, type string, metric string, op string, "
+                                               "threshold double, severity string, title string")
+    named = F.concat_ws(": ", "title", title_from_snake(F.lit(OPPORTUNITY_KIND)))
+    return rules.withColumn("title", F.when(F.col("type") == "business_opportunity", named).otherwise(F.col("title")))
 
 
 def mean_of(values: Column) -> Column:
@@ -109,7 +109,7 @@ def alert_descriptions(alerts: DataFrame) -> DataFrame:
             .when(F.col("type") == "volume_spike",
                   F.concat(F.lit("Prediction volume is "), F.format_number(v, 1), F.lit("x normal levels")))
             .otherwise(F.concat(F.lit("Identified "), F.col("opportunity_size").cast("string"),
-                                F.lit(" customers for cross_sell campaigns"))))
+                                F.lit(f" customers for {OPPORTUNITY_KIND} campaigns"))))
     return alerts.withColumn("description", desc)
 
 
@@ -172,15 +172,3 @@ def append_history(history: DataFrame | None, new: DataFrame) -> DataFrame:
     """Append new alerts (or prediction records) to a history; columns missing on
     either side become NULL."""
     return new if history is None else history.unionByName(new, allowMissingColumns=True)
-
-
-def save_table(report: DataFrame, name: str) -> str:
-    """Write a report, dashboard or alert table below the shared folder; returns its path."""
-    path = scratch_path(report.sparkSession, "reports", f"{name}-{uuid.uuid4().hex[:8]}")
-    report.write.parquet(path)
-    return path
-
-
-def lookup(spark: SparkSession, path: str, key: str, value) -> DataFrame:
-    """Rows of a saved table with a key (the filter reaches the scan)."""
-    return spark.read.parquet(path).where(F.col(key) == F.lit(value))

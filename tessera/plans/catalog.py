@@ -7,14 +7,16 @@ result compares stably against another engine.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.functions.columns import round_half_up
 from tessera.operators import clean, metrics, sessions, stats
-from tessera.plans import alerts, dashboard, features, insights, monitor, roi, runlog
-from tessera.session import materialize
+from tessera.plans import alerts, dashboard, features, history, insights, monitor, roi, runlog
+from tessera.session import materialize, scratch_path, written
 from tessera.sources import tables as S
 
 AS_OF_ORDERS = "2001-12-31"
@@ -300,11 +302,24 @@ def q_confidence_histogram(c: Ctx):
     return h.select("bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"), "count")
 
 
+@_q
+def q_confidence_heatmap_all_hours(c: Ctx):
+    """The heatmap with midnight in the first day part."""
+    h = dashboard.confidence_heatmap(c.hourly(), include_lowest=True)
+    return h.withColumn("avg_confidence", r6("avg_confidence"))
+
+
 @_q
 def q_dashboard_summary(c: Ctx):
     return dashboard.dashboard_summary(c.hourly())
 
 
+@_q
+def q_dashboard_overview(c: Ctx):
+    """The summary with the day's current stats inside, flattened."""
+    return dashboard.dashboard_overview(c.hourly(), AS_OF_EVENTS).select("*", "current_stats.*").drop("current_stats")
+
+
 # --- prediction log ---------------------------------------------------------------------------
 @_q
 def q_prediction_summary(c: Ctx):
@@ -416,11 +431,15 @@ def _alerts(c: Ctx):
     return alerts.evaluate_rules(m, alerts.rules_frame(c.spark))
 
 
-def _alerts_of_all_rules(c: Ctx):
+def _metrics_of_all_rules(c: Ctx):
     """A log whose confidence falls and whose volume jumps on the last day, and customers who only browse."""
     beh = features.behavioral_features(sessions.behavior_from_events(S.browsing_events(c.t.events)))
     log = S.bursting_log_from_events(c.t.events, AS_OF_EVENTS)
-    m = alerts.alert_metrics(features.segment_customers(c.rfm(), beh), monitor.daily_series(log, None))
+    return alerts.alert_metrics(features.segment_customers(c.rfm(), beh), monitor.daily_series(log, None)), log
+
+
+def _alerts_of_all_rules(c: Ctx):
+    m, log = _metrics_of_all_rules(c)
     return alerts.evaluate_rules(m, alerts.rules_frame(c.spark)), log
 
 
@@ -602,9 +621,21 @@ def q_roi_drivers(c: Ctx):
 
 @_q
 def q_report_lookup(c: Ctx):
-    """Save the alert table, then look the high alerts up by key in the saved table."""
-    return alerts.lookup(c.spark, alerts.save_table(_alerts(c), "business_alerts"), "alert_id", "ALERT_001").select(
-        "alert_id", "type", "severity", "metric_value")
+    """Save the alert table under a name, then look an alert up by that name from another session."""
+    name = history.save_table(_alerts(c), "tessera_business_alerts", kind="type", key="alert_id")
+    return history.lookup(c.spark.newSession(), name, "alert_id", "ALERT_001").select("alert_id", "type", "severity", "metric_value")
+
+
+@_q
+def q_alert_history(c: Ctx):
+    """Alerts of two runs; the first is written twice (a retry), the second numbers its alerts after those of the first."""
+    log = history.RunHistory(c.spark, scratch_path(c.spark, "alert-history", uuid.uuid4().hex))
+    first = written(_alerts(c), "alerts")
+    for _ in range(2):
+        log.append(first, "2024-01-30")
+    issued = log.read(before="2024-01-31").count()
+    log.append(alerts.evaluate_rules(_metrics_of_all_rules(c)[0], alerts.rules_frame(c.spark), issued), "2024-01-31")
+    return log.read().select("run_id", "alert_id", "rule_no", "type", "severity", "metric_value")
 
 
 @_q
@@ -649,7 +680,8 @@ QUERIES = {
     "performance_recommendations": q_performance_recommendations, "business_alerts": q_business_alerts,
     "alerts_all_rules": q_alerts_all_rules, "alert_texts_all_rules": q_alert_texts_all_rules,
     "alert_actions_all_rules": q_alert_actions_all_rules, "alert_measures_all_rules": q_alert_measures_all_rules,
-    "alert_summary_all_rules": q_alert_summary_all_rules,
+    "alert_summary_all_rules": q_alert_summary_all_rules, "alert_history": q_alert_history,
+    "confidence_heatmap_all_hours": q_confidence_heatmap_all_hours, "dashboard_overview": q_dashboard_overview,
     "alert_summary": q_alert_summary, "roi_summary": q_roi_summary, "roi_sensitivity": q_roi_sensitivity,
     "roi_projection": q_roi_projection, "success_rate": q_success_rate, "log_families": q_log_families,
 }

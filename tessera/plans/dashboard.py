@@ -19,7 +19,11 @@ def hourly_rollup(log: DataFrame) -> DataFrame:
         F.avg("confidence").alias("avg_confidence"), F.avg("processing_time").alias("processing_time"))
     # One row per day of the covered span first, dealt out, then the hours of each day: no array or
     # task holds the whole grid. The log is scanned once; the span comes from the hours that occur.
-    per_hour = materialize(per_hour)
+    return hour_grid(materialize(per_hour))
+
+
+def hour_grid(per_hour: DataFrame) -> DataFrame:
+    """The roll-up on the full hour grid from sums per hour that occurs (hour_ts, _count, _pos, avg_confidence, processing_time)."""
     span = per_hour.agg(F.min("hour_ts").alias("_lo"), F.max("hour_ts").alias("_hi"))
     days = span.select("_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"), F.expr("INTERVAL 1 DAY"))).alias("_day"))
     hours = F.sequence(F.col("_day").cast("timestamp_ntz"), F.col("_day").cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS"),
@@ -53,10 +57,10 @@ def hourly_profile(hourly: DataFrame) -> DataFrame:
         round_half_up(F.avg("avg_confidence"), 2).alias("avg_confidence"))
 
 
-def confidence_heatmap(hourly: DataFrame) -> DataFrame:
-    """Long form (day_of_week, hour_group, avg_confidence); hour 0 has no day part."""
+def confidence_heatmap(hourly: DataFrame, include_lowest: bool = False) -> DataFrame:
+    """Long form (day_of_week, hour_group, avg_confidence); hour 0 has no day part unless ``include_lowest``."""
     tagged = hourly.select(F.date_format("hour_ts", "EEEE").alias("day_of_week"),
-                           day_part(F.hour("hour_ts")).alias("hour_group"), "avg_confidence")
+                           day_part(F.hour("hour_ts"), include_lowest).alias("hour_group"), "avg_confidence")
     return (tagged.where(F.col("hour_group").isNotNull())
             .groupBy("day_of_week", "hour_group").agg(F.avg("avg_confidence").alias("avg_confidence")))
 
@@ -85,3 +89,9 @@ def dashboard_summary(hourly: DataFrame) -> DataFrame:
             .orderBy(F.col("_m").desc_nulls_last(), "day_of_week").limit(1)
             .select(F.col("day_of_week").alias("best_confidence_day")))
     return span.crossJoin(peak).crossJoin(best)
+
+
+def dashboard_overview(hourly: DataFrame, as_of: str) -> DataFrame:
+    """The summary with the stats of one day as the struct ``current_stats``."""
+    stats = current_stats(hourly, as_of)
+    return dashboard_summary(hourly).crossJoin(stats.select(F.struct(*stats.columns).alias("current_stats")))

@@ -639,9 +639,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY day DESC) AS
 GROUP BY model_name""",
     "performance_report": _w(SCORED, LOG, DAILY_ALL, PERF_REPORT) + "SELECT * EXCLUDE (raw_conf) FROM report",
     "performance_recommendations": _w(SCORED, LOG, DAILY_ALL, PERF_REPORT) + """
-SELECT 'high' AS priority, 'model_retraining' AS type FROM report WHERE trend_accuracy = 'declining'
-UNION ALL SELECT 'medium', 'model_ensemble' FROM report WHERE raw_conf < 0.8
-UNION ALL SELECT 'low', 'deployment' FROM report WHERE vs_baseline > 10""",
+SELECT 'high' AS priority, 'model_retraining' AS type, 'Model accuracy is declining - schedule retraining' AS description,
+       'Prevents further performance degradation' AS impact FROM report WHERE trend_accuracy = 'declining'
+UNION ALL SELECT 'medium', 'model_ensemble', 'Consider ensemble methods to improve confidence', 'Higher prediction reliability'
+FROM report WHERE raw_conf < 0.8
+UNION ALL SELECT 'low', 'deployment', 'Excellent model performance - ready for production scaling', 'Business value realization'
+FROM report WHERE vs_baseline > 10""",
+    "confidence_heatmap_all_hours": _w(HOURLY) + f"""
+SELECT dayname(hour_ts) AS day_of_week,
+       CASE WHEN hour(hour_ts) <= 6 THEN 'Night' WHEN hour(hour_ts) <= 12 THEN 'Morning'
+            WHEN hour(hour_ts) <= 18 THEN 'Afternoon' ELSE 'Evening' END AS hour_group,
+       {R6('avg(avg_confidence)')} AS avg_confidence FROM hourly GROUP BY 1, 2""",
+    "stream_hourly_view": _w(HOURLY) + f"""
+SELECT hour_ts, predictions_count, positive_predictions, negative_predictions, {R('avg_confidence', 12)} AS avg_confidence,
+       {R('processing_time', 12)} AS processing_time, {R('positive_rate', 12)} AS positive_rate FROM hourly""",
+
     "business_alerts": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + "SELECT * FROM alerts",
     "alert_summary": _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS) + f"""
 SELECT count(*) AS total_alerts, count_if(severity = 'high') AS high_priority,
@@ -779,6 +791,13 @@ WHERE band = CASE WHEN roi > 100 THEN 1 WHEN roi > 50 THEN 2 ELSE 3 END""",
 _ONE, _ALL = _w(RFM, BEH, SEGCUST, LOG, DAILY_ALL, ALERTS), _w(RFM, BROWSING_BEH, SEGCUST, BURSTING_LOG, DAILY_ALL, ALERTS)
 ORACLE_SQL |= {f"{k.removeprefix('business_')}_all_rules": ORACLE_SQL[k].replace(_ONE, _ALL)
                for k in ("business_alerts", "alert_texts", "alert_actions", "alert_measures", "alert_summary")}
+_HISTORY = "run_id, alert_id, rule_no, type, severity, metric_value"
+ORACLE_SQL["alert_history"] = f"""
+SELECT {_HISTORY} FROM (SELECT '2024-01-30' AS run_id, * FROM ({ORACLE_SQL['business_alerts']}))
+UNION ALL
+SELECT {_HISTORY} FROM (SELECT '2024-01-31' AS run_id, * REPLACE (printf('ALERT_%03d',
+    (SELECT count(*) FROM ({ORACLE_SQL['business_alerts']})) + rule_no) AS alert_id) FROM ({ORACLE_SQL['alerts_all_rules']}))"""
+ORACLE_SQL["dashboard_overview"] = f"SELECT * FROM ({ORACLE_SQL['dashboard_summary']}) CROSS JOIN ({ORACLE_SQL['current_stats']})"
 
 
 def _count_filter(sql: str) -> str:

@@ -116,6 +116,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(b.getName() for b in below if fs.exists(done(b, "_SUCCESS")))
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, target = _file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder and what it holds, if it is there."""
     fs, target = _file_system(spark, path)

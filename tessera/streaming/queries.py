@@ -138,6 +138,19 @@ def q_stream_drift_last_rows(spark, sf_dir) -> DataFrame:
     return recent.drift().withColumns({c: round_half_up(c, 6) for c in DRIFT_MEASURES})
 
 
+def q_stream_hourly_view(spark, sf_dir) -> DataFrame:
+    """The hourly roll-up kept up to date while the events come in four deliveries, each with rows of every hour."""
+    sink, ck = _dirs(spark, "hourly-view")
+    src, _ = _dirs(spark, "events-src")
+    events = Tables(spark, sf_dir).events
+    for part in (2, 0, 3, 1):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).write.mode("append").parquet(src)
+    view = running.HourlyView(spark, sink, every=2)
+    log = st.prediction_log_stream(st.read_stream(spark, src, "events", max_files_per_trigger=1))
+    st.run_to_completion(log, sink, ck, foreach_batch=view.append)
+    return view.read().withColumns({c: round_half_up(c, 12) for c in ("avg_confidence", "processing_time", "positive_rate")})
+
+
 def q_stream_sessions(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "sessions")
     st.run_to_completion(st.sessions_stream(_events(spark, sf_dir)), sink, ck)
@@ -182,4 +195,5 @@ STREAM_QUERIES = {
     "stream_rollup": q_stream_rollup, "stream_drift": q_stream_drift, "stream_alerts": q_stream_alerts,
     "stream_rfm": q_stream_rfm, "stream_sessions": q_stream_sessions, "stream_dedupe": q_stream_dedupe,
     "stream_scoring": q_stream_scoring, "stream_drift_last_rows": q_stream_drift_last_rows,
+    "stream_hourly_view": q_stream_hourly_view,
 }

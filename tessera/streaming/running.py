@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import try_ratio
+from tessera.plans.dashboard import hour_grid
 from tessera.plans.monitor import drift_of
 from tessera.streaming.change_log import BUCKETS, EVERY, ChangeLog
 
@@ -66,3 +68,29 @@ class RecentRows:
 def drift_sink(recent: RecentRows) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer that keeps ``recent`` up to date."""
     return recent.append
+
+
+# --- hourly roll-up kept up to date (A10) ----------------------------------------------------
+class HourlyView:
+    """Sums per hour of a prediction log that arrives in any order: a batch adds its part to the hours it touches."""
+
+    _SUMS = ["_count", "_pos", "c", "nc", "t", "nt"]
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, every: int = EVERY):
+        merge = lambda rows: rows.groupBy("hour_ts").agg(*(F.sum(x).alias(x) for x in self._SUMS))
+        self.log = ChangeLog(spark, path, "hour_ts timestamp_ntz, _count long, _pos long, c double, nc long, t double, nt long", ["hour_ts"], merge, buckets, every)
+
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        """Take a micro-batch of the log, late rows included."""
+        hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+        parts = batch.groupBy(hour.alias("hour_ts")).agg(
+            F.count(F.lit(1)).alias("_count"), F.sum(F.col("prediction").cast("long")).alias("_pos"), F.sum("confidence").alias("c"), F.count("confidence").alias("nc"),
+            F.sum("processing_time").alias("t"), F.count("processing_time").alias("nt"))
+        self.log.append(parts, batch_id)
+
+    def read(self) -> DataFrame | None:
+        """The roll-up on the full hour grid so far (None before the first batch)."""
+        sums = self.log.read()
+        if sums is None:
+            return None
+        return hour_grid(sums.select("hour_ts", "_count", "_pos", try_ratio(F.col("c"), F.col("nc")).alias("avg_confidence"), try_ratio(F.col("t"), F.col("nt")).alias("processing_time")))
