@@ -15,34 +15,38 @@ meets the only automaton that can know it:
 2. Equal segments are one content, kept with its first place.  Contents are
    dealt to shards by anchor, about ``SHARD_CONTENTS`` to a shard.
 3. A shard streams its contents, by first place, through a suffix automaton of
-   the words before them: the matching statistics give, at every word, the
-   state of the last ``WINDOW`` words, and the state's first occurrence is the
-   window's first place.  What is new extends the automaton.
+   the words before them: the matching statistics tell, at every word, whether
+   the last ``WINDOW`` words stand earlier.  What is new extends the automaton.
+   (Equal windows have their anchor at the same word, so none is twice in a segment.)
 4. An anchor with more than ``HOT_CONTENTS`` contents would make a shard grow
    without limit; its windows are grouped by their own hash instead, which
-   spreads them and combines equal ones before the shuffle.
-5. First places go back to every occurrence, and each document drops what its
-   windows cover (the spans are maximal unions of such windows).
+   spreads them, combines equal ones before the shuffle and gives the same places.
+5. At its first place a content loses the windows found by then, at every other
+   place all of its windows stand earlier; one bit mask per content goes back to
+   the occurrences, and each document drops what its windows cover (the spans are
+   maximal unions of such windows).
 
 Cases: a null text has no words; a null doc_id comes before all others; rows
-that share a doc_id count as the same document; texts of fewer than ``WINDOW``
-words are kept whole; an empty table gives an empty result; other columns are
-ignored.  Words are compared by 64-bit hashes, contents by their 64-bit hash
+that share a doc_id with other texts (or have none) are documents of their own,
+by the text's hash, and rows equal in doc_id and text count as one document
+(each loses the same words); lists are kept by id and text, so rows without an
+id share none that grows with their number; texts of fewer than ``WINDOW`` words
+are kept whole; an empty table gives an empty result; other columns are ignored.  Words are compared by 64-bit hashes, contents by their 64-bit hash
 and anchor.
 """
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
-from tessera.llm.textops import RangeHash, Slice, _WORD_MULT, cover, slices, text_slices
+from tessera.llm.textops import RangeHash, Slice, _WORD_MULT, cover, keyed_slices, slices, text_slices
 
 WINDOW = 20
 GRAM = 8
@@ -96,22 +100,22 @@ def _emit_anchors(batches):
 
 
 def _emit_segments(batches):
-    for s in text_slices(batches):
+    for keys, s in (pair for batch in batches for pair in keyed_slices(batch)):
         doc, start, n, anchor, content, _ = segments(s)
-        ids = s.ids.cast(pa.int64()).fill_null(NULL_ID).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array((start - s.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], names=["doc_id", "start", "n", "anchor", "content"])
+        ids, keys = s.ids.to_numpy(), keys.to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(keys[doc]), pa.array((start - s.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], names=["doc_id", "text_key", "start", "n", "anchor", "content"])
 
 
 def _emit_words(batches):
-    """Rows (doc_id, text, list of wanted segments) -> the segments' word hashes."""
+    """Rows (doc_id, text, list of wanted segments, text_key) -> the segments' word hashes."""
     for batch in batches:
-        wanted = batch.column(2)
+        wanted, keys = batch.column(2), batch.column(3).to_numpy()
         at = 0
         for s in slices(batch.column(0), batch.column(1)):
             s.split_words()
             words = s.word_hashes()
             h = RangeHash(words, _WORD_MULT)
-            mine = wanted.slice(at, s.n_docs)
+            mine, key = wanted.slice(at, s.n_docs), keys[at:at + s.n_docs]
             at += s.n_docs
             flat = mine.flatten()
             if not len(flat):
@@ -120,7 +124,7 @@ def _emit_words(batches):
             start, n, anchor, content = (flat.field(k).to_numpy() for k in ("start", "n", "anchor", "content"))
             lo = s.first[doc] + start
             hi = lo + n + WINDOW - 1
-            ok = hi <= s.first[doc + 1]  # rows that share an id may have other texts
+            ok = hi <= s.first[doc + 1]  # texts are found by hash
             ok[ok] = h(lo[ok], hi[ok]).view(np.int64) == content[ok]
             lo, hi = lo[ok], hi[ok]
             size = hi - lo
@@ -128,7 +132,7 @@ def _emit_words(batches):
             flat_words = words[np.repeat(lo - (ends - size), size) + np.arange(int(size.sum()))]
             binary = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends * 8).astype(np.int32).tobytes()), pa.py_buffer(flat_words.tobytes())])
             ids = s.ids.cast(pa.int64()).to_numpy()[doc[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(start[ok]), pa.array(n[ok]), pa.array(anchor[ok]), pa.array(content[ok]), binary, flat.field("hot").filter(pa.array(ok))], names=["doc_id", "start", "n", "anchor", "content", "words", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key[doc[ok]]), pa.array(start[ok]), pa.array(n[ok]), pa.array(anchor[ok]), pa.array(content[ok]), binary, flat.field("hot").filter(pa.array(ok))], names=["doc_id", "text_key", "start", "n", "anchor", "content", "words", "hot"])
 
 
 class Automaton:
@@ -196,35 +200,24 @@ class Automaton:
 
 
 def _first_places(shard: pd.DataFrame) -> pd.DataFrame:
-    """Stream the contents of a shard, by first place, through the automaton of those before."""
-    shard = shard.drop_duplicates(["anchor", "content"]).sort_values(["doc_id", "start"], kind="stable")
-    automaton, place = Automaton(), 0
-    owner_place, owner_doc, owner_start = [], [], []
-    docs, starts = [], []
-    for doc, start, n, raw in zip(shard["doc_id"], shard["start"], shard["n"], shard["words"], strict=True):
+    """Stream the contents of a shard, by first place, through the automaton of those before: the windows found, as bits."""
+    shard = shard.sort_values(["doc_id", "text_key", "start"], kind="stable")
+    automaton, place, masks = Automaton(), 0, []
+    for raw in shard["words"]:
         words = np.frombuffer(raw, np.uint64).tolist()
         found = automaton.matches(words, WINDOW)
-        f_doc, f_start = [doc] * n, list(range(start, start + n))
-        for j, end in enumerate(found):
-            if end >= 0:
-                k = bisect_right(owner_place, end) - 1
-                f_doc[j], f_start[j] = owner_doc[k], owner_start[k] + end - owner_place[k] - WINDOW + 1
         if -1 in found:
             automaton.add(words, place)
-            owner_place.append(place)
-            owner_doc.append(doc)
-            owner_start.append(start)
             place += len(words)
-        docs.append(f_doc)
-        starts.append(f_start)
-    return pd.DataFrame({"anchor": shard["anchor"].to_numpy(), "content": shard["content"].to_numpy(), "f_doc": docs, "f_start": starts})
+        masks.append(sum(1 << j for j, end in enumerate(found) if end >= 0))
+    return shard[["anchor", "content", "doc_id", "text_key", "start"]].assign(mask=masks)
 
 
 def _emit_windows(batches):
     """Windows of hot contents: their own hash, with the content and the number in it."""
     for batch in batches:
-        doc, start, n, anchor, content = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        raw = batch.column(5)
+        doc, key, start, n, anchor, content = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        raw = batch.column(6)
         if not len(n):
             continue
         words = np.frombuffer(b"".join(raw.to_pylist()), np.uint64)
@@ -234,35 +227,41 @@ def _emit_windows(batches):
         j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         at = base[row] + j
         h = RangeHash(words, _WORD_MULT)(at, at + WINDOW)
-        yield pa.RecordBatch.from_arrays([pa.array(anchor[row]), pa.array(content[row]), pa.array(j.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(doc[row]), pa.array((start[row] + j).astype(np.int32))], names=["anchor", "content", "j", "window", "doc_id", "start"])
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[row]), pa.array(content[row]), pa.array(j.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(doc[row]), pa.array(key[row]), pa.array((start[row] + j).astype(np.int32))], names=["anchor", "content", "j", "window", "doc_id", "text_key", "start"])
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """(doc_id, start, content, mask): segments with windows (bits of the mask) that also start earlier.
+    """(doc_id, text_key, start, content, mask, n): segments with windows (bits of the mask) that also start earlier.
 
-    ``texts``: doc_id (never null) and text.
+    ``texts``: doc_id (never null), text and text_key (a hash of the text).
     """
     # written, so that the join below is a plain one, of which Spark splits the hot keys
     anchors = written(texts.mapInArrow(_emit_anchors, "anchor long").groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
-    held = written(texts.mapInArrow(_emit_segments, "doc_id long, start int, n int, anchor long, content long").join(anchors, "anchor"), "segments")
-    contents = written(held.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")).select("anchor", "content", "f.*"), "contents")
+    held = written(texts.mapInArrow(_emit_segments, "doc_id long, text_key long, start int, n int, anchor long, content long").join(anchors, "anchor"), "segments")
+    contents = written(held.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "text_key", "start", "n")).alias("f")).select("anchor", "content", "f.*"), "contents")
     many = contents.groupBy("anchor").count().where(F.col("count") > HOT_CONTENTS).select("anchor", F.lit(True).alias("hot"))
     tagged = contents.join(many, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    wanted = tagged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor", "content", "hot")).alias("wanted"))
-    worded = written(texts.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-                     .mapInArrow(_emit_words, "doc_id long, start int, n int, anchor long, content long, words binary, hot boolean"), "contents_words")
+    wanted = tagged.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n", "anchor", "content", "hot")).alias("wanted"))
+    one = F.row_number().over(W.partitionBy("doc_id", "text_key").orderBy(F.lit(0)))  # of a row that is repeated
+    asked = texts.join(wanted, ["doc_id", "text_key"]).withColumn("copy", one).where("copy = 1")
+    worded = written(asked.select("doc_id", "text", "wanted", "text_key")
+                     .mapInArrow(_emit_words, "doc_id long, text_key long, start int, n int, anchor long, content long, words binary, hot boolean"), "contents_words")
     shards = max(1, -(-contents.count() // SHARD_CONTENTS))
     by_automaton = (worded.where("NOT hot").drop("hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-                    .groupBy("shard").applyInPandas(_first_places, "anchor long, content long, f_doc array<long>, f_start array<int>"))
-    windows = worded.where("hot").drop("hot").mapInArrow(_emit_windows, "anchor long, content long, j int, window long, doc_id long, start int")
-    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    by_window = (windows.select("anchor", "content", "j", "window").join(first, "window")
-                 .groupBy("anchor", "content").agg(F.array_sort(F.collect_list(F.struct("j", "first"))).alias("f"))  # at most WINDOW - GRAM + 1 windows of a content
-                 .select("anchor", "content", F.col("f.first.doc_id").alias("f_doc"), F.col("f.first.start").alias("f_start")))
-    places = by_automaton.unionByName(by_window)
-    earlier = lambda j: (F.get("f_doc", j) < F.col("doc_id")) | ((F.get("f_doc", j) == F.col("doc_id")) & (F.get("f_start", j) < F.col("start") + j))
-    bits = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0), lambda a, j: a + F.when(earlier(j), F.element_at(F.array(*(F.lit(1 << b) for b in range(WINDOW))), j + 1)).otherwise(0))
-    return held.join(places, ["anchor", "content"]).withColumn("mask", bits).where("mask > 0").select("doc_id", "start", "content", "mask", "n")
+                    .groupBy("shard").applyInPandas(_first_places, "anchor long, content long, doc_id long, text_key long, start int, mask int"))
+    windows = worded.where("hot").drop("hot").mapInArrow(_emit_windows, "anchor long, content long, j int, window long, doc_id long, text_key long, start int")
+    first = windows.groupBy("window").agg(F.min(_place()).alias("first"))
+    bit = F.element_at(F.array(*(F.lit(1 << b) for b in range(WINDOW))), F.col("j") + 1)
+    by_window = (windows.join(first, "window").groupBy("anchor", "content")
+                 .agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"), F.min("start").alias("start"), F.bit_or(F.when(F.col("first") < _place(), bit).otherwise(0)).alias("mask")))
+    places = by_automaton.unionByName(by_window).select("anchor", "content", _place().alias("first"), "mask")
+    every = F.element_at(F.array(*(F.lit((1 << b) - 1) for b in range(1, WINDOW + 1))), F.col("n"))
+    found = held.join(places, ["anchor", "content"]).withColumn("mask", F.when(F.col("first") == _place(), F.col("mask")).otherwise(every))
+    return found.where("mask > 0").select("doc_id", "text_key", "start", "content", "mask", "n")
+
+
+def _place():
+    return F.struct("doc_id", "text_key", "start")
 
 
 def _apply(keep_text: bool):
@@ -306,8 +305,9 @@ def _apply(keep_text: bool):
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per document: n_words, n_removed and the digest of the kept words (or the kept text, null if unchanged)."""
-    texts = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    spans = repeated_spans(texts).groupBy("doc_id").agg(F.collect_list(F.struct("start", "content", "mask", "n")).alias("spans"))
+    text = docs[text_col].cast("string")
+    texts = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    spans = repeated_spans(texts).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "content", "mask", "n")).alias("spans"))
     last = "kept string" if keep_text else "kept_sha256 string"
-    out = texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_apply(keep_text), f"doc_id long, n_words long, n_removed long, {last}")
+    out = texts.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans").mapInArrow(_apply(keep_text), f"doc_id long, n_words long, n_removed long, {last}")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
