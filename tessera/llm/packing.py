@@ -5,12 +5,16 @@ Documents become token pieces; pieces are dealt evenly to groups of about
 hot), and every group is packed by itself, wasting at most part of one
 sequence against packing all groups together.
 
-In a group the largest open piece is completed: undominated fillings of the
-room beside it are enumerated, fullest first; a branch is cut when its waste
-exceeds what the incumbent minus one sequence allows.  The first incumbent is
-best fit decreasing; a search that meets the lower bound stops, and one that
-has looked at ``MAX_NODES`` sequences without an improvement keeps the
-incumbent (which is a whole packing).
+In a group the largest open piece is completed: the undominated fillings of the
+room beside it are enumerated one by one, fullest first (bit sets of reachable
+sums steer the enumeration); an exact single piece has no alternative, a filling
+whose pieces fit into those of one tried before is left out, and a branch is cut
+when its waste exceeds what the incumbent minus one sequence allows.  The first
+incumbents are best fit decreasing and a few dives: first fillings only, each dive
+completed by best fit from several places on.  A search that meets the lower bound stops, one
+that runs out of branches has proved its incumbent, and one that has looked at
+``MAX_NODES`` fillings since the last improvement keeps the incumbent (which is a
+whole packing).
 
 Cases: a null or empty text is the end id alone; repeated rows are packed one
 by one; an empty table gives an empty result; a text longer than a sequence is
@@ -23,7 +27,9 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,8 +42,12 @@ from tessera.llm.textops import worker_cache
 SEQUENCE = 1024
 END_ID = 2
 GROUP_PIECES = 1 << 14
-MAX_NODES = 20_000
+MAX_NODES = 20_000  # fillings looked at since the last improvement
+SLACKS = (4, 0, 2)  # of the dives; the search goes on with that of the best
+COMPLETIONS = 12  # places of a dive from which best fit completes it
+MOST_COMPARED = 6  # pieces of a filling that is compared with those tried before
 MEMO_WORDS = 400_000  # words whose ids a Python worker keeps; others are encoded anew
+MEMO_CHARS = 40  # of a word that is kept
 
 _ODD_SPACE = re.compile(r"[^\S \n]|  | \n|\n ")  # spacing at which words can't be encoded one by one
 _SPECIAL = "<|endoftext|>"
@@ -68,7 +78,7 @@ class Encoder:
         class Memo(dict):
             def __missing__(self, word):
                 ids = array("I", plain(" " + word)).tobytes()
-                if len(self) < MEMO_WORDS:
+                if len(self) < MEMO_WORDS and len(word) <= MEMO_CHARS:
                     self[word] = ids
                 return ids
 
@@ -164,94 +174,162 @@ class _Sizes:
         return self.order[i - 1] if i else 0
 
 
-def fillings(open_: _Sizes, room: int, tries: int = 64, keep: int = 4) -> list[tuple[int, ...]]:
-    """Undominated sets of sizes for ``room``, fullest first.
-
-    The first size runs down from the largest that fits; behind it stand the
-    largest that still fit.  A set is dominated, and left out, if a single size
-    at least as large as its sum fits (one document in place of several smaller
-    ones leaves those for later).
+def _reachable(open_: _Sizes, room: int) -> list[int]:
+    """Bit sets of the sums up to ``room`` of the smallest sizes: item i for the first i different ones."""
+    out, mask = [1], (1 << (room + 1)) - 1
+    for x in open_.order[:bisect_right(open_.order, room)]:
+        bits, n, step = out[-1], min(open_.n[x], room // x), 1
+        while n > 0:  # counts in powers of two
+            step = min(step, n)
+            bits |= bits << (x * step)
+            n -= step
+            step *= 2
+        out.append(bits & mask)
+    return out
+
+
+def _sets(open_: _Sizes, reach: list[int], total: int, to: int, used: dict[int, int]) -> Iterator[tuple[int, ...]]:
+    """Sets of open sizes, largest first, that add up to ``total`` and use the first ``to`` different sizes."""
+    for j in range(min(to, bisect_right(open_.order, total)) - 1, -1, -1):
+        if not reach[j + 1] >> total & 1:
+            return
+        x = open_.order[j]
+        if used.get(x, 0) < open_.n[x]:
+            if x == total:
+                yield (x,)
+            elif reach[j + 1] >> (total - x) & 1:
+                used[x] = used.get(x, 0) + 1
+                for rest in _sets(open_, reach, total - x, j + 1, used):
+                    yield (x, *rest)
+                used[x] -= 1
+
+
+def fillings(open_: _Sizes, room: int) -> Iterator[tuple[int, ...]]:
+    """Sets of open sizes for ``room`` by falling sum, one by one; the open sizes must not change meanwhile.
+
+    A single size takes the place of every set that is no larger, so the sets
+    end with the largest single size that fits, and one that fits exactly is the
+    only filling.
     """
     top = open_.below(room)
-    if not top:
-        return [()]
-    found: dict[tuple[int, ...], int] = {}
-    at = bisect_right(open_.order, top) - 1
-    for i in range(at, max(-1, at - tries), -1):
-        first = open_.order[i]
-        used, left = [first], room - first
-        open_.take(first)
-        while left and (s := open_.below(left)):
-            open_.take(s)
-            used.append(s)
-            left -= s
-        for s in used:
-            open_.put(s)
-        total = room - left
-        if len(used) == 1 or total > top:
-            found[tuple(used)] = total
-        if not left and len(found) >= keep:
+    if top in (0, room):
+        yield (top,) if top else ()
+        return
+    for i in range(bisect_right(open_.order, room) - 1, -1, -1):  # exact pairs need no sums
+        a = open_.order[i]
+        if 2 * a < room:
             break
-    return sorted(found, key=lambda f: (-found[f], len(f)))[:keep]
+        if open_.n.get(room - a, 0) > (2 * a == room):
+            yield (a, room - a)
+    reach = _reachable(open_, room)
+    for total in range(room, top, -1):
+        if reach[-1] >> total & 1:
+            for s in _sets(open_, reach, total, len(reach) - 1, {}):
+                if len(s) > 2 or total < room:
+                    yield s
+    yield (top,)
+
+
+def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
+    """Whether the sizes of ``b`` can be dealt to those of ``a`` so that none overflows (then ``b`` needn't be tried besides ``a``)."""
+    left = list(a)
+
+    def place(i: int) -> bool:
+        if i == len(b):
+            return True
+        for k in range(len(left)):
+            if left[k] >= b[i] and left[k] not in left[:k]:
+                left[k] -= b[i]
+                if place(i + 1):
+                    return True
+                left[k] += b[i]
+        return False
+    return place(0)
+
+
+def lower_bound(sizes: list[int], room: int = SEQUENCE) -> int:
+    """Bins that any packing needs: for each k, sizes above ``room - k`` stand alone and those from k to half must fit beside the larger half."""
+    n = np.bincount(np.asarray(sizes, np.int64), minlength=room + 1)
+    count, total = np.append(np.cumsum(n[::-1])[::-1], 0), np.append(np.cumsum((n * np.arange(room + 1))[::-1])[::-1], 0)
+    k = np.arange(room // 2 + 1)
+    large, alone = count[room // 2 + 1], count[room - k + 1]
+    free = (large - alone) * room - (total[room // 2 + 1] - total[room - k + 1])
+    rest = total[k] - total[room // 2 + 1]
+    return int((large + np.maximum(0, -(-(rest - free) // room))).max())
+
+
+def ordered_fillings(open_: _Sizes, room: int, slack: int) -> Iterator[tuple[int, ...]]:
+    """The fillings by falling sum, but first the largest single size if it leaves no more than ``slack``: it takes a
+    large piece out of the way that may be hard to place later, for little waste."""
+    top = open_.below(room)
+    early = top and room - top <= slack
+    if early:
+        yield (top,)
+    for f in fillings(open_, room):
+        if not (early and f == (top,)):
+            yield f
+
+
+def dive(sizes: list[int], room: int, slack: int, completions: int = COMPLETIONS) -> list[list[int]]:
+    """The best of: every node's first filling to the end, or up to one of ``completions`` places and best fit from there on."""
+    open_, bins, best = _Sizes(sizes), [], None
+    every = max(1, len(sizes) // (2 * completions))
+    while open_.order:
+        if bins and len(bins) % every == 0:
+            rest = best_fit([s for s in open_.order for _ in range(open_.n[s])], room)
+            if best is None or len(bins) + len(rest) < len(best):
+                best = [*bins, *rest]
+        big = open_.order[-1]
+        open_.take(big)
+        f = next(ordered_fillings(open_, room - big, slack))
+        for s in f:
+            open_.take(s)
+        bins.append([big, *f])
+    return bins if best is None or len(bins) <= len(best) else best
 
 
 def bin_completion(sizes: list[int], room: int = SEQUENCE, max_nodes: int = MAX_NODES) -> list[list[int]]:
-    """A packing of ``sizes`` into as few bins of ``room`` as the search finds."""
-    best = best_fit(sizes, room)
-    total = sum(sizes)
-    least = -(-total // room)
-    half = sum(2 * s > room for s in sizes)
-    nodes = 0
-    while len(best) > max(least, half) and nodes < max_nodes:
-        allowed = (len(best) - 1) * room - total  # waste of a better packing
-        open_, bins, waste, found = _Sizes(sizes), [], 0, None
-        choices: list[list[tuple[int, ...]]] = []
-        descend = True
-        while nodes < max_nodes + len(best):
-            if descend and not open_.order:
-                found = [list(b) for b in bins]
-                break
-            if descend:
+    """A packing of ``sizes`` into as few bins of ``room`` as the search finds; the fewest if it ends before its budget."""
+    best, slack = best_fit(sizes, room), SLACKS[0]
+    least, total = lower_bound(sizes, room), sum(sizes)
+    for k in SLACKS:
+        if len(best) > least and len(found := dive(sizes, room, k)) < len(best):
+            best, slack = found, k
+    open_, bins, waste, nodes = _Sizes(sizes), [], 0, 0
+    tried: list[list[tuple[int, ...]]] = [[]]
+    while len(best) > least and nodes < max_nodes:
+        spare = (len(best) - 1) * room - total - waste  # waste that a better packing can still have
+        filling = None
+        if open_.order and spare >= 0:
+            big = open_.order[-1]
+            open_.take(big)
+            for f in ordered_fillings(open_, room - big, slack):
                 nodes += 1
-                big = open_.order[-1]
-                open_.take(big)
-                choices.append([(big, *f) for f in reversed(fillings(open_, room - big))])
-                open_.put(big)
-            else:  # undo the last bin
-                if not bins:
-                    break
-                last = bins.pop()
-                waste -= room - sum(last)
-                for s in last:
-                    open_.put(s)
-            while choices and not choices[-1] and len(choices) == len(bins) + 1:
-                choices.pop()
-                if not bins:
+                if room - big - sum(f) > spare:
+                    if len(f) != 1:  # those behind are no fuller; a single size may stand before fuller ones
+                        break
+                    continue
+                if f not in tried[-1] and (len(f) > MOST_COMPARED or not any(dominates(t, f) for t in tried[-1])):
+                    filling = f
                     break
-                last = bins.pop()
-                waste -= room - sum(last)
-                for s in last:
-                    open_.put(s)
-            if not choices:
+            open_.put(big)
+        elif spare >= 0:
+            best, nodes = [list(b) for b in bins], 0
+        if filling is None:  # back to the bin before
+            tried.pop()
+            if not bins:
                 break
-            b = choices[-1].pop()
-            w = room - sum(b)
-            if waste + w > allowed:  # the rest of this node is no fuller
-                choices[-1].clear()
-                bins.append(b)
-                waste += w
-                for s in b:
-                    open_.take(s)
-                descend = False
-                continue
-            bins.append(b)
-            waste += w
-            for s in b:
-                open_.take(s)
-            descend = True
-        if found is None or len(found) >= len(best):
-            break
-        best = found
+            last = bins.pop()
+            waste -= room - sum(last)
+            for s in last:
+                open_.put(s)
+            continue
+        tried[-1].append(filling)
+        tried.append([])
+        bins.append((big, *filling))
+        waste += room - big - sum(filling)
+        for s in bins[-1]:
+            open_.take(s)
     return best
 
 

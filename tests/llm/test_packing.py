@@ -60,9 +60,44 @@ def test_small_cases_are_optimal():
                 best = min(best, least(rest, tuple(sorted(rooms[:i] + rooms[i + 1:] + (room - s,)))))
         return best
 
-    for _ in range(60):
-        sizes = sorted((r.randint(10, 70) for _ in range(9)), reverse=True)
-        assert len(packing.bin_completion(list(sizes), 100)) <= least(tuple(sizes), ()) + 1
+    above = 0
+    for _ in range(150):
+        low, high = r.choice([(10, 70), (20, 55), (1, 100)])
+        sizes = sorted((r.randint(low, high) for _ in range(r.randint(0, 10))), reverse=True)
+        best = least(tuple(sizes), ())
+        assert packing.lower_bound(sizes, 100) <= best
+        assert len(packing.bin_completion(list(sizes), 100)) == best
+        above += len(packing.best_fit(sizes, 100)) > best
+    assert above > 0
+
+
+def test_fillings_fall_and_are_complete():
+    """Every set that isn't dominated by a single size comes, by falling sum."""
+    from itertools import combinations
+    r = random.Random(2)
+    for _ in range(100):
+        sizes = [r.randint(1, 30) for _ in range(r.randint(0, 8))]
+        open_ = packing._Sizes(sizes)
+        room = r.randint(1, 60)
+        got = list(packing.fillings(open_, room))
+        assert sum(map(sum, got)) == 0 or [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+        top = max((s for s in sizes if s <= room), default=0)
+        want = {tuple(sorted(c, reverse=True)) for n in range(1, len(sizes) + 1) for c in combinations(sizes, n) if top < sum(c) <= room}
+        want = {(top,)} if top == room else want | ({(top,)} if top else {()})
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_dominance():
+    assert packing.dominates((60, 40), (30, 30, 40)) and packing.dominates((60, 40), (59, 40)) and packing.dominates((5,), ())
+    assert not packing.dominates((60, 40), (50, 50)) and not packing.dominates((30, 30), (60,))
+
+
+def test_large_groups_end_near_the_bound():
+    r = random.Random(3)
+    sizes = [min(1023, int(r.lognormvariate(6, 0.9)) + 1) for _ in range(6000)]
+    packed = packing.bin_completion(sizes)
+    assert sorted(s for b in packed for s in b) == sorted(sizes) and max(map(sum, packed)) <= 1024
+    assert len(packed) <= packing.lower_bound(sizes) * 1.01 and len(packed) <= len(packing.best_fit(sizes, 1024))
 
 
 def test_packed_pieces_are_whole(spark):
