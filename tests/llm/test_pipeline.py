@@ -10,6 +10,7 @@ def test_stages_follow_each_other(spark):
     from test_ngram_join import plain as near_plain
     from test_line_dedup import plain as line_plain
 
+    from tessera.llm import line_dedup
     from tessera.llm import quality_rules as qr
     from tessera.llm.tables import table, written
     docs = table(spark, SF, "documents")
@@ -17,7 +18,7 @@ def test_stages_follow_each_other(spark):
     want = {r.doc_id for r in qr.judge(docs, table(spark, SF, "labels")).where("kept").collect()}
     assert {r.doc_id for r in kept.collect()} == want and kept.columns == docs.columns
     lined = written(cp.lines(spark, kept, SF), "t")
-    counts = line_plain([(r.doc_id, r.text) for r in kept.collect()], 16)
+    counts = line_plain([(r.doc_id, r.text) for r in kept.collect()], line_dedup.MIN_WORDS)
     gone = {i for i, (n, removed, _) in counts.items() if n == removed}
     assert {r.doc_id for r in lined.collect()} == want - gone
     assert all(r.n_chars == len(r.text) for r in lined.collect())
@@ -36,5 +37,5 @@ def test_registered_queries():
     import __spark_entry__ as entry
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert "corpus_pipeline" in sys.modules
