@@ -15,7 +15,18 @@ many lines.  A maximal repeated run is the union of the shortest runs with
 ``min_words`` words that start, or end, at each of its lines; such a run of k
 lines is named by its first and its last 2**j lines (2**j <= k < 2**(j+1)), so
 doubling stops at ``min_words`` lines.  With ``min_words`` 1 the shortest runs
-are single lines, and their names decide without a doubling.
+are single lines, and the intervals of one common line decide the deletions.
+
+``maximal_runs`` builds the whole suffix array of the repeated lines: a rank is
+the number of smaller suffixes, and a round orders the suffixes that still share
+a rank by the rank of the suffix 2**j lines on (prefix sums over the different
+pairs, cut into value ranges).  A suffix ends before a line that stands only
+once and at its document's end.  The ranks of all rounds then give the longest
+common prefix of neighbours in the array by halving steps.  The larger of its
+two is the longest run at a line that stands elsewhere too (in another document
+or, overlapping or not, in its own); it is maximal where the run of the line
+before doesn't hold it.  ``report`` counts the maximal runs (``n_runs``) and
+gives the longest one's lines (``longest_run``; 0: none) of each document.
 
 Cases: a null text has no lines and stays null; lines without words are never
 deleted; a null doc_id comes before all others; rows equal in doc_id and text
@@ -28,10 +39,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import written
+from tessera.operators.ordered import ordered_prefix_sum
 from tessera.llm.textops import RangeHash, Slice, _WORD_MULT, cover, slices
 
 MIN_WORDS = 1
@@ -96,10 +108,14 @@ def _shifted(names: DataFrame, by, alias: str) -> DataFrame:
     return names.select("doc_id", "text_key", (F.col("line") - by).alias("line"), F.col("name").alias(alias))
 
 
-def repeated_runs(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, start, k): shortest runs of lines with ``min_words`` words that also start earlier."""
+def repeated_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The lines that stand at two places or more, with ``name``, the first of them, and the lines that ``min_words`` words take."""
     lines = written(texts.mapInArrow(_emit_lines(min_words), "doc_id long, text_key long, line int, h long, from_here int, to_here int"), "lines")
-    base = written(_named(lines, ["h"]).select(*_AT, "name", "from_here", "to_here").dropDuplicates(_AT), "names")
+    return written(_named(lines, ["h"]).select(*_AT, "h", "name", "from_here", "to_here").dropDuplicates(_AT), "names")
+
+
+def repeated_runs(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_key, start, k): shortest runs of lines with ``min_words`` words that also start earlier."""
     if min_words <= 1:
         return base.where(F.col("name") < _place()).select("doc_id", "text_key", F.col("line").alias("start"), F.lit(1).alias("k"))
     runs = F.array(F.struct(F.col("line").alias("start"), F.col("from_here").alias("k")), F.struct((F.col("line") - F.col("to_here") + 1).alias("start"), F.col("to_here").alias("k")))
@@ -118,6 +134,53 @@ def repeated_runs(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return found.where(F.col("name") < _place()).select("doc_id", "text_key", F.col("line").alias("start"), "k")
 
 
+def _numbered(base: DataFrame) -> DataFrame:
+    """(place, at, h): ``at`` numbers the lines in corpus order, with a gap after each document."""
+    docs = written(base.groupBy("doc_id", "text_key").agg((F.max("line").cast("long") + 2).alias("n")), "documents")
+    first = ordered_prefix_sum(docs, ["doc_id", "text_key"], "n", "first").select("doc_id", "text_key", "first")
+    return written(base.join(first, ["doc_id", "text_key"]).select(*_AT, (F.col("first") + F.col("line")).alias("at"), "h"), "numbered")
+
+
+def _ranked(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Suffix ranks (at, rank) of the numbered lines, and per round the (at, rank) that share 2**round lines with another.
+
+    Suffixes equal up to their end share a rank.
+    """
+    groups = written(lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "groups")
+    start = ordered_prefix_sum(groups, ["h"], "n", "rank").select("h", "rank")
+    shared = written(lines.select("at", "h").join(start, "h").select("at", "rank"), "ranks")
+    size, done, levels = 1, [], []
+    while True:
+        levels.append(shared)
+        ranks = reduce(DataFrame.unionByName, [shared.withColumn("live", F.lit(True)), *(d.withColumn("live", F.lit(False)) for d in done)])
+        further = ranks.select((F.col("at") - size).alias("at"), F.col("rank").alias("second"), "live")
+        pairs = written(shared.join(further, "at", "left").select("at", "rank", F.coalesce("second", F.lit(-1)).alias("second"), F.coalesce("live", F.lit(False)).alias("live")), "pairs")
+        groups = written(pairs.groupBy("rank", "second").agg(F.count(F.lit(1)).alias("n")), "groups")
+        before = written(ordered_prefix_sum(groups, ["second"], "n", "before", ["rank"]), "groups")
+        refined = written(pairs.join(before, ["rank", "second"]).select("at", (F.col("rank") + F.col("before")).alias("rank"), (F.col("live") & (F.col("n") > 1)).alias("live")), "ranks")
+        done.append(refined.where("NOT live").select("at", "rank"))
+        shared, size = refined.where("live").select("at", "rank"), 2 * size
+        if shared.isEmpty():
+            return reduce(DataFrame.unionByName, done), levels
+
+
+def maximal_runs(base: DataFrame) -> DataFrame:
+    """(doc_id, text_key, line, k): maximal runs of k lines that also stand elsewhere, by the suffix array of ``repeated_lines``."""
+    lines = _numbered(base)
+    ranks, levels = _ranked(lines)
+    order = written(ordered_prefix_sum(ranks.withColumn("one", F.lit(1)), ["rank", "at"], "one", "i").select("i", "at"), "suffixes")
+    common = written(order.join(order.select((F.col("i") - 1).alias("i"), F.col("at").alias("next")), "i").select("at", "next", F.lit(0).cast("long").alias("lcp")), "neighbours")
+    for j in reversed(range(len(levels))):
+        a = levels[j].select(F.col("at").alias("a"), F.col("rank").alias("rank_a"))
+        b = levels[j].select(F.col("at").alias("b"), F.col("rank").alias("rank_b"))
+        both = common.withColumn("a", F.col("at") + F.col("lcp")).join(a, "a", "left").withColumn("b", F.col("next") + F.col("lcp")).join(b, "b", "left")
+        common = written(both.select("at", "next", (F.col("lcp") + F.when(F.col("rank_a") == F.col("rank_b"), 1 << j).otherwise(0)).alias("lcp")), "neighbours")
+    longest = common.select(F.explode(F.array("at", "next")).alias("at"), "lcp").groupBy("at").agg(F.max("lcp").alias("k"))
+    by_place = Window.partitionBy("doc_id", "text_key").orderBy("line")  # within a document, which is one row of the input
+    before = F.when(F.lag("line").over(by_place) == F.col("line") - 1, F.lag("k").over(by_place))
+    return lines.join(longest, "at").withColumn("before", before).where("before IS NULL OR before <= k").select(*_AT, "k")
+
+
 def _delete(batches):
     for batch in batches:
         at = 0
@@ -151,17 +214,26 @@ def _delete(batches):
                     if x > s.offsets[d + 1] and text.endswith(b"\n"):  # the last line went: so does the line end before it
                         text = text[:-1]
                 texts.append(None if nulls[d] else text.decode())
-            yield pa.RecordBatch.from_arrays([s.ids, batch.column(3).slice(at - s.n_docs, s.n_docs), pa.array(np.diff(first).astype(np.int64)), pa.array(n_gone.astype(np.int64)), pa.array(s.n_words.astype(np.int64)), pa.array(w_gone), pa.array(texts, pa.string())], names=["doc_id", "row", "n_lines", "n_removed", "n_words", "n_removed_words", "text"])
+            of_rows = [batch.column(c).slice(at - s.n_docs, s.n_docs) for c in (3, 4, 5)]
+            yield pa.RecordBatch.from_arrays([s.ids, *of_rows, pa.array(np.diff(first).astype(np.int64)), pa.array(n_gone.astype(np.int64)), pa.array(s.n_words.astype(np.int64)), pa.array(w_gone), pa.array(texts, pa.string())], names=["doc_id", "row", "n_runs", "longest_run", "n_lines", "n_removed", "n_words", "n_removed_words", "text"])
+
 
+def delete_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, with_runs: bool = False) -> DataFrame:
+    """One row per document: doc_id, ``row`` (its other columns), counts of lines and words and of those deleted, the text that is left.
 
-def delete_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: doc_id, ``row`` (its other columns), counts of lines and words and of those deleted, the text that is left."""
+    ``with_runs``: also ``n_runs`` and ``longest_run`` of the maximal repeated runs (else 0), from the whole suffix array.
+    """
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc_id"), docs[text_col].cast("string").alias("text"), F.xxhash64(docs[text_col].cast("string")).alias("text_key"), F.struct(*(docs[c] for c in others), F.lit(0).alias("__none")).alias("row"))
-    runs = repeated_runs(rows.select("doc_id", "text", "text_key"), min_words).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "k")).alias("runs"))
-    joined = rows.join(runs, ["doc_id", "text_key"], "left").select("doc_id", "text", "runs", "row")
+    base = repeated_lines(rows.select("doc_id", "text", "text_key"), min_words)
+    copies = repeated_runs(base, min_words).select("doc_id", "text_key", F.struct("start", "k").alias("copy"), F.lit(None).cast("long").alias("k"))
+    if with_runs:
+        copies = copies.unionByName(maximal_runs(base).select("doc_id", "text_key", F.lit(None).alias("copy"), "k"))
+    found = copies.groupBy("doc_id", "text_key").agg(F.collect_list("copy").alias("runs"), F.count("k").alias("n_runs"), F.max("k").alias("longest_run"))
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_runs", "longest_run")]
+    joined = rows.join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "runs", "row", *counts)
     kind = rows.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(_delete, f"doc_id long, row {kind}, n_lines long, n_removed long, n_words long, n_removed_words long, text string")
+    out = joined.mapInArrow(_delete, f"doc_id long, row {kind}, n_runs long, longest_run long, n_lines long, n_removed long, n_words long, n_removed_words long, text string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
 
 
@@ -174,6 +246,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def report(docs: DataFrame, **how) -> DataFrame:
-    """One row per document: lines, deleted lines and words, digest of the text that is left (a null text: null)."""
-    out = delete_copies(docs, **how)
-    return out.select("doc_id", "n_lines", "n_removed", "n_words", "n_removed_words", F.sha2("text", 256).alias("kept_sha256"))
+    """One row per document: lines, deleted lines and words, maximal repeated runs, digest of the text that is left (a null text: null)."""
+    out = delete_copies(docs, with_runs=True, **how)
+    return out.select("doc_id", "n_lines", "n_removed", "n_words", "n_removed_words", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256"))

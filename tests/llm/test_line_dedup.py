@@ -35,6 +35,53 @@ def plain(rows, least):
     return out
 
 
+def plain_runs(rows):
+    """(number of maximal runs, lines of the longest) per document, by comparing every line with every other."""
+    seqs = {i: [tuple(x.split()) for x in t.split("\n") if x.split()] for i, t in set(rows)}
+    places = {}
+    for i, seq in seqs.items():
+        for x, line in enumerate(seq):
+            places.setdefault(line, []).append((i, x))
+    out = {}
+    for i, seq in seqs.items():
+        best = []
+        for x in range(len(seq)):
+            longest = 0
+            for j, y in places[seq[x]]:
+                k = 0
+                while (i, x) != (j, y) and x + k < len(seq) and y + k < len(seqs[j]) and seq[x + k] == seqs[j][y + k]:
+                    k += 1
+                longest = max(longest, k)
+            best.append(longest)
+        out[i] = (sum(k > 0 and (x == 0 or best[x - 1] <= k) for x, k in enumerate(best)), max(best, default=0))
+    return out
+
+
+def test_maximal_runs_equal_brute_force(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(k, "\n".join(rng.choice("abcd") for _ in range(rng.randrange(12)))) for k in range(40)]
+    block = [f"line {k} of a passage" for k in range(21)]
+    rows += [(100, "\n".join(block)), (101, "own\n" + "\n".join(block[3:]) + "\nend"), (102, "\n".join(block[:19] + ["q"])),
+             (103, "\n".join(["again"] * 33)), (104, "\n".join(block * 2)), (105, ""), (106, "nothing like it"), (106, "nothing like it")]
+    got = {r.doc_id: (r.n_runs, r.longest_run) for r in ld.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_runs(rows) and got[104][1] == 21 and got[103] == (2, 32)
+
+
+def test_maximal_runs_of_the_sample(spark):
+    docs = sample(spark).select("doc_id", "text")
+    got = {r.doc_id: (r.n_runs, r.longest_run) for r in ld.report(docs).collect()}
+    assert got == plain_runs([(r.doc_id, r.text or "") for r in docs.collect()])
+    assert max(k for _, k in got.values()) > 1
+
+
+def test_runs_of_rows_without_id_and_of_no_rows(spark):
+    rows = [(None, "a b\nc d"), (None, "a b\nc d"), (None, "x\na b\nc d"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.n_lines, r.n_runs, r.longest_run) for r in ld.report(docs).collect()) == [(0, 0, 0), (2, 1, 2), (2, 1, 2), (3, 1, 2)]
+    assert ld.report(docs.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("least", [1, 5, 16])
 def test_equals_brute_force(spark, least):
     a, b, c, d = "one two three", "four five", "six seven eight nine ten eleven", "x"
