@@ -30,8 +30,8 @@ stretches AS (SELECT doc_id, g, min(p) AS p0, list(h ORDER BY p) AS hs
 suffixes AS (SELECT doc_id, p0 + k AS p, hs[k + 1:] AS s FROM (SELECT *, unnest(range(len(hs))) AS k FROM stretches)),
 neighbours AS (SELECT doc_id, p, s, lag(s) OVER o AS a, lead(s) OVER o AS b FROM suffixes WINDOW o AS (ORDER BY s)),
 lcps AS (SELECT doc_id, p, greatest(
-           coalesce(list_position(list_transform(range(1, least(len(s), len(a)) + 1), k -> s[k] <> a[k]), true) - 1, least(len(s), len(a)), 0),
-           coalesce(list_position(list_transform(range(1, least(len(s), len(b)) + 1), k -> s[k] <> b[k]), true) - 1, least(len(s), len(b)), 0)) AS k
+           coalesce(list_position(list_transform(range(1, least(len(s), len(a)) + 1), lambda x: s[x] <> a[x]), true) - 1, least(len(s), len(a)), 0),
+           coalesce(list_position(list_transform(range(1, least(len(s), len(b)) + 1), lambda x: s[x] <> b[x]), true) - 1, least(len(s), len(b)), 0)) AS k
          FROM neighbours),
 runs AS (SELECT doc_id, count(*) FILTER (WHERE k0 IS NULL OR k0 <= k) AS n_runs, max(k) AS longest_run
          FROM (SELECT *, CASE WHEN lag(p) OVER d = p - 1 THEN lag(k) OVER d END AS k0 FROM lcps WINDOW d AS (PARTITION BY doc_id ORDER BY p))
