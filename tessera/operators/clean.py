@@ -103,16 +103,16 @@ def with_anomaly_flags(df: DataFrame, spec: dict[str, float], method: str = "exa
     return out
 
 
-def anomaly_counts(df: DataFrame, spec: dict[str, tuple[str, float]]) -> DataFrame:
+def anomaly_counts(df: DataFrame, spec: dict[str, tuple[str, float]], around: list[dict] | None = None) -> DataFrame:
     """One row: per metric the exact quantile threshold and the count strictly
     above it, plus the total.
 
     ``spec`` maps an output name to ``(column, probability)``. The thresholds are
     one row; the counts above them are one more scan of the columns, combined
-    before the shuffle.
+    before the shuffle. ``around``: brackets of a kept sketch, see ``exact_quantiles_multi``.
     """
     names = list(spec)
-    q = exact_quantiles_multi(df, {spec[n][0]: ([spec[n][1]], f"_t{j}_") for j, n in enumerate(names)})
+    q = exact_quantiles_multi(df, {spec[n][0]: ([spec[n][1]], f"_t{j}_") for j, n in enumerate(names)}, around=around)
     j = df.select(*{spec[n][0] for n in names}).crossJoin(F.broadcast(q))
     aggs = [F.count(F.lit(1)).alias("total_records")]
     for i, n in enumerate(names):

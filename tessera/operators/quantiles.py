@@ -33,24 +33,31 @@ def _edge_names(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
 
-def _brackets(df: DataFrame, items: list[tuple[str, float]]) -> list[dict]:
-    """Per (column, probability): value count ``n``, bracket ``lo`` / ``hi`` (None: open) and how many values lie ``below``."""
+def _sketched(df: DataFrame, items: list[tuple[str, float]]) -> list[dict]:
+    """Per (column, probability): bracket ``lo`` / ``hi`` (None: open) that should hold the quantile."""
     cols = list(dict.fromkeys(c for c, _ in items))
     value = {c: F.col(c).cast("double") for c in cols}
     delta = 2.0 / APPROX_ACCURACY
     grid = {c: sorted({min(max(p + d, 0.0), 1.0) for cc, p in items if cc == c for d in (-delta, delta)}) for c in cols}
-    row = df.agg(*[F.count(value[c]).alias(f"n{j}") for j, c in enumerate(cols)],
-                 *[F.percentile_approx(value[c], grid[c], APPROX_ACCURACY).alias(f"a{j}") for j, c in enumerate(cols)]).first()
+    row = df.agg(*[F.percentile_approx(value[c], grid[c], APPROX_ACCURACY).alias(f"a{j}") for j, c in enumerate(cols)]).first()
     out = []
     for c, p in items:
         j = cols.index(c)
         at = dict(zip(grid[c], row[f"a{j}"] or []))
-        out.append({"col": c, "p": p, "n": row[f"n{j}"],
+        out.append({"col": c, "p": p,
                     "lo": at.get(p - delta) if p > delta else None, "hi": at.get(p + delta) if p < 1 - delta else None})
-    sides = df.agg(*[x.alias(f"{name}{k}") for k, b in enumerate(out) for name, x in (
+    return out
+
+
+def _brackets(df: DataFrame, found: list[dict]) -> list[dict]:
+    """The brackets with the value count ``n`` and how many values lie ``below``; one that proves too narrow is opened."""
+    value = {b["col"]: F.col(b["col"]).cast("double") for b in found}
+    out = [{k: b[k] for k in ("col", "p", "lo", "hi")} for b in found]
+    sides = df.agg(*[F.count(v).alias(f"n_{c}") for c, v in value.items()], *[x.alias(f"{name}{k}") for k, b in enumerate(out) for name, x in (
         ("below", F.count_if(value[b["col"]] < b["lo"]) if b["lo"] is not None else F.lit(0)),
         ("above", F.count_if(value[b["col"]] > b["hi"]) if b["hi"] is not None else F.lit(0)))]).first()
     for k, b in enumerate(out):
+        b["n"] = sides[f"n_{b['col']}"]
         pos = b["p"] * max(b["n"] - 1, 0)
         b["pos"], b["below"] = pos, sides[f"below{k}"]
         if not b["below"] <= math.floor(pos) or not math.ceil(pos) < b["n"] - sides[f"above{k}"]:
@@ -68,15 +75,17 @@ def _inside(value: F.Column, b: dict) -> F.Column:
 
 
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, tuple[Sequence[float], str]],
-                          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                          rows_per_range: int = ROWS_PER_RANGE, around: list[dict] | None = None) -> DataFrame:
     """One-row frame of exact linear quantiles for several columns at once.
 
     ``spec`` maps a column to ``(probs, prefix)``; the output has columns
     ``{prefix}0..`` per column. NULLs are ignored; an all-NULL column gives NULLs.
+    ``around``: brackets (col, p, lo, hi; in the order of ``spec``) from a sketch
+    that is kept already, instead of a scan; they decide time, not the result.
     """
     items = [(c, float(p)) for c, (probs, _) in spec.items() for p in probs]
     names = [n for _, (probs, prefix) in spec.items() for n in _edge_names(prefix, len(probs))]
-    brackets = _brackets(df, items)
+    brackets = _brackets(df, _sketched(df, items) if around is None else around)
     near = F.filter(F.array(*[
         F.when(_inside(F.col(b["col"]).cast("double"), b), F.struct(F.lit(k).alias("_k"), F.col(b["col"]).cast("double").alias("v")))
         for k, b in enumerate(brackets)]), lambda x: x.isNotNull())

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.functions.columns import round_half_up
-from tessera.operators import clean, metrics, sessions, stats
+from tessera.operators import calibration, clean, metrics, sessions, stats
 from tessera.plans import alerts, dashboard, features, history, insights, monitor, roi, runlog
+from tessera.plans.rolling import RollingQuantiles
 from tessera.session import materialize, scratch_path, written
+from tessera.sources import rejects
 from tessera.sources import tables as S
 
 AS_OF_ORDERS = "2001-12-31"
@@ -149,6 +151,45 @@ def q_anomaly_counts(c: Ctx):
                     r6("high_quantity_threshold").alias("high_quantity_threshold"))
 
 
+@_q
+def q_rolling_thresholds(c: Ctx):
+    """Anomaly counts after four deliveries (the third one twice), bracketed by the sketches kept of every month."""
+    rolled = RollingQuantiles(c.spark, scratch_path(c.spark, "rolling", uuid.uuid4().hex), [col for col, _ in ANOMALY_SPEC.values()])
+    lines = c.lines().withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    for part in (2, 0, 3, 3, 1):
+        rolled.add(lines.where(F.pmod("l_orderkey", F.lit(4)) == part), "month", f"delivery-{part}")
+    a = clean.anomaly_counts(lines, ANOMALY_SPEC, around=rolled.quantiles(list(ANOMALY_SPEC.values())))
+    return a.select("total_records", "high_amount_count", "high_quantity_count",
+                    r6("high_amount_threshold").alias("high_amount_threshold"),
+                    r6("high_quantity_threshold").alias("high_quantity_threshold"))
+
+
+@_q
+def q_reject_table(c: Ctx):
+    """JSON lines of the events read back with a check; rejects keep their text and reason, clean rows have none."""
+    path = scratch_path(c.spark, "records", uuid.uuid4().hex)
+    S.records_from_events(c.t.events).write.text(path)
+    checked = rejects.read_checked(c.spark, path, "event_id bigint, ts timestamp_ntz, value bigint",
+                                   rules={"value_below_one": F.col("value") >= 1}, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    return checked.select("record", "reason")
+
+
+@_q
+def q_score_calibration(c: Ctx):
+    """Calibration curve of every document scorer and its reliability by tenths of the probability."""
+    scored = written(c.scored(), "scored")
+    fit = calibration.platt_fit(scored)
+    bins = calibration.reliability(calibration.calibrated(scored, fit))
+    return calibration_table(bins, fit)
+
+
+def calibration_table(bins: DataFrame, fit: dict[str, tuple[float, float]]) -> DataFrame:
+    curves = bins.sparkSession.createDataFrame([(m, *ab) for m, ab in fit.items()], "model_name string, slope double, intercept double")
+    rounded = [r6(x).alias(x) for x in ("mean_probability", "observed_rate", "brier")]
+    return bins.join(curves, "model_name").select(
+        "model_name", "bin", "n", *rounded, *[round_half_up(x, 4).alias(x) for x in ("slope", "intercept")])
+
+
 @_q
 def q_anomaly_rows(c: Ctx):
     f = clean.with_anomaly_flags(c.lines(), {"l_extendedprice": 0.99, "l_quantity": 0.95})
@@ -649,6 +690,7 @@ def q_roi_recommendations(c: Ctx):
 
 
 QUERIES = {
+    "rolling_thresholds": q_rolling_thresholds, "reject_table": q_reject_table, "score_calibration": q_score_calibration,
     "step_families": q_step_families, "drift_shifted": q_drift_shifted, "drift_advice": q_drift_advice,
     "clean_customers": q_clean_customers, "positive_balances": q_positive_balances, "parse_times": q_parse_times,
     "rejected_times": q_rejected_times, "fk_orphans_of_positive": q_fk_orphans_of_positive,

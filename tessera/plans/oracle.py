@@ -488,6 +488,30 @@ SELECT count(*) AS total_records, count_if(l_extendedprice > ta) AS high_amount_
        count_if(l_quantity > tq) AS high_quantity_count, {R6('max(ta)')} AS high_amount_threshold,
        {R6('max(tq)')} AS high_quantity_threshold
 FROM lineitem CROSS JOIN line_t""",
+    "reject_table": """
+SELECT CASE WHEN event_id % 7 = 0 THEN left(line, length(line) - 1) ELSE line END AS record,
+       CASE WHEN event_id % 7 = 0 OR event_type = 'error' THEN 'malformed' WHEN floor(value) < 1 THEN 'value_below_one' END AS reason
+FROM (SELECT *, '{"event_id":' || event_id || ',"ts":"' || CASE WHEN event_type = 'error' THEN 'not a time'
+      ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END || '","value":' || floor(value)::BIGINT || '}' AS line FROM events)""",
+    "score_calibration": _w(SCORED, """
+stat AS (SELECT model_name, avg(score) AS mean, stddev_pop(score) AS std, sum(label) AS n1, count(*) - sum(label) AS n0
+         FROM scored GROUP BY model_name),
+zs AS (SELECT model_name, (score - mean) / std AS z, CASE WHEN label = 1 THEN (n1 + 1.0::DOUBLE) / (n1 + 2) ELSE 1.0::DOUBLE / (n0 + 2) END AS t
+       FROM scored JOIN stat USING (model_name)),
+newton AS (
+  SELECT model_name, 0 AS i, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM stat
+  UNION ALL
+  SELECT model_name, i + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (SELECT model_name, i, a, b, sum((p - t) * z) AS ga, sum(p - t) AS gb, sum(p * (1 - p) * z * z) AS haa,
+               sum(p * (1 - p) * z) AS hab, sum(p * (1 - p)) AS hbb
+        FROM (SELECT n.*, zs.z, zs.t, 1 / (1 + exp(-(n.a * zs.z + n.b))) AS p FROM newton n JOIN zs USING (model_name) WHERE n.i < 20)
+        GROUP BY model_name, i, a, b)),
+curve AS (SELECT model_name, a / std AS slope, b - a / std * mean AS intercept FROM newton JOIN stat USING (model_name) WHERE i = 20),
+prob AS (SELECT *, 1 / (1 + exp(-(slope * score + intercept))) AS p FROM scored JOIN curve USING (model_name))
+""").replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT model_name, least(floor(p * 10), 9)::INTEGER AS bin, count(*) AS n, {R6('avg(p)')} AS mean_probability,
+       {R6('avg(label::DOUBLE)')} AS observed_rate, {R6('avg((p - label) * (p - label))')} AS brier,
+       {R('max(slope)', 4)} AS slope, {R('max(intercept)', 4)} AS intercept FROM prob GROUP BY 1, 2""",
     "anomaly_rows": _w(LINE_T) + """
 SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_extendedprice > ta AS amount_anomaly,
        l_quantity > tq AS quantity_anomaly
@@ -816,4 +840,5 @@ def _count_filter(sql: str) -> str:
         i = k
 
 
+ORACLE_SQL["rolling_thresholds"] = ORACLE_SQL["anomaly_counts"]
 ORACLE_SQL = {k: _count_filter(v) for k, v in ORACLE_SQL.items()}

@@ -245,6 +245,13 @@ def text_times_from_events(events: DataFrame) -> DataFrame:
                          .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("transaction_date"))
 
 
+def records_from_events(events: DataFrame) -> DataFrame:
+    """events -> JSON lines of id, time and whole value; error events hold a text that is no time, every seventh id loses its last character."""
+    time = F.when(F.col("event_type") == "error", F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    line = F.to_json(F.struct("event_id", time.alias("ts"), F.floor("value").alias("value")))
+    return events.select(F.when(F.col("event_id") % 7 == 0, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value"))
+
+
 def account_holders(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """customer + nation -> customers whose ages run from 0 to 119; the city is "<nation>'s o'er-<segment>" in lower case."""
     return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
