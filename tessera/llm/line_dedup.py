@@ -47,6 +47,8 @@ from tessera.operators.ordered import ordered_prefix_sum
 from tessera.llm.textops import RangeHash, Slice, _WORD_MULT, cover, slices
 
 MIN_WORDS = 1
+#: Rows of one value range of a prefix sum: what a task sorts at once.
+RANGE_ROWS = 1 << 18
 NULL_ID = -(1 << 63)
 
 
@@ -137,7 +139,7 @@ def repeated_runs(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def _numbered(base: DataFrame) -> DataFrame:
     """(place, at, h): ``at`` numbers the lines in corpus order, with a gap after each document."""
     docs = written(base.groupBy("doc_id", "text_key").agg((F.max("line").cast("long") + 2).alias("n")), "documents")
-    first = ordered_prefix_sum(docs, ["doc_id", "text_key"], "n", "first").select("doc_id", "text_key", "first")
+    first = ordered_prefix_sum(docs, ["doc_id", "text_key"], "n", "first", rows_per_range=RANGE_ROWS).select("doc_id", "text_key", "first")
     return written(base.join(first, ["doc_id", "text_key"]).select(*_AT, (F.col("first") + F.col("line")).alias("at"), "h"), "numbered")
 
 
@@ -147,7 +149,7 @@ def _ranked(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     Suffixes equal up to their end share a rank.
     """
     groups = written(lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "groups")
-    start = ordered_prefix_sum(groups, ["h"], "n", "rank").select("h", "rank")
+    start = ordered_prefix_sum(groups, ["h"], "n", "rank", rows_per_range=RANGE_ROWS).select("h", "rank")
     shared = written(lines.select("at", "h").join(start, "h").select("at", "rank"), "ranks")
     size, done, levels = 1, [], []
     while True:
@@ -156,7 +158,7 @@ def _ranked(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         further = ranks.select((F.col("at") - size).alias("at"), F.col("rank").alias("second"), "live")
         pairs = written(shared.join(further, "at", "left").select("at", "rank", F.coalesce("second", F.lit(-1)).alias("second"), F.coalesce("live", F.lit(False)).alias("live")), "pairs")
         groups = written(pairs.groupBy("rank", "second").agg(F.count(F.lit(1)).alias("n")), "groups")
-        before = written(ordered_prefix_sum(groups, ["second"], "n", "before", ["rank"]), "groups")
+        before = written(ordered_prefix_sum(groups, ["second"], "n", "before", ["rank"], RANGE_ROWS), "groups")
         refined = written(pairs.join(before, ["rank", "second"]).select("at", (F.col("rank") + F.col("before")).alias("rank"), (F.col("live") & (F.col("n") > 1)).alias("live")), "ranks")
         done.append(refined.where("NOT live").select("at", "rank"))
         shared, size = refined.where("live").select("at", "rank"), 2 * size
@@ -168,7 +170,7 @@ def maximal_runs(base: DataFrame) -> DataFrame:
     """(doc_id, text_key, line, k): maximal runs of k lines that also stand elsewhere, by the suffix array of ``repeated_lines``."""
     lines = _numbered(base)
     ranks, levels = _ranked(lines)
-    order = written(ordered_prefix_sum(ranks.withColumn("one", F.lit(1)), ["rank", "at"], "one", "i").select("i", "at"), "suffixes")
+    order = written(ordered_prefix_sum(ranks.withColumn("one", F.lit(1)), ["rank", "at"], "one", "i", rows_per_range=RANGE_ROWS).select("i", "at"), "suffixes")
     common = written(order.join(order.select((F.col("i") - 1).alias("i"), F.col("at").alias("next")), "i").select("at", "next", F.lit(0).cast("long").alias("lcp")), "neighbours")
     for j in reversed(range(len(levels))):
         a = levels[j].select(F.col("at").alias("a"), F.col("rank").alias("rank_a"))

@@ -111,3 +111,10 @@ def test_the_query_leaves_no_repeated_line(spark):
     assert got == plain([(r.doc_id, r.text) for r in docs.collect()], 1)
     left = [tuple(x.split()) for r in ld.deduplicated(docs).collect() for x in (r.text or "").split("\n") if x.split()]
     assert len(left) == len(set(left))
+
+
+def test_runs_do_not_depend_on_ranges(spark, monkeypatch):
+    docs = sample(spark).select("doc_id", "text")
+    want = ld.report(docs).collect()
+    monkeypatch.setattr(ld, "RANGE_ROWS", 40)
+    assert sorted(ld.report(docs.repartition(3)).collect()) == sorted(want)
