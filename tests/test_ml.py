@@ -70,3 +70,31 @@ def test_train_evaluate_save_load_score(spark):
     assert a.exceptAll(b).count() == 0
     one = ml.predict_single(spark, models["random_forest"], [0.0, 0.0, 2.0])
     assert one["prediction"] == 1 and 0.5 <= one["confidence"] <= 1.0
+
+
+def test_grid_of_forests_grows_each_tree_once(spark, monkeypatch):
+    train = _data(spark).where("split = 'train'").cache()
+    common = dict(labelCol="label", featuresCol="features", seed=3)
+    fits, fit = [], ml.RandomForestClassifier._fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit", lambda self, d: fits.append(
+        (self.getNumTrees(), self.getMaxDepth(), self.getMinInstancesPerNode())) or fit(self, d))
+    monkeypatch.setitem(ml.PARAM_GRIDS, "random_forest", {"numTrees": [2, 5], "maxDepth": [30, 2, 25], "minInstancesPerNode": [1, 4]})
+    model, summary = ml.tune_model(_data(spark), "random_forest", folds=2, key="vec_id")
+    # a fold: 2 and 3 more trees, of depth 30 and 2, 2 leaf sizes (no tree reaches 25); then the best setting as one forest
+    assert len(fits) == 2 * 2 * 2 * 2 + 1 and {f[:2] for f in fits[:-1]} == {(2, 30), (3, 30), (2, 2), (3, 2)}
+    assert model.getNumTrees == fits[-1][0] and summary.first()["best_cv_score"] > 0.9
+    # what is shared is the forest that the setting's own fit gives
+    grid = ml.GridForest(**common)
+    maps = [{grid.numTrees: n, grid.maxDepth: d} for n in (2, 5) for d in (30, 25, 2)]
+    got = dict(grid.fitMultiple(train, maps))
+    for j, m in enumerate(maps):
+        assert sum(p.getNumTrees for p in got[j].parts) == m[grid.numTrees]
+        plain = ml.RandomForestClassifier(**common, numTrees=2, maxDepth=m[grid.maxDepth]).fit(train)
+        body = [x.toDebugString.split("\n", 1)[1] for x in (*plain.trees, *got[j].parts[0].trees)]
+        assert body[:2] == body[2:]
+    # and its score is the mean over all its trees
+    whole = got[3].transform(train).select("vec_id", "rawPrediction").orderBy("vec_id").limit(20).collect()
+    of_parts = [p.transform(train).orderBy("vec_id").limit(20).collect() for p in got[3].parts]
+    for i, r in enumerate(whole):
+        assert abs(r.rawPrediction - sum(p[i].rawPrediction[1] for p in of_parts)) < 1e-9
+    train.unpersist()
