@@ -1,6 +1,6 @@
 """Streaming catalogue entries.
 
-Each entry delivers a whole test table in several files, one a micro-batch, to
+Each entry delivers a whole test table in several deliveries, one a micro-batch, to
 a file source with ``trigger(availableNow=True)``, lets the query commit to a
 sink below the reliable checkpoint folder and returns the sink contents as a
 DataFrame. Event streams end with a heartbeat row, so every window of the data
@@ -40,24 +40,25 @@ def _later(events: DataFrame) -> F.Column:
     return F.col("ts") >= F.lit(STREAM_START).cast("timestamp_ntz")
 
 
-def _delivered(spark, sf_dir, only=None) -> str:
-    """Folder with the events in several deliveries and a closing heartbeat behind them."""
+def _delivered(spark, sf_dir, only=None) -> tuple[str, int]:
+    """Folder with the events in several deliveries and a closing heartbeat behind them, and the files of a delivery."""
     src, _ = _dirs(spark, "events-src")
     events = Tables(spark, sf_dir).events
-    st.replay(events if only is None else events.where(only(events)), src, closing={"event_id": st.CLOSING_ID, "event_type": "heartbeat", "value": 0.0})
-    return src
+    files = st.replay(events if only is None else events.where(only(events)), src, closing={"event_id": st.CLOSING_ID, "event_type": "heartbeat", "value": 0.0})
+    return src, files
 
 
 def _events(spark, sf_dir, only=None) -> DataFrame:
     """Events as a stream of several deliveries with a closing heartbeat behind them."""
-    return st.read_stream(spark, _delivered(spark, sf_dir, only), "events", max_files_per_trigger=1)
+    src, files = _delivered(spark, sf_dir, only)
+    return st.read_stream(spark, src, "events", max_files_per_trigger=files)
 
 
 def _plain_events(spark, sf_dir) -> DataFrame:
     """Events as a stream of several deliveries."""
     src, _ = _dirs(spark, "events-src")
-    st.replay(Tables(spark, sf_dir).events, src)
-    return st.read_stream(spark, src, "events", max_files_per_trigger=1)
+    files = st.replay(Tables(spark, sf_dir).events, src)
+    return st.read_stream(spark, src, "events", max_files_per_trigger=files)
 
 
 def _history(spark, sf_dir) -> DataFrame:
@@ -101,8 +102,8 @@ def q_stream_alerts(spark, sf_dir) -> DataFrame:
     rules = rules_frame(spark)
     sink, ck = _dirs(spark, "alerts")
     # scaled so that no mean of whole days lies on a threshold
-    src = _delivered(spark, sf_dir, _later)
-    events = lambda: st.read_stream(spark, src, "events", max_files_per_trigger=1)
+    src, files = _delivered(spark, sf_dir, _later)
+    events = lambda: st.read_stream(spark, src, "events", max_files_per_trigger=files)
     log = lambda: st.with_event_time(shifting_log_from_events(events())).withColumn("confidence", F.col("confidence") * 0.99)
     # baseline: mean predictions per hour in the history (one number from one aggregate)
     baseline = (_history(spark, sf_dir).groupBy(F.date_trunc("hour", "ts")).count().agg(F.avg("count")).first()[0])
@@ -122,8 +123,8 @@ def q_stream_rfm(spark, sf_dir) -> DataFrame:
     """Running RFM from a change log that is compacted twice on the way."""
     sink, ck = _dirs(spark, "rfm")
     src, _ = _dirs(spark, "orders-src")
-    st.replay(Tables(spark, sf_dir).orders, src, ts="o_orderdate")
-    tx = transactions_from_orders(st.read_stream(spark, src, "orders", max_files_per_trigger=1))
+    files = st.replay(Tables(spark, sf_dir).orders, src, ts="o_orderdate")
+    tx = transactions_from_orders(st.read_stream(spark, src, "orders", max_files_per_trigger=files))
     log = running.rfm_log(spark, sink, every=2)
     st.run_to_completion(tx, sink, ck, foreach_batch=running.rfm_sink(log))
     return log.read().withColumn("monetary_total", round_half_up("monetary_total", 2))
@@ -143,10 +144,11 @@ def q_stream_hourly_view(spark, sf_dir) -> DataFrame:
     sink, ck = _dirs(spark, "hourly-view")
     src, _ = _dirs(spark, "events-src")
     events = Tables(spark, sf_dir).events
+    files = max(1, -(-events.count() // (4 * st.ROWS_PER_FILE)))
     for part in (2, 0, 3, 1):
-        events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).write.mode("append").parquet(src)
+        st.deliver(events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part), src, files)
     view = running.HourlyView(spark, sink, every=2)
-    log = st.prediction_log_stream(st.read_stream(spark, src, "events", max_files_per_trigger=1))
+    log = st.prediction_log_stream(st.read_stream(spark, src, "events", max_files_per_trigger=files))
     st.run_to_completion(log, sink, ck, foreach_batch=view.append)
     return view.read().withColumns({c: round_half_up(c, 12) for c in ("avg_confidence", "processing_time", "positive_rate")})
 
@@ -161,8 +163,8 @@ def q_stream_dedupe(spark, sf_dir) -> DataFrame:
     """Transaction lines, whose keys repeat years apart, ingested once with a state of days: the keys that came through."""
     sink, ck = _dirs(spark, "dedupe")
     src, _ = _dirs(spark, "lines-src")
-    st.replay(Tables(spark, sf_dir).lineitem, src, ts="l_shipdate")
-    stream = st.read_stream(spark, src, "lineitem", max_files_per_trigger=1).withColumnRenamed("l_shipdate", "ts")
+    files = st.replay(Tables(spark, sf_dir).lineitem, src, ts="l_shipdate")
+    stream = st.read_stream(spark, src, "lineitem", max_files_per_trigger=files).withColumnRenamed("l_shipdate", "ts")
     once = st.dedupe_stream(stream, LINE_KEYS, delay="3 days").select(*LINE_KEYS)
     st.run_to_completion(once, sink, ck, foreach_batch=ingest.ingest_sink(spark, sink, LINE_KEYS, every=2))
     return ingest.ingested(spark, sink, once.schema)

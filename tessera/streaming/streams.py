@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import epoch_micros, try_ratio
 from tessera.plans.alerts import rules_frame
 from tessera.plans.monitor import DRIFT_HIGH, DRIFT_THRESHOLD
+from tessera.session import files_in
 from tessera.sources.tables import SCHEMAS
 
 
@@ -158,28 +159,46 @@ def dedupe_stream(events: DataFrame, keys=("event_id",), delay: str = "1 hour")
 CLOSING_ID = -1
 
 
-def replay(df: DataFrame, path: str, ts: str = "ts", parts: int = 4, closing: dict | None = None) -> None:
-    """Write ``df`` as a file-stream folder in ``parts`` deliveries by event time.
+#: Rows of a delivery that one file holds, about.
+ROWS_PER_FILE = 250_000
 
-    The deliveries have consecutive time ranges and are written one after the
-    other, so a stream that takes one file at a time reads them in that order.
-    ``closing`` adds a last delivery of one row with these values and an event
-    time 30 days after the last: the heartbeat that lets the watermark pass
-    every window of the data (its own stays open and is never emitted).
+
+def deliver(df: DataFrame, path: str, files: int) -> None:
+    """Add ``df`` to a file-stream folder in exactly ``files`` files (empty ones fill up), whatever partitions it has."""
+    before = files_in(df.sparkSession, path)
+    df.repartition(files).write.mode("append").parquet(path)
+    for _ in range(files - (files_in(df.sparkSession, path) - before)):
+        df.sparkSession.createDataFrame([], df.schema).write.mode("append").parquet(path)
+
+
+def replay(df: DataFrame, path: str, ts: str = "ts", parts: int = 4, closing: dict | None = None,
+           rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write ``df`` as a file-stream folder in ``parts`` deliveries by event time; returns the files of a delivery.
+
+    The deliveries have consecutive time ranges, are written one after the
+    other and have equally many files, so a stream that takes that many files at
+    a time reads one delivery a micro-batch, in that order. (Fewer would cut a
+    delivery, whose files all reach over its time range: the watermark of the
+    first would drop rows of the next.) ``closing`` adds a last delivery of one row
+    with these values and an event time 30 days after the last: the heartbeat
+    that lets the watermark pass every window of the data (its own stays open and
+    is never emitted).
     """
     us = epoch_micros(df, ts)
-    lo, hi, last = df.agg(F.min(us), F.max(us), F.max(ts)).first()
+    lo, hi, last, rows = df.agg(F.min(us), F.max(us), F.max(ts), F.count(F.lit(1))).first()
+    files = max(1, -(-rows // (parts * rows_per_file)))
     if lo is None:
-        df.write.mode("append").parquet(path)
-        return
+        deliver(df, path, files)
+        return files
     part = F.least(F.floor((us - F.lit(lo)) * F.lit(parts) / F.lit(hi - lo + 1)), F.lit(parts - 1))
     for k in range(parts):
-        df.where(part == k).write.mode("append").parquet(path)
+        deliver(df.where(part == k), path, files)
     if closing is not None:
         row = df.sparkSession.range(1).select(*(F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) if f.name != ts
                                                 else (F.lit(last) + F.expr("INTERVAL 30 DAYS")).cast(f.dataType).alias(ts)
                                                 for f in df.schema.fields))
-        row.write.mode("append").parquet(path)
+        deliver(row, path, 1)
+    return files
 
 
 # --- runner -------------------------------------------------------------------------
@@ -198,4 +217,4 @@ def run_to_completion(sdf: DataFrame, sink: str, checkpoint: str, mode: str = "a
 
 __all__ = ["read_stream", "with_event_time", "prediction_log_stream", "score_stream", "hourly_rollup_stream",
            "drift_stream", "rollup_alerts", "alert_sink", "rfm_stream", "sessions_stream",
-           "dedupe_stream", "replay", "run_to_completion", "rules_frame", "changes_sink", "latest_snapshot"]
+           "dedupe_stream", "deliver", "replay", "run_to_completion", "rules_frame", "changes_sink", "latest_snapshot"]
