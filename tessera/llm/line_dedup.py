@@ -25,8 +25,9 @@ once and at its document's end.  The ranks of all rounds then give the longest
 common prefix of neighbours in the array by halving steps.  The larger of its
 two is the longest run at a line that stands elsewhere too (in another document
 or, overlapping or not, in its own); it is maximal where the run of the line
-before doesn't hold it.  ``report`` counts the maximal runs (``n_runs``) and
-gives the longest one's lines (``longest_run``; 0: none) of each document.
+before doesn't hold it.  What is deleted is what maximal runs hold of later copies
+(each repeated run lies in a maximal one).  ``report`` counts the maximal runs (``n_runs``)
+and gives the longest one's lines (``longest_run``; 0: none) of each document.
 
 Cases: a null text has no lines and stays null; lines without words are never
 deleted; a null doc_id comes before all others; rows equal in doc_id and text
@@ -183,6 +184,17 @@ def maximal_runs(base: DataFrame) -> DataFrame:
     return lines.join(longest, "at").withColumn("before", before).where("before IS NULL OR before <= k").select(*_AT, "k")
 
 
+def _covered(runs: pa.Array, first: np.ndarray) -> np.ndarray:
+    """Which lines the runs of the documents hold; ``first``: each document's first line, and the number of lines."""
+    flat, held = runs.flatten(), np.zeros(first[-1], bool)
+    if len(flat):
+        of = np.repeat(np.arange(len(runs)), runs.value_lengths().fill_null(0).to_numpy())
+        start, k = first[of] + flat.field("start").to_numpy(), flat.field("k").to_numpy()
+        for size in np.unique(k):
+            held |= cover(len(held), start[k == size], int(size))
+    return held
+
+
 def _delete(batches):
     for batch in batches:
         at = 0
@@ -190,16 +202,10 @@ def _delete(batches):
             s.split_words()
             doc, a, b, lo, hi = _worded_lines(s)
             first = np.searchsorted(doc, np.arange(s.n_docs + 1))
-            runs = batch.column(2).slice(at, s.n_docs)
+            copies, maximal = (batch.column(c).slice(at, s.n_docs) for c in (2, 6))
             nulls = batch.column(1).slice(at, s.n_docs).is_null().to_numpy(zero_copy_only=False)
             at += s.n_docs
-            flat = runs.flatten()
-            gone = np.zeros(len(doc), bool)
-            if len(flat):
-                of = np.repeat(np.arange(s.n_docs), runs.value_lengths().fill_null(0).to_numpy())
-                start, k = first[of] + flat.field("start").to_numpy(), flat.field("k").to_numpy()
-                for size in np.unique(k):
-                    gone |= cover(len(doc), start[k == size], int(size))
+            gone = _covered(copies, first) & _covered(maximal, first)
             n_gone = np.bincount(doc[gone], minlength=s.n_docs)
             w_gone = np.bincount(doc[gone], (hi - lo)[gone], minlength=s.n_docs).astype(np.int64)
             raw, texts = s.data.tobytes(), []
@@ -220,20 +226,18 @@ def _delete(batches):
             yield pa.RecordBatch.from_arrays([s.ids, *of_rows, pa.array(np.diff(first).astype(np.int64)), pa.array(n_gone.astype(np.int64)), pa.array(s.n_words.astype(np.int64)), pa.array(w_gone), pa.array(texts, pa.string())], names=["doc_id", "row", "n_runs", "longest_run", "n_lines", "n_removed", "n_words", "n_removed_words", "text"])
 
 
-def delete_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, with_runs: bool = False) -> DataFrame:
-    """One row per document: doc_id, ``row`` (its other columns), counts of lines and words and of those deleted, the text that is left.
-
-    ``with_runs``: also ``n_runs`` and ``longest_run`` of the maximal repeated runs (else 0), from the whole suffix array.
-    """
+def delete_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per document: doc_id, ``row`` (its other columns), counts of lines and words and of those deleted, the text
+    that is left, ``n_runs`` and ``longest_run`` of the maximal repeated runs."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc_id"), docs[text_col].cast("string").alias("text"), F.xxhash64(docs[text_col].cast("string")).alias("text_key"), F.struct(*(docs[c] for c in others), F.lit(0).alias("__none")).alias("row"))
     base = repeated_lines(rows.select("doc_id", "text", "text_key"), min_words)
-    copies = repeated_runs(base, min_words).select("doc_id", "text_key", F.struct("start", "k").alias("copy"), F.lit(None).cast("long").alias("k"))
-    if with_runs:
-        copies = copies.unionByName(maximal_runs(base).select("doc_id", "text_key", F.lit(None).alias("copy"), "k"))
-    found = copies.groupBy("doc_id", "text_key").agg(F.collect_list("copy").alias("runs"), F.count("k").alias("n_runs"), F.max("k").alias("longest_run"))
+    none = F.lit(None).cast("struct<start:int,k:long>")
+    copies = repeated_runs(base, min_words).select("doc_id", "text_key", F.struct("start", F.col("k").cast("long").alias("k")).alias("copy"), none.alias("run"))
+    runs = maximal_runs(base).select("doc_id", "text_key", none.alias("copy"), F.struct(F.col("line").alias("start"), "k").alias("run"))
+    found = copies.unionByName(runs).groupBy("doc_id", "text_key").agg(F.collect_list("copy").alias("copies"), F.collect_list("run").alias("runs"), F.count("run").alias("n_runs"), F.max("run.k").alias("longest_run"))
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_runs", "longest_run")]
-    joined = rows.join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "runs", "row", *counts)
+    joined = rows.join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "copies", "row", *counts, "runs")
     kind = rows.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(_delete, f"doc_id long, row {kind}, n_runs long, longest_run long, n_lines long, n_removed long, n_words long, n_removed_words long, text string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
@@ -249,5 +253,5 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def report(docs: DataFrame, **how) -> DataFrame:
     """One row per document: lines, deleted lines and words, maximal repeated runs, digest of the text that is left (a null text: null)."""
-    out = delete_copies(docs, with_runs=True, **how)
+    out = delete_copies(docs, **how)
     return out.select("doc_id", "n_lines", "n_removed", "n_words", "n_removed_words", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256"))

@@ -118,3 +118,14 @@ def test_runs_do_not_depend_on_ranges(spark, monkeypatch):
     want = ld.report(docs).collect()
     monkeypatch.setattr(ld, "RANGE_ROWS", 40)
     assert sorted(ld.report(docs.repartition(3)).collect()) == sorted(want)
+
+
+def test_deletions_come_from_the_maximal_runs_of_the_array(spark, monkeypatch):
+    rows = [(1, "a b\nc d\ne"), (2, "x\na b\nc d"), (3, "c d\ny\nx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    built, runs = [], ld.maximal_runs
+    monkeypatch.setattr(ld, "maximal_runs", lambda base: built.append(runs(base)) or built[-1])
+    assert {r.doc_id: r.text for r in ld.deduplicated(docs).collect()} == {1: "a b\nc d\ne", 2: "x", 3: "y"}
+    assert {(r.doc_id, r.line, r.k) for r in built[0].collect()} == {(1, 0, 2), (2, 0, 1), (2, 1, 2), (3, 0, 1), (3, 2, 1)}
+    monkeypatch.setattr(ld, "maximal_runs", lambda base: runs(base).where("doc_id <> 2"))  # what no maximal run holds stays
+    assert {r.doc_id: r.text for r in ld.deduplicated(docs).collect()} == {1: "a b\nc d\ne", 2: "x\na b\nc d", 3: "y"}
