@@ -98,3 +98,28 @@ def test_grid_of_forests_grows_each_tree_once(spark, monkeypatch):
     for i, r in enumerate(whole):
         assert abs(r.rawPrediction - sum(p[i].rawPrediction[1] for p in of_parts)) < 1e-9
     train.unpersist()
+
+
+def test_limited_forests_are_cut_from_the_deep_one(spark, monkeypatch):
+    """Only the deepest limit's trees are grown; what is cut from them is what a fit with the limit gives."""
+    train = _data(spark).where("split = 'train'").cache()
+    flipped = train.withColumn("label", F.when(F.col("vec_id") % 7 == 0, 1 - F.col("label")).otherwise(F.col("label"))).cache()  # deep trees
+    grown, fit_java = [], ml.RandomForestClassifier._fit_java
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit_java", lambda self, d: grown.append((self.getMaxDepth(), self.getCacheNodeIds())) or fit_java(self, d))
+    monkeypatch.setattr(ml, "DEEP_TREES", 3)  # the first forest is deeper, so the next ones keep their rows' nodes
+    grid = ml.GridForest(labelCol="label", featuresCol="features", seed=3)
+    maps = [{grid.numTrees: n, grid.maxDepth: d, grid.minInstancesPerNode: m} for n, m in ((3, 1), (8, 4)) for d in (30, 7, 2)]
+    got = dict(grid.fitMultiple(flipped, maps))
+    assert sorted(grown) == [(30, False), (30, True), (30, True)]
+    for j, m in enumerate(maps):
+        assert [p.getNumTrees for p in got[j].parts] == [3, 5][:1 + (m[grid.numTrees] == 8)]
+        for i, part in enumerate(got[j].parts):
+            plain = ml.RandomForestClassifier(labelCol="label", featuresCol="features", seed=3 + i, numTrees=[3, 5][i],
+                                              maxDepth=m[grid.maxDepth], minInstancesPerNode=m[grid.minInstancesPerNode])
+            want = plain.fit(flipped)
+            assert part.getMaxDepth() == m[grid.maxDepth] or max(t.depth for t in part.trees) <= m[grid.maxDepth]
+            assert [t.toDebugString.split("\n", 1)[1] for t in part.trees] == [t.toDebugString.split("\n", 1)[1] for t in want.trees]
+            raw = [[r.rawPrediction for r in x.transform(flipped).orderBy("vec_id").select("rawPrediction").collect()] for x in (part, want)]
+            assert raw[0] == raw[1]
+    assert max(t.depth for t in got[0].parts[0].trees) > 9
+    train.unpersist(), flipped.unpersist()
